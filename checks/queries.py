@@ -119,9 +119,8 @@ def version_roundtrip(t: Tables) -> DataFrame:
     return shape.union_by_name(current, first)
 
 
-def _schema_documents(t: Tables) -> str:
+def _schema_lines(t: Tables) -> DataFrame:
     """An XML type per customer, whose columns depend on the customer."""
-    folder = new_folder(t.spark, "schema")
     kinds = {"BUILDING": "Boolean", "FURNITURE": "DateTime", "MACHINERY": "Decimal", "HOUSEHOLD": "Guid"}
     kind = F.lit("Stream")
     for segment, name in kinds.items():
@@ -130,18 +129,20 @@ def _schema_documents(t: Tables) -> str:
         F.lit('<EntityType Name="ApiV2'), F.col("c_name"), F.lit('"><Property Name="Id" Type="Edm.Int64"/><Property Name="c'),
         F.col("c_nationkey").cast("string"), F.lit('" Type="Edm.'), kind, F.lit('"/></EntityType>'),
     )
-    t.customer.select(line.alias("value")).write.text(folder)
-    return folder
+    return t.customer.select(line.alias("value"))
 
 
 @query
 def declared_types(t: Tables) -> DataFrame:
-    return declared.read_declared_types(t.spark, _schema_documents(t))
+    folder = new_folder(t.spark, "schema")
+    _schema_lines(t).write.text(folder)
+    return declared.read_declared_types(t.spark, folder, multi_line=False)
 
 
 @query
 def map_declared_types(t: Tables) -> DataFrame:
-    return declared.map_declared_types(declared.read_declared_types(t.spark, _schema_documents(t)))
+    documents = _schema_lines(t).select(F.concat(F.lit("<Schema>"), "value", F.lit("</Schema>")).alias("body"))
+    return declared.map_declared_types(declared.parse_declared_types(documents))
 
 
 @query

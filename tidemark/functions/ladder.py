@@ -7,9 +7,10 @@ strictest of them. One aggregate per column, no second look at the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import as_text, col
 from tidemark.functions.text import trim_text
 
 LOGICAL, INTEGER, DOUBLE, NUMBER, TIME, DATE, DATETIME, MIDNIGHT = (1 << i for i in range(8))
@@ -39,70 +40,105 @@ DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 DATETIME_TEXT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[-+][0-9]{2}:?[0-9]{2})?$"
 )
-ZONED_TEXT = r"(Z|[-+][0-9]{2}:?[0-9]{2})$"
+ZONED_TEXT = r"[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[-+][0-9]{2}:?[0-9]{2})$"
+MIDNIGHT_TEXT = r"[T ]00:00(:00(\.0+)?)?$"
 FIRST_CHARACTERS = list("-.0123456789TFtf")
 
 
-def present(c: Column) -> Column:
-    """Trimmed text, null where the text means a missing value."""
-    t = trim_text(c)
-    return F.when(~t.isin(*MISSING), t)
+_TEXTS = {
+    "missing": ", ".join(f"'{x}'" for x in MISSING),
+    "true": ", ".join(f"'{x}'" for x in TRUE_TEXTS),
+    "false": ", ".join(f"'{x}'" for x in FALSE_TEXTS),
+    "first": ", ".join(f"'{x}'" for x in FIRST_CHARACTERS),
+    "integer": f"r'{INTEGER_TEXT}'",
+    "double": f"r'{DOUBLE_TEXT}'",
+    "number": f"r'{NUMBER_TEXT}'",
+    "time": f"r'{TIME_TEXT}'",
+    "date": f"r'{DATE_TEXT}'",
+    "datetime": f"r'{DATETIME_TEXT}'",
+    "zoned": f"r'{ZONED_TEXT}'",
+    "midnight": f"r'{MIDNIGHT_TEXT}'",
+}
 
+# ISO text as a zone-free time stamp; text with a zone is moved to UTC.
+_MOMENT = """
+CASE WHEN {t} RLIKE {zoned}
+     THEN timestampadd(MICROSECOND,
+                       unix_micros(try_cast(regexp_replace({t}, r'([-+][0-9]{{2}})([0-9]{{2}})$', '$1:$2') AS timestamp)),
+                       TIMESTAMP_NTZ '1970-01-01 00:00:00')
+     ELSE try_cast({t} AS timestamp_ntz) END"""
+
+_MASK = """
+CASE WHEN {t} IS NULL THEN NULL
+     WHEN substring({t}, 1, 1) NOT IN ({first}) THEN 0
+     WHEN {t} IN ({true}, {false}) THEN {LOGICAL}
+     WHEN {t} RLIKE {integer} AND try_cast({t} AS bigint) IS NOT NULL THEN {WHOLE}
+     WHEN {t} RLIKE {double} THEN {REAL}
+     WHEN {t} RLIKE {number} THEN {NUMBER}
+     WHEN {t} RLIKE {time} THEN {TIME}
+     WHEN {t} RLIKE {date} AND try_cast({t} AS date) IS NOT NULL THEN {DAY}
+     WHEN {t} RLIKE {datetime} AND {t} RLIKE {zoned}
+     THEN coalesce({DATETIME} + {MIDNIGHT} * CAST(date_format({moment}, 'HHmmssSSSSSS') = '000000000000' AS int), 0)
+     WHEN {t} RLIKE {datetime} AND try_cast({t} AS timestamp_ntz) IS NOT NULL
+     THEN CASE WHEN {t} RLIKE {midnight} THEN {DATETIME} + {MIDNIGHT} ELSE {DATETIME} END
+     ELSE 0 END"""
+
+_READ = {
+    "logical": "CASE WHEN {t} IN ({true}) THEN true WHEN {t} IN ({false}) THEN false END",
+    "integer": "CASE WHEN {t} RLIKE {integer} THEN try_cast({t} AS bigint) END",
+    "double": "CASE WHEN {t} RLIKE {double} THEN try_cast({t} AS double) END",
+    "number": "CASE WHEN {t} RLIKE {double} OR {t} RLIKE {number} THEN try_cast(replace({t}, ',', '') AS double) END",
+    "time": "CASE WHEN {t} RLIKE {time} THEN {t} END",
+    "date": "CASE WHEN {t} RLIKE {date} THEN try_cast({t} AS date) "
+    "WHEN {t} RLIKE {datetime} THEN CAST({moment} AS date) END",
+    "datetime": "CASE WHEN {t} RLIKE {date} OR {t} RLIKE {datetime} THEN {moment} END",
+    "character": "{t}",
+}
 
-def read_datetime(t: Column) -> Column:
-    """ISO date-time text as a zone-free time stamp; zoned text is moved to UTC."""
-    colon = F.regexp_replace(t, r"([-+][0-9]{2})([0-9]{2})$", "$1:$2")
-    micros = F.unix_micros(colon.try_cast("timestamp"))
-    in_utc = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.when(t.rlike(r"[0-9]" + ZONED_TEXT) & F.substring(t, 11, 1).isin("T", " "), in_utc).otherwise(
-        t.try_cast("timestamp_ntz")
-    )
 
+def _fill(template: str, name: str, **values) -> Column:
+    t = "`" + name.replace("`", "``") + "`"
+    moment = _MOMENT.format(t=t, **_TEXTS)
+    return F.expr(template.format(t=t, moment=moment, **_TEXTS, **values))
 
-def class_mask(t: Column, integers: bool = True) -> Column:
-    """Bit mask of the classes a present value fits; null for a missing one."""
-    whole = (INTEGER if integers else 0) | DOUBLE | NUMBER
-    at_midnight = F.date_format(read_datetime(t), "HHmmssSSSSSS") == "000000000000"
-    return (
-        F.when(t.isNull(), F.lit(None).cast("int"))
-        .when(~F.substring(t, 1, 1).isin(*FIRST_CHARACTERS), F.lit(0))
-        .when(t.isin(*TRUE_TEXTS, *FALSE_TEXTS), F.lit(LOGICAL))
-        .when(t.rlike(INTEGER_TEXT) & t.try_cast("bigint").isNotNull(), F.lit(whole))
-        .when(t.rlike(DOUBLE_TEXT), F.lit(DOUBLE | NUMBER))
-        .when(t.rlike(NUMBER_TEXT), F.lit(NUMBER))
-        .when(t.rlike(TIME_TEXT), F.lit(TIME))
-        .when(t.rlike(DATE_TEXT) & t.try_cast("date").isNotNull(), F.lit(DATE | DATETIME | MIDNIGHT))
-        .when(t.rlike(DATETIME_TEXT), F.coalesce(at_midnight.cast("int") * MIDNIGHT + DATETIME, F.lit(0)))
-        .otherwise(F.lit(0))
+
+def present_texts(df: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` as trimmed text, null where the text means a missing value."""
+    texts = df.select(
+        *[
+            trim_text(as_text(f.name, f.dataType)).alias(f.name) if f.name in names else col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+    return texts.select(*[F.when(~col(n).isin(*MISSING), col(n)).alias(n) if n in names else col(n) for n in df.columns])
+
+
+def class_mask(name: str, integers: bool = True) -> Column:
+    """Bit mask of the classes a value of a text column fits; null where it is missing."""
+    return _fill(
+        _MASK,
+        name,
+        LOGICAL=LOGICAL,
+        WHOLE=(INTEGER if integers else 0) | DOUBLE | NUMBER,
+        REAL=DOUBLE | NUMBER,
+        NUMBER=NUMBER,
+        TIME=TIME,
+        DAY=DATE | DATETIME | MIDNIGHT,
+        DATETIME=DATETIME,
+        MIDNIGHT=MIDNIGHT,
     )
 
 
+def read_as(name: str, label: str) -> Column:
+    """A text column read as ``label``; null where it cannot be."""
+    if label not in _READ:
+        raise ValueError(f"unknown class {label!r}")
+    return _fill(_READ[label], name)
+
+
 def class_name(mask: Column) -> Column:
     """Strictest class in a combined mask; a column without values is logical."""
     name = F.when(mask.isNull(), F.lit("logical"))
     for bit, label in zip((LOGICAL, INTEGER, DOUBLE, NUMBER, TIME, DATE, DATETIME), CLASSES):
         name = name.when(mask.bitwiseAND(F.lit(bit)) != 0, F.lit(label))
     return name.otherwise(F.lit("character"))
-
-
-def read_as(t: Column, label: str) -> Column:
-    """Value of a present text read as ``label``; null where it cannot be."""
-    if label == "logical":
-        return F.when(t.isin(*TRUE_TEXTS), F.lit(True)).when(t.isin(*FALSE_TEXTS), F.lit(False))
-    if label == "integer":
-        return F.when(t.rlike(INTEGER_TEXT), t.try_cast("bigint"))
-    if label == "double":
-        return F.when(t.rlike(DOUBLE_TEXT), t.try_cast("double"))
-    if label == "number":
-        plain = F.replace(t, F.lit(","), F.lit(""))
-        return F.when(t.rlike(DOUBLE_TEXT) | t.rlike(NUMBER_TEXT), plain.try_cast("double"))
-    if label == "time":
-        return F.when(t.rlike(TIME_TEXT), t)
-    if label == "date":
-        day = F.when(t.rlike(DATE_TEXT), t.try_cast("date"))
-        return day.otherwise(F.when(t.rlike(DATETIME_TEXT), read_datetime(t).cast("date")))
-    if label == "datetime":
-        return F.when(t.rlike(DATE_TEXT) | t.rlike(DATETIME_TEXT), read_datetime(t))
-    if label == "character":
-        return t
-    raise ValueError(f"unknown class {label!r}")

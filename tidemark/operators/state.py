@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.versions import latest_version
+from tidemark.session import one_row
 
 # Fixed value: the date that stands for "nothing loaded yet".
 FIRST_DATE = "1900-01-01"
@@ -28,11 +29,11 @@ def current_state(log: DataFrame, ts: str = "logged_at", tie: str | None = None)
     return newest.withColumn("latest_date", F.coalesce("latest_date", _first_date()))
 
 
-def initial_entry(spark, table: str, field: str, now: datetime) -> DataFrame:
+def initial_entry(spark: SparkSession, table: str, field: str, now: datetime) -> DataFrame:
     """First entry of a table, dated so that everything is fetched."""
     start = datetime.fromisoformat(FIRST_DATE)
     row = (table, now, start, "parquet", table, start.date(), field, now, False)
-    return spark.createDataFrame([row], STATE_SCHEMA)
+    return one_row(spark, STATE_SCHEMA, row)
 
 
 def advance_state(

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import as_text, col
+from tidemark.functions.columns import col
 from tidemark.functions.ladder import (
     CLASSES,
     DATETIME,
     MIDNIGHT,
     class_mask,
     class_name,
-    present,
+    present_texts,
     read_as,
 )
 from tidemark.operators.shape import sample_rows
@@ -21,17 +21,13 @@ from tidemark.operators.shape import sample_rows
 SAMPLE_ROWS = 1000
 
 
-def _present_texts(df: DataFrame, *extra: Column) -> DataFrame:
-    return df.select(*extra, *[present(as_text(f.name, f.dataType)).alias(f.name) for f in df.schema.fields])
-
-
 def _combined(names: list[str], integers: bool) -> list[Column]:
     """The class mask that all values of a column share, for every column."""
-    return [F.bit_and(class_mask(col(n), integers)).alias(n) for n in names]
+    return [F.bit_and(class_mask(n, integers)).alias(n) for n in names]
 
 
 def _by_column(df: DataFrame, integers: bool) -> DataFrame:
-    masks = _present_texts(df).agg(*_combined(df.columns, integers))
+    masks = present_texts(df, df.columns).agg(*_combined(df.columns, integers))
     return masks.unpivot([], [col(n) for n in df.columns], "column", "mask")
 
 
@@ -51,7 +47,7 @@ def infer_types_sampled(
         return infer_types(df, integers)
     samples = None
     for how in ("random", "first", "last"):
-        part = _present_texts(sample_rows(df, n, how, order_by, seed), F.lit(how).alias("__how"))
+        part = present_texts(sample_rows(df, n, how, order_by, seed), df.columns).withColumn("__how", F.lit(how))
         samples = part if samples is None else samples.unionByName(part)
     masks = samples.groupBy("__how").agg(*_combined(df.columns, integers))
     guesses = masks.unpivot("__how", [col(c) for c in df.columns], "column", "mask").select(
@@ -78,13 +74,8 @@ def apply_types(df: DataFrame, classes: dict[str, str]) -> DataFrame:
     unknown = set(classes.values()) - set(CLASSES)
     if unknown:
         raise ValueError(f"unknown classes {sorted(unknown)}")
-    texts = df.select(
-        *[
-            present(as_text(f.name, f.dataType)).alias(f.name) if f.name in classes else col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-    return texts.select(*[read_as(col(n), classes[n]).alias(n) if n in classes else col(n) for n in df.columns])
+    texts = present_texts(df, [n for n in df.columns if n in classes])
+    return texts.select(*[read_as(n, classes[n]).alias(n) if n in classes else col(n) for n in df.columns])
 
 
 def demote_midnight_timestamps(df: DataFrame) -> DataFrame:

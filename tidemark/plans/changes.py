@@ -14,7 +14,7 @@ from tidemark.operators.merge import keep_known
 from tidemark.operators.profile import CATEGORY_LIMIT, describe_table
 from tidemark.operators.versions import latest_version
 from tidemark.session import materialize
-from tidemark.sources.store import RECORD_SCHEMAS, ROW_RECORDS, VersionStore
+from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, VersionStore
 
 
 @dataclass
@@ -65,13 +65,10 @@ def diff_versions(
 
 
 def append_change_log(store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime) -> None:
-    """Save a change record; the counts go last and make it visible."""
+    """Save a change record; its rows go first, the small parts make it visible."""
     for kind in ROW_RECORDS:
         store.save_rows(kind, getattr(record, kind), table, run_ts)
-    for kind in RECORD_SCHEMAS:
-        if kind != "counts":
-            store.append_record(kind, getattr(record, kind), table, run_ts)
-    store.append_record("counts", record.counts, table, run_ts)
+    store.append_records({kind: getattr(record, kind) for kind in RECORD_COLUMNS}, table, run_ts)
     store.purge_changes()
 
 
@@ -92,7 +89,7 @@ def latest_change_summary(store: VersionStore) -> dict[str, DataFrame]:
     """The latest change record of all tables together."""
     counts = store.records("counts")
     summary = {"counts": tables_with_changes(counts)}
-    for kind in RECORD_SCHEMAS:
+    for kind in RECORD_COLUMNS:
         if kind != "counts":
             summary[kind] = latest_records(store.records(kind), counts)
     return summary

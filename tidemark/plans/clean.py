@@ -7,9 +7,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions import text
 from tidemark.functions.columns import as_text, col
-from tidemark.functions.ladder import present
+from tidemark.functions.ladder import present_texts
 from tidemark.operators.merge import dedup_all
-from tidemark.operators.shape import cast_all_to_string, drop_empty_rows, normalize_column_names
+from tidemark.operators.shape import drop_empty_rows, normalize_column_names
 from tidemark.operators.typing import apply_types, inferred_classes
 
 
@@ -37,9 +37,8 @@ def latin_ascii(df: DataFrame) -> DataFrame:
 
 def clean_text(df: DataFrame) -> DataFrame:
     """Standard names, trimmed ASCII text, missing values as null, no empty rows."""
-    named = cast_all_to_string(normalize_column_names(df))
-    shown = named.select(*[present(col(n)).alias(n) for n in named.columns])
-    return latin_ascii(drop_empty_rows(shown))
+    named = normalize_column_names(df)
+    return latin_ascii(drop_empty_rows(present_texts(named, named.columns)))
 
 
 def clean_table(df: DataFrame, integers: bool = True) -> DataFrame:

@@ -16,7 +16,7 @@ from tidemark.operators.profile import describe_table, max_date_watermark, spark
 from tidemark.operators.shape import NO_FIELD, cast_all_to_string, incremental_filter, select_fields
 from tidemark.operators.typing import inferred_classes
 from tidemark.plans.changes import append_change_log, diff_versions
-from tidemark.session import delete_folder
+from tidemark.session import delete_folder, one_row
 from tidemark.sources import pages as landed
 from tidemark.sources.store import VersionStore, moment
 
@@ -112,7 +112,7 @@ def refresh_table(
     base = before
 
     def start_over() -> None:
-        target = spark.createDataFrame([(table, cfg.field)], "table_name string, date_field string")
+        target = one_row(spark, "table_name string, date_field string", (table, cfg.field))
         store.log_state(state.reset_state(store.state_log(), target, moment(store.now())))
 
     reloaded = replace or (known is not None and known.date_field != cfg.field)
@@ -178,10 +178,8 @@ def refresh_table(
         }
         store.publish(table, version_id, path, now, attrs, rows_distinct=old is not None)
 
-    entry = spark.createDataFrame(
-        [(table, latest, now, cfg.field)],
-        "table_name string, latest_date date, updated timestamp_ntz, date_field string",
-    )
+    columns = "table_name string, latest_date date, updated timestamp_ntz, date_field string"
+    entry = one_row(spark, columns, (table, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
     store.expire()
     delete_folder(spark, staged)

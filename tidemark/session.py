@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime re-planning does the work of hand-placed hints here: key sets that
 # turn out small are broadcast, hot join partitions are split, small ones merged.
@@ -53,6 +55,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
+    """A single row built inside Spark, without a Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    texts = [v if v is None or isinstance(v, bool | int) else str(v) for v in values]
+    return spark.range(1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(texts, fields, strict=True)]
+    )
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Remove a folder through the file system Spark itself uses for it."""
     jvm = spark._jvm

@@ -25,12 +25,10 @@ DECLARED_CLASSES = {
 }
 LADDER_CLASS = {"logical": "logical", "timestamp": "datetime", "numeric": "number", "character": "character"}
 
-_SCHEMA = "_Name string, Property array<struct<_Name: string, _Type: string>>"
+_TYPE = "_Name: string, Property: array<struct<_Name: string, _Type: string>>"
 
 
-def read_declared_types(spark: SparkSession, path: str) -> DataFrame:
-    """One row per declared column: ``table``, ``column``, ``edm_type``."""
-    types = spark.read.format("xml").option("rowTag", "EntityType").schema(_SCHEMA).load(path)
+def _columns(types: DataFrame) -> DataFrame:
     columns = types.select("_Name", F.explode("Property").alias("p"))
     return columns.select(
         strip_affix(F.col("_Name"), TABLE_MARK).alias("table"),
@@ -39,6 +37,22 @@ def read_declared_types(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_declared_types(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per declared column in files: ``table``, ``column``, ``edm_type``.
+
+    With ``multi_line`` a file is one XML document; otherwise every line of it
+    is one type, and big files are split between tasks.
+    """
+    reader = spark.read.format("xml").option("rowTag", "EntityType").option("multiLine", str(multi_line).lower())
+    return _columns(reader.schema(_TYPE).load(path))
+
+
+def parse_declared_types(documents: DataFrame, body: str = "body") -> DataFrame:
+    """The same from a column that holds a whole schema document per row."""
+    opened = F.from_xml(col(body), f"EntityType array<struct<{_TYPE}>>")
+    return _columns(documents.select(opened.alias("d")).select(F.inline("d.EntityType")))
+
+
 def declared_class(edm_type: Column) -> Column:
     label = F.lit(None).cast("string")
     for name, kind in DECLARED_CLASSES.items():
@@ -67,11 +81,13 @@ def apply_declared_types(df: DataFrame, types: DataFrame, table: str) -> DataFra
     if unclear:
         raise ValueError(f"several declared types for {unclear}")
     classes = {e["column"]: LADDER_CLASS[e.lowest] for e in entries}
-    return df.select(
+    read = {n for n, label in classes.items() if label != "character"}
+    texts = df.select(
         *[
-            read_as(trim_text(as_text(f.name, f.dataType)), classes[f.name]).alias(f.name)
-            if f.name in classes and classes[f.name] != "character"
-            else (as_text(f.name, f.dataType).alias(f.name) if f.name in classes else col(f.name))
+            (trim_text(as_text(f.name, f.dataType)) if f.name in read else as_text(f.name, f.dataType)).alias(f.name)
+            if f.name in classes
+            else col(f.name)
             for f in df.schema.fields
         ]
     )
+    return texts.select(*[read_as(n, classes[n]).alias(n) if n in read else col(n) for n in df.columns])

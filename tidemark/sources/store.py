@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import cols
 from tidemark.functions.text import snapshot_label, version_label
 from tidemark.operators import state as states
+from tidemark.operators.shape import union_by_name
 from tidemark.operators.versions import (
     KEEP_CHANGE_LOGS,
     KEEP_VERSIONS,
@@ -25,7 +26,7 @@ from tidemark.operators.versions import (
     tables_without_version,
     version_as_of,
 )
-from tidemark.session import delete_folder, folder_exists
+from tidemark.session import delete_folder, folder_exists, one_row
 
 MANIFEST_SCHEMA = (
     "table_name string, version_id string, version_ts timestamp_ntz, path string, rows_distinct boolean, "
@@ -38,20 +39,21 @@ PROFILE_SCHEMA = (
 )
 SNAPSHOT_SCHEMA = "label string, table_name string, version_id string, path string"
 
-# Change records with the same columns for every table.
-RECORD_SCHEMAS = {
-    "counts": "n_added bigint, n_edited bigint, n_deleted bigint",
-    "new_columns": "var_name string",
-    "lost_columns": "var_name string",
-    "class_changes": "var_name string, old_var_class string, new_var_class string",
-    "new_categories": (
-        "var_name string, old_set string, new_set string, same string, "
-        "in_old_not_new string, in_new_not_old string"
-    ),
+# Change records with the same columns for every table, and those columns.
+RECORD_COLUMNS = {
+    "counts": ["n_added", "n_edited", "n_deleted"],
+    "new_columns": ["var_name"],
+    "lost_columns": ["var_name"],
+    "class_changes": ["var_name", "old_var_class", "new_var_class"],
+    "new_categories": ["var_name", "old_set", "new_set", "same", "in_old_not_new", "in_new_not_old"],
 }
+RECORD_SCHEMA = (
+    "table_name string, run_ts timestamp_ntz, element string, n_added bigint, n_edited bigint, n_deleted bigint, "
+    "var_name string, old_var_class string, new_var_class string, old_set string, new_set string, same string, "
+    "in_old_not_new string, in_new_not_old string"
+)
 # Change records that carry rows of the table itself.
 ROW_RECORDS = ["added", "deleted", "edited"]
-RUN_COLUMNS = "table_name string, run_ts timestamp_ntz, "
 
 
 def moment(ts: datetime) -> Column:
@@ -130,7 +132,7 @@ class VersionStore:
             table, version_id, ts, path, rows_distinct, held["created"], held["updated"], held["date_field"],
             held["file_type"], held["file_name"], held["latest_date"], "written", self.now(),
         )
-        self._append(self.spark.createDataFrame([row], MANIFEST_SCHEMA), "manifest", MANIFEST_SCHEMA)
+        self._append(one_row(self.spark, MANIFEST_SCHEMA, row), "manifest", MANIFEST_SCHEMA)
 
     def write_version(
         self,
@@ -157,7 +159,7 @@ class VersionStore:
         """Leave ``table`` without a current version; its versions stay."""
         now = self.now()
         row = (table, None, now, None, None, None, None, None, None, None, None, "reset", now)
-        self._append(self.spark.createDataFrame([row], MANIFEST_SCHEMA), "manifest", MANIFEST_SCHEMA)
+        self._append(one_row(self.spark, MANIFEST_SCHEMA, row), "manifest", MANIFEST_SCHEMA)
 
     def expire(self, n: int = KEEP_VERSIONS, purge: bool = True) -> DataFrame:
         """Keep the newest ``n`` versions per table besides the current one."""
@@ -209,7 +211,7 @@ class VersionStore:
                 continue
             path = f"{self.root}/snapshots/snapshot_{label}/{folder_name(row.table_name)}"
             self.spark.read.parquet(row.path).write.mode("overwrite").parquet(path)
-            entry = self.spark.createDataFrame([(label, row.table_name, row.version_id, path)], SNAPSHOT_SCHEMA)
+            entry = one_row(self.spark, SNAPSHOT_SCHEMA, (label, row.table_name, row.version_id, path))
             self._append(entry, "snapshot_list", SNAPSHOT_SCHEMA)
         return label
 
@@ -239,21 +241,27 @@ class VersionStore:
 
     # -- change log ---------------------------------------------------------
 
-    def append_record(self, kind: str, record: DataFrame, table: str, run_ts: datetime) -> None:
-        schema = RUN_COLUMNS + RECORD_SCHEMAS[kind]
-        named = record.withColumn("table_name", F.lit(table)).withColumn(
-            "run_ts", moment(run_ts)
-        )
-        self._append(named, f"changes/{kind}", schema)
+    def append_records(self, records: dict[str, DataFrame], table: str, run_ts: datetime) -> None:
+        """Save the small parts of a change record in one write."""
+        run = [F.lit(table).alias("table_name"), moment(run_ts).alias("run_ts")]
+        parts = [
+            record.select(*run, F.lit(kind).alias("element"), *cols(RECORD_COLUMNS[kind]))
+            for kind, record in records.items()
+        ]
+        self._append(union_by_name(self.spark.createDataFrame([], RECORD_SCHEMA), *parts), "changes/records", RECORD_SCHEMA)
+
+    def _records(self) -> DataFrame:
+        return self._read("changes/records", RECORD_SCHEMA)
 
     def records(self, kind: str, n: int = KEEP_CHANGE_LOGS) -> DataFrame:
         """Change records of the newest ``n`` runs per table."""
         runs = retain_latest_n(self._runs(), n, "run_ts").select("table_name", "run_ts")
-        log = self._read(f"changes/{kind}", RUN_COLUMNS + RECORD_SCHEMAS[kind])
-        return log.join(runs, ["table_name", "run_ts"], "left_semi")
+        log = self._records().filter(F.col("element") == kind)
+        kept = log.join(runs, ["table_name", "run_ts"], "left_semi")
+        return kept.select("table_name", "run_ts", *cols(RECORD_COLUMNS[kind]))
 
     def _runs(self) -> DataFrame:
-        return self._read("changes/counts", RUN_COLUMNS + RECORD_SCHEMAS["counts"]).select("table_name", "run_ts").distinct()
+        return self._records().filter("element = 'counts'").select("table_name", "run_ts").distinct()
 
     def _row_folder(self, kind: str, table: str, run_ts: datetime) -> str:
         return f"{self.root}/changes/{kind}/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}"
