@@ -119,8 +119,8 @@ def to_wide(
     if multi:
         over = (
             known.groupBy(*cols(keys), col(name))
-            .agg(F.count(col(value)).alias("n"))
-            .filter(F.col("n") > list_limit)
+            .agg(F.count(col(value)).alias("__n"))
+            .filter(F.col("__n") > list_limit)
             .limit(5)
             .collect()
         )

@@ -25,7 +25,7 @@ DECLARED_CLASSES = {
 }
 LADDER_CLASS = {"logical": "logical", "timestamp": "datetime", "numeric": "number", "character": "character"}
 
-_TYPE = "_Name: string, Property: array<struct<_Name: string, _Type: string>>"
+_TYPE = "_Name string, Property array<struct<_Name: string, _Type: string>>"
 
 
 def _columns(types: DataFrame) -> DataFrame:

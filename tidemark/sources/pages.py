@@ -75,7 +75,7 @@ def read_page_files(spark: SparkSession, path: str, multi_line: bool = True) ->
 
     With ``multi_line`` a file is one page; otherwise every line is one.
     """
-    text = spark.read.option("wholetext", str(multi_line).lower()).text(path)
+    text = spark.read.text(path, wholetext=multi_line)
     return text.select(F.col("value").alias("body"), F.input_file_name().alias("page_file"))
 
 
