@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import as_text, col
 from tidemark.functions.text import trim_text
@@ -37,12 +38,13 @@ DOUBLE_TEXT = r"^-?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]+)?$"
 NUMBER_TEXT = r"^-?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?$"
 TIME_TEXT = r"^([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?( ?[AaPp][Mm])?$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-DATETIME_TEXT = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[-+][0-9]{2}:?[0-9]{2})?$"
-)
-ZONED_TEXT = r"[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[-+][0-9]{2}:?[0-9]{2})$"
+CLOCK_TEXT = r"[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
+ZONE_TEXT = r"(Z|[-+][0-9]{2}:?[0-9]{2})$"
+LOCAL_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(" + CLOCK_TEXT + ")?$"
+DATETIME_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}" + CLOCK_TEXT + "(Z|[-+][0-9]{2}:?[0-9]{2})?$"
+ZONED_TEXT = CLOCK_TEXT + ZONE_TEXT
 MIDNIGHT_TEXT = r"[T ]00:00(:00(\.0+)?)?$"
-FIRST_CHARACTERS = list("-.0123456789TFtf")
+FIRST_CHARACTERS = list("-.0123456789")
 
 
 _TEXTS = {
@@ -50,7 +52,6 @@ _TEXTS = {
     "true": ", ".join(f"'{x}'" for x in TRUE_TEXTS),
     "false": ", ".join(f"'{x}'" for x in FALSE_TEXTS),
     "first": ", ".join(f"'{x}'" for x in FIRST_CHARACTERS),
-    "integer": f"r'{INTEGER_TEXT}'",
     "double": f"r'{DOUBLE_TEXT}'",
     "number": f"r'{NUMBER_TEXT}'",
     "time": f"r'{TIME_TEXT}'",
@@ -58,6 +59,11 @@ _TEXTS = {
     "datetime": f"r'{DATETIME_TEXT}'",
     "zoned": f"r'{ZONED_TEXT}'",
     "midnight": f"r'{MIDNIGHT_TEXT}'",
+    "integer": f"r'{INTEGER_TEXT}'",
+    "grouped": f"r'{DOUBLE_TEXT}|{NUMBER_TEXT}'",
+    "local": f"r'{LOCAL_TEXT}'",
+    "instant": f"r'{LOCAL_TEXT[:-1]}{ZONE_TEXT}'",
+    "words": ", ".join([f"'{x}', true" for x in TRUE_TEXTS] + [f"'{x}', false" for x in FALSE_TEXTS]),
 }
 
 # ISO text as a zone-free time stamp; text with a zone is moved to UTC.
@@ -68,30 +74,44 @@ CASE WHEN {t} RLIKE {zoned}
                        TIMESTAMP_NTZ '1970-01-01 00:00:00')
      ELSE try_cast({t} AS timestamp_ntz) END"""
 
+# Cheap tests come first: most values are settled without a regular expression.
 _MASK = """
 CASE WHEN {t} IS NULL THEN NULL
+     WHEN substring({t}, 1, 1) IN ('T', 'F', 't', 'f') THEN CASE WHEN {t} IN ({true}, {false}) THEN {LOGICAL} ELSE 0 END
      WHEN substring({t}, 1, 1) NOT IN ({first}) THEN 0
-     WHEN {t} IN ({true}, {false}) THEN {LOGICAL}
-     WHEN {t} RLIKE {integer} AND try_cast({t} AS bigint) IS NOT NULL THEN {WHOLE}
+     WHEN {whole} THEN {WHOLE}
+     WHEN substring({t}, 5, 1) = '-' AND {t} RLIKE {date}
+     THEN CASE WHEN try_cast({t} AS date) IS NOT NULL THEN {DAY} ELSE 0 END
+     WHEN substring({t}, 5, 1) = '-' AND {t} RLIKE {datetime}
+     THEN CASE WHEN {t} RLIKE {zoned}
+               THEN coalesce({DATETIME} + {MIDNIGHT} * CAST(date_format({moment}, 'HHmmssSSSSSS') = '000000000000' AS int), 0)
+               WHEN try_cast({t} AS timestamp_ntz) IS NULL THEN 0
+               WHEN {t} RLIKE {midnight} THEN {DATETIME} + {MIDNIGHT}
+               ELSE {DATETIME} END
      WHEN {t} RLIKE {double} THEN {REAL}
      WHEN {t} RLIKE {number} THEN {NUMBER}
      WHEN {t} RLIKE {time} THEN {TIME}
-     WHEN {t} RLIKE {date} AND try_cast({t} AS date) IS NOT NULL THEN {DAY}
-     WHEN {t} RLIKE {datetime} AND {t} RLIKE {zoned}
-     THEN coalesce({DATETIME} + {MIDNIGHT} * CAST(date_format({moment}, 'HHmmssSSSSSS') = '000000000000' AS int), 0)
-     WHEN {t} RLIKE {datetime} AND try_cast({t} AS timestamp_ntz) IS NOT NULL
-     THEN CASE WHEN {t} RLIKE {midnight} THEN {DATETIME} + {MIDNIGHT} ELSE {DATETIME} END
      ELSE 0 END"""
 
+# A whole number in its usual spelling reads back as the same text.
+_WHOLE = "(CAST(try_cast({t} AS bigint) AS string) = {t} OR {t} = '-0')"
+
+# Each form names its text once or twice only: a filter that Spark moves below
+# the cast then stays small.
+_STAMP = """coalesce(
+    try_cast(regexp_extract({t}, {local}, 0) AS timestamp_ntz),
+    timestampadd(MICROSECOND,
+                 unix_micros(try_cast(regexp_replace(regexp_extract({t}, {instant}, 0), r'([-+][0-9]{{2}})([0-9]{{2}})$', '$1:$2') AS timestamp)),
+                 TIMESTAMP_NTZ '1970-01-01 00:00:00'))"""
+
 _READ = {
-    "logical": "CASE WHEN {t} IN ({true}) THEN true WHEN {t} IN ({false}) THEN false END",
-    "integer": "CASE WHEN {t} RLIKE {integer} THEN try_cast({t} AS bigint) END",
-    "double": "CASE WHEN {t} RLIKE {double} THEN try_cast({t} AS double) END",
-    "number": "CASE WHEN {t} RLIKE {double} OR {t} RLIKE {number} THEN try_cast(replace({t}, ',', '') AS double) END",
+    "logical": "element_at(map({words}), {t})",
+    "integer": "try_cast(regexp_extract({t}, {integer}, 0) AS bigint)",
+    "double": "try_cast(regexp_extract({t}, {double}, 0) AS double)",
+    "number": "try_cast(replace(regexp_extract({t}, {grouped}, 0), ',', '') AS double)",
     "time": "CASE WHEN {t} RLIKE {time} THEN {t} END",
-    "date": "CASE WHEN {t} RLIKE {date} THEN try_cast({t} AS date) "
-    "WHEN {t} RLIKE {datetime} THEN CAST({moment} AS date) END",
-    "datetime": "CASE WHEN {t} RLIKE {date} OR {t} RLIKE {datetime} THEN {moment} END",
+    "date": "CAST({stamp} AS date)",
+    "datetime": "{stamp}",
     "character": "{t}",
 }
 
@@ -99,18 +119,23 @@ _READ = {
 def _fill(template: str, name: str, **values) -> Column:
     t = "`" + name.replace("`", "``") + "`"
     moment = _MOMENT.format(t=t, **_TEXTS)
-    return F.expr(template.format(t=t, moment=moment, **_TEXTS, **values))
+    stamp = _STAMP.format(t=t, **_TEXTS)
+    return F.expr(template.format(t=t, moment=moment, stamp=stamp, whole=_WHOLE.format(t=t), **_TEXTS, **values))
 
 
 def present_texts(df: DataFrame, names: list[str]) -> DataFrame:
     """``names`` as trimmed text, null where the text means a missing value."""
+    is_text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     texts = df.select(
         *[
-            trim_text(as_text(f.name, f.dataType)).alias(f.name) if f.name in names else col(f.name)
+            (trim_text(col(f.name)) if f.name in is_text else as_text(f.name, f.dataType)).alias(f.name)
+            if f.name in names
+            else col(f.name)
             for f in df.schema.fields
         ]
     )
-    return texts.select(*[F.when(~col(n).isin(*MISSING), col(n)).alias(n) if n in names else col(n) for n in df.columns])
+    marked = [n for n in names if n in is_text]
+    return texts.select(*[F.when(~col(n).isin(*MISSING), col(n)).alias(n) if n in marked else col(n) for n in df.columns])
 
 
 def class_mask(name: str, integers: bool = True) -> Column:

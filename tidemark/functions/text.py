@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,7 +60,6 @@ def _accented_letters() -> dict[str, str]:
 SINGLE = _accented_letters() | ONE_TO_ONE
 _FROM = "".join(SINGLE)
 _TO = "".join(SINGLE.values())
-_MANY_PATTERN = "[" + "".join(ONE_TO_MANY) + "]"
 
 
 def trim_text(c: Column) -> Column:
@@ -71,18 +71,39 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _is_ascii(c: Column) -> Column:
+    return F.length(c) == F.octet_length(c)
+
+
+def _unless_ascii(c: Column, change: Callable[[Column], Column]) -> Column:
+    """``change`` applied to text that is not plain ASCII.
+
+    The one-element array gives the text a name, so that it is worked out once
+    and the expression does not grow with every step put on top of it.
+    """
+    changed = F.transform(F.array(c), lambda x: F.when(F.length(x) == F.octet_length(x), x).otherwise(change(x)))
+    return F.element_at(changed, 1)
+
+
+def _letters(c: Column) -> Column:
+    bare = F.regexp_replace(c, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
+    return F.translate(F.when(c.rlike(r"\p{Mn}"), bare).otherwise(c), _FROM, _TO)
+
+
+def _signs(c: Column) -> Column:
+    for sign, spelled in ONE_TO_MANY.items():
+        c = F.replace(c, F.lit(sign), F.lit(spelled))
+    return c
+
+
 def latin_ascii(c: Column) -> Column:
     """Latin letters and typographic punctuation in ASCII; other scripts stay.
 
-    Plain ASCII text, the common case, passes after a single check.
+    Three steps of growing cost, each only for text that is not plain ASCII yet:
+    loose accents and single letters, the sharp s, all other signs.
     """
-    bare = F.regexp_replace(c, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
-    single = F.translate(bare, _FROM, _TO)
-    many = single
-    for sign, text in ONE_TO_MANY.items():
-        many = F.replace(many, F.lit(sign), F.lit(text))
-    spelled = F.when(single.rlike(_MANY_PATTERN), many).otherwise(single)
-    return F.when(c.rlike(r"[^\x00-\x7f]"), spelled).otherwise(c)
+    sharp = _unless_ascii(_unless_ascii(c, _letters), lambda x: F.replace(x, F.lit("ß"), F.lit("ss")))
+    return _unless_ascii(sharp, _signs)
 
 
 def latin_ascii_name(name: str) -> str:
