@@ -84,8 +84,9 @@ FROM customer
 ORACLE["rename_by_synonyms"] = """
 SELECT c_custkey AS customer_key, c_name, c_nationkey, c_acctbal AS account_balance, c_mktsegment FROM customer
 """
-ORACLE["drop_empty_rows"] = ORACLE["drop_empty_columns"] = "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'"
-ORACLE["drop_empty_columns"] += """
+ORACLE["drop_empty_rows"] = "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'"
+ORACLE["drop_empty_columns"] = """
+SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL FROM customer WHERE c_mktsegment = 'BUILDING'
 """
 
@@ -300,7 +301,7 @@ SELECT doc_id, strip_accents(replace(text, 'ß', 'ss')) AS text, lang, source, n
 ORACLE["apply_types"] = f"""
 SELECT o_orderkey, flag = 'T' AS flag, CAST(whole AS BIGINT) AS whole, CAST(trim(price) AS DOUBLE) AS price,
        CAST(replace(grouped, ',', '') AS DOUBLE) AS grouped, clock, day, CAST(moment AS TIMESTAMP) AS moment, code,
-       nullif(words, 'NA') AS words, CAST(NULL AS BOOLEAN) AS nothing, CAST(mixed AS DOUBLE) AS mixed
+       nullif(words, 'NA') AS words, CAST(NULL AS VARCHAR) AS nothing, CAST(mixed AS DOUBLE) AS mixed
 FROM ({fx.LADDER})
 """
 ORACLE["date_prefix"] = f"SELECT o_orderkey, day AS from_moment, CAST(NULL AS VARCHAR) AS from_words FROM ({fx.LADDER})"
@@ -401,8 +402,9 @@ UNION ALL SELECT 'events', count(*), CAST(CAST(max(ts) AS DATE) AS VARCHAR), 'ts
 """
 _COUNTS = ORACLE["change_counts"].removeprefix(BOTH)
 ORACLE["append_change_log"] = BOTH + f"""
-SELECT o_orderkey, name, new, old, NULL AS table_name, NULL AS n_added, NULL AS n_edited, NULL AS n_deleted FROM ({_CELLS})
-UNION ALL SELECT NULL, NULL, NULL, NULL, 'orders', n_added, n_edited, n_deleted FROM ({_COUNTS})
+SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
+  SELECT o_orderkey, name, new, old, NULL AS table_name, NULL AS n_added, NULL AS n_edited, NULL AS n_deleted FROM ({_CELLS})
+  UNION ALL SELECT NULL, NULL, NULL, NULL, 'orders', n_added, n_edited, n_deleted FROM ({_COUNTS}))
 """
 ORACLE["latest_change_summary"] = f"""
 SELECT table_name, n_added, n_edited, n_deleted FROM ({_newest(fx.CHANGE_COUNTS, 'run_ts', 'entry')})
@@ -421,6 +423,6 @@ UNION ALL SELECT 'new_categories', 'o_orderstatus', 'X' WHERE EXISTS (SELECT 1 F
 UNION ALL SELECT 'new_categories', 'o_orderpriority', 'NA' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderpriority IS NULL)
 """
 ORACLE["revert"] = """
-SELECT *, NULL AS left_out FROM orders
+SELECT CAST(COLUMNS(*) AS VARCHAR), NULL AS left_out FROM orders
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'supplier'
 """

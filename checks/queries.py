@@ -14,7 +14,7 @@ from tidemark.catalog import config
 from tidemark.functions import text
 from tidemark.operators import diff, drift, merge, profile, ranges, shape, state, typing, versions
 from tidemark.plans import changes, clean, refresh
-from tidemark.session import new_folder
+from tidemark.session import apply_settings, new_folder
 from tidemark.sources import declared, pages
 from tidemark.sources.store import VersionStore
 
@@ -26,7 +26,7 @@ MIN_DATE = "2000-01-01"
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, folder: build(Tables(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(Tables(apply_settings(spark), folder))
     return build
 
 
@@ -221,7 +221,8 @@ def drop_empty_rows(t: Tables) -> DataFrame:
 
 @query
 def drop_empty_columns(t: Tables) -> DataFrame:
-    return shape.drop_empty_columns(_with_empty_rows(t).withColumn("c_empty", F.lit(None).cast("string")))
+    kept = shape.drop_empty_columns(_with_empty_rows(t).withColumn("c_empty", F.lit(None).cast("string")))
+    return shape.cast_all_to_string(kept)
 
 
 # -- joins --------------------------------------------------------------------
@@ -465,7 +466,8 @@ def latin_ascii(t: Tables) -> DataFrame:
 @query
 def apply_types(t: Tables) -> DataFrame:
     raw = t.derive(fx.LADDER)
-    return _dates_as_text(typing.apply_types(raw, typing.inferred_classes(raw)))
+    typed = typing.apply_types(raw, typing.inferred_classes(raw))
+    return _dates_as_text(typed.withColumn("nothing", F.col("nothing").cast("string")))
 
 
 @query
@@ -654,7 +656,7 @@ def append_change_log(t: Tables) -> DataFrame:
     changes.append_change_log(store, record, "orders", run)
     edited = store.read_rows("edited", "orders", run)
     counts = store.records("counts").select("table_name", "n_added", "n_edited", "n_deleted")
-    return shape.union_by_name(edited, counts)
+    return shape.cast_all_to_string(shape.union_by_name(edited, counts))
 
 
 @query
@@ -689,4 +691,5 @@ def revert(t: Tables) -> DataFrame:
     store.write_version(t.derive(fx.NEW_ORDERS), "orders", datetime(2002, 1, 2))
     store.write_version(t.supplier, "supplier", datetime(2002, 2, 2))
     kept = store.revert("2002-01-01")
-    return shape.union_by_name(store.read_version("orders"), kept.select(F.col("table_name").alias("left_out")))
+    left_out = kept.select(F.col("table_name").alias("left_out"))
+    return shape.cast_all_to_string(shape.union_by_name(store.read_version("orders"), left_out))

@@ -93,8 +93,8 @@ CASE WHEN {t} IS NULL THEN NULL
      WHEN {t} RLIKE {time} THEN {TIME}
      ELSE 0 END"""
 
-# A whole number in its usual spelling reads back as the same text.
-_WHOLE = "(CAST(try_cast({t} AS bigint) AS string) = {t} OR {t} = '-0')"
+# Up to 18 digits always fit, so only longer ones are tried.
+_WHOLE = "({t} RLIKE {integer} AND (length({t}) <= 18 OR try_cast({t} AS bigint) IS NOT NULL))"
 
 # Each form names its text once or twice only: a filter that Spark moves below
 # the cast then stays small.
@@ -120,7 +120,7 @@ def _fill(template: str, name: str, **values) -> Column:
     t = "`" + name.replace("`", "``") + "`"
     moment = _MOMENT.format(t=t, **_TEXTS)
     stamp = _STAMP.format(t=t, **_TEXTS)
-    return F.expr(template.format(t=t, moment=moment, stamp=stamp, whole=_WHOLE.format(t=t), **_TEXTS, **values))
+    return F.expr(template.format(t=t, moment=moment, stamp=stamp, whole=_WHOLE.format(t=t, **_TEXTS), **_TEXTS, **values))
 
 
 def present_texts(df: DataFrame, names: list[str]) -> DataFrame:

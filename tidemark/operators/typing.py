@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import as_text, col
 from tidemark.functions.ladder import (
     CLASSES,
     DATETIME,
@@ -21,19 +21,26 @@ from tidemark.operators.shape import sample_rows
 SAMPLE_ROWS = 1000
 
 
-def _combined(names: list[str], integers: bool) -> list[Column]:
-    """The class mask that all values of a column share, for every column."""
-    return [F.bit_and(class_mask(n, integers)).alias(n) for n in names]
+def _masks(df: DataFrame, integers: bool, *by: str) -> DataFrame:
+    """The class mask all values of a column share, one row per column.
 
-
-def _by_column(df: DataFrame, integers: bool) -> DataFrame:
-    masks = present_texts(df, df.columns).agg(*_combined(df.columns, integers))
-    return masks.unpivot([], [col(n) for n in df.columns], "column", "mask")
+    Values are laid out one under the other, so one expression serves any number
+    of columns, and they are combined before the shuffle. The row added for each
+    column makes it appear even when there is no value.
+    """
+    names = [n for n in df.columns if n not in by]
+    texts = df.select(*[col(n) for n in by], *[as_text(n, df.schema[n].dataType).alias(n) for n in names])
+    values = present_texts(texts.unpivot([col(n) for n in by], [col(n) for n in names], "column", "value"), ["value"])
+    masks = values.select(*by, "column", class_mask("value", integers).alias("mask"))
+    if not by:
+        every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("column"))
+        masks = masks.unionByName(every.withColumn("mask", F.lit(None).cast("int")))
+    return masks.groupBy(*by, "column").agg(F.bit_and("mask").alias("mask"))
 
 
 def infer_types(df: DataFrame, integers: bool = True) -> DataFrame:
     """Strictest class that all present values of a column share."""
-    return _by_column(df, integers).select("column", class_name(F.col("mask")).alias("class"))
+    return _masks(df, integers).select("column", class_name(F.col("mask")).alias("class"))
 
 
 def infer_types_sampled(
@@ -47,19 +54,16 @@ def infer_types_sampled(
         return infer_types(df, integers)
     samples = None
     for how in ("random", "first", "last"):
-        part = present_texts(sample_rows(df, n, how, order_by, seed), df.columns).withColumn("__how", F.lit(how))
+        part = sample_rows(df, n, how, order_by, seed).withColumn("__how", F.lit(how))
         samples = part if samples is None else samples.unionByName(part)
-    masks = samples.groupBy("__how").agg(*_combined(df.columns, integers))
-    guesses = masks.unpivot("__how", [col(c) for c in df.columns], "column", "mask").select(
-        "column", class_name(F.col("mask")).alias("class")
-    )
+    guesses = _masks(samples, integers, "__how").select("column", class_name(F.col("mask")).alias("class"))
     agreed = F.when(F.min("class") == F.max("class"), F.min("class")).otherwise(F.lit("character"))
     return guesses.groupBy("column").agg(agreed.alias("class"))
 
 
 def inferred_classes(df: DataFrame, integers: bool = True, demote: bool = False) -> dict[str, str]:
     """Classes as a dictionary; with ``demote`` midnight-only time stamps are dates."""
-    found = _by_column(df, integers)
+    found = _masks(df, integers)
     label = class_name(F.col("mask"))
     if demote:
         only_midnight = F.col("mask").bitwiseAND(F.lit(MIDNIGHT)) != 0

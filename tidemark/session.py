@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles longer methods; wide projections run faster in parts.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
