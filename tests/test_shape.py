@@ -85,9 +85,9 @@ def test_union_by_name_fills_and_aligns(spark, rows):
 
 def test_rows_except_is_distinct_and_null_safe(spark, rows):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x"), (None, None)], "k int, s string")
-    b = spark.createDataFrame([(None, "y"), ("x", 2)][:0] or [(1, None)], "k int, s string")
+    b = spark.createDataFrame([(1, None)], "k int, s string")
     assert rows(shape.rows_except(a, b)) == [(2, "x"), (None, None)]
-    assert rows(shape.rows_except(a, b)) == rows(a.exceptAll(b).distinct().subtract(b))
+    assert rows(shape.rows_except(a, b)) == rows(a.subtract(b))
 
 
 def test_samples(spark):
