@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup
+from tidemark.llm import line_dedup, secrets
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,9 @@ kept AS (
 )
 """
 ORACLE["op10_line_dedup"] = f"WITH {LINES} SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM kept"
+
+
+@query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.span_counts(secrets.find_secrets(read_table(spark, folder, "documents")))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
