@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, secrets
+from tidemark.llm import line_dedup, secrets, shards, warc
 from tidemark.llm.common import read_table
+from tidemark.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +47,29 @@ ORACLE["op10_line_dedup"] = f"WITH {LINES} SELECT doc_id, n_lines, n_dropped, sh
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.span_counts(secrets.find_secrets(read_table(spark, folder, "documents")))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    archive = new_folder(spark, "warc")
+    warc.write_archive(pages, archive)
+    read = warc.read_archive(spark, archive)
+    return read.select("page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+FROM k
+"""
+
+
+@query
+def op5_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.shard_documents(read_table(spark, folder, "documents"), shards=16)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
