@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, secrets, shards, warc
+from tidemark.llm import line_dedup, packing, secrets, shards, token_files, warc
 from tidemark.llm.common import read_table
 from tidemark.session import new_folder
 
@@ -73,3 +74,17 @@ def op5_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.shard_documents(read_table(spark, folder, "documents"), shards=16)
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = new_folder(spark, "token-files")
+    token_files.write_token_files(read_table(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_token_files(spark, files, with_ids=False)
+
+
+@query
+def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    pieces = packing.encode_pieces(documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.pack_pieces(pieces)
