@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, secrets, shards, token_files, warc
+from tidemark.llm import line_dedup, packing, secrets, shards, token_files, toxicity, warc
 from tidemark.llm.common import read_table
 from tidemark.session import new_folder
 
@@ -88,3 +88,12 @@ def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     pieces = packing.encode_pieces(documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return packing.pack_pieces(pieces)
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    field = toxicity.train(toxicity.train_rows(spark, documents, labels))
+    scores = toxicity.score_documents(documents, field)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
