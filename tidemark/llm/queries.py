@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, secrets, shards, token_files, toxicity, warc
+from tidemark.llm import decontaminate, line_dedup, packing, secrets, shards, token_files, toxicity, warc
 from tidemark.llm.common import read_table
 from tidemark.session import new_folder
 
@@ -97,3 +97,8 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scores = toxicity.score_documents(documents, field)
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(spark, read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
