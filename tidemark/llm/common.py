@@ -142,7 +142,7 @@ def reduce_by_ids(df: DataFrame, key: str, ids: DataFrame, id_name: str) -> Data
     bits = BITMAP_WORDS * 64
     spot = F.pmod(F.xxhash64(F.col(id_name)), F.lit(bits))
     words = ids.select(spot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("_w")).agg(
-        F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.pmod(F.col("s"), F.lit(64)).cast("int"))).alias("_bits")
+        F.bit_or(F.expr("shiftleft(CAST(1 AS bigint), CAST(pmod(s, 64) AS int))")).alias("_bits")
     )
     own = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
     marked = df.select("*", F.floor(own / 64).cast("int").alias("_w"), F.pmod(own, F.lit(64)).cast("int").alias("_b"))
