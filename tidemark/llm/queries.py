@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, ngram_join, packing, secrets, shards, token_files, toxicity, warc
+from tidemark.llm import decontaminate, line_dedup, near_vectors, ngram_join, packing, secrets, shards, token_files, toxicity, warc
 from tidemark.llm.common import read_table
 from tidemark.session import new_folder
 
@@ -107,3 +107,8 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link_components(read_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.link_vectors(read_table(spark, folder, "embeddings"))
