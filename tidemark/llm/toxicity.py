@@ -342,5 +342,16 @@ def train_rows(spark: SparkSession, documents: DataFrame, labels: DataFrame) ->
     return labelled(documents, labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2))
 
 
-def is_toxic(scores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    return scores.where(F.col("score") >= threshold)
+def drop_toxic(documents: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
+    """``documents`` without the rows that score ``threshold`` or more; nothing is shuffled."""
+    shared, at = documents.sparkSession.sparkContext.broadcast(field), documents.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            model, keep = shared.value, []
+            for text in batch.column(at).to_pylist():
+                active, p, _ = model.marginals(model.potentials(_words(text)))
+                keep.append(model.score(active, p) < threshold)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
