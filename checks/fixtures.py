@@ -21,6 +21,13 @@ SELECT CASE WHEN o_orderstatus = 'P' THEN o_orderkey + 1000000000 ELSE o_orderke
 FROM orders
 """
 
+# Orders as they are, but for one priority without a value.
+SAME_ORDERS = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
 # Raw text: padded, blank and missing values, a repeated row per customer.
 DIRTY_CUSTOMER = """
 SELECT CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE c_custkey END AS "CustKey",

@@ -125,6 +125,19 @@ _CELLS = " UNION ALL ".join(
 ORACLE["cells_edited"] = BOTH + _CELLS
 
 
+_NESTED = {
+    "list": "to_json([late, urgent])", "pair": "to_json({'a': late, 'b': urgent})",
+    "deep": "to_json([{'s': o_orderstatus, 'd': late}])",
+}
+_PARTS = "CASE WHEN o_orderdate IS NOT NULL THEN o_custkey END AS late, CASE WHEN o_orderpriority IS NOT NULL THEN o_custkey END AS urgent"
+ORACLE["cells_edited_nested"] = f"""
+WITH new AS (SELECT *, {_PARTS} FROM ({fx.NEW_ORDERS})), old AS (SELECT *, {_PARTS} FROM ({fx.SAME_ORDERS})), cells AS (
+""" + " UNION ALL ".join(
+    f"SELECT a.o_orderkey, '{n}' AS name, a.t AS new, b.t AS old FROM (SELECT o_orderkey, CAST({e} AS VARCHAR) AS t FROM new) a "
+    f"JOIN (SELECT o_orderkey, CAST({e} AS VARCHAR) AS t FROM old) b USING (o_orderkey)" for n, e in _NESTED.items()
+) + ") SELECT * FROM cells WHERE new <> old"
+
+
 def _profile(table: str, columns: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS var_name, '{kind}' AS var_class, count(DISTINCT {c}) AS n_unique, "
@@ -252,6 +265,9 @@ ORACLE["retain_latest_n"] = _newest(fx.VERSIONS, "version_ts", "version_id", 3)
 
 ORACLE["sample_first"] = "SELECT * FROM events ORDER BY event_id LIMIT 1000"
 ORACLE["sample_last"] = "SELECT * FROM events ORDER BY event_id DESC LIMIT 1000"
+ORACLE["sample_random"] = "SELECT * FROM events ORDER BY md5('7:' || event_id), event_id LIMIT 1000"
+ORACLE["sample_first_many"] = "SELECT * FROM lineitem ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 5000"
+ORACLE["sample_random_many"] = "SELECT * FROM events ORDER BY md5('11:' || event_id), event_id LIMIT 5000"
 ORACLE["first_by"] = "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25"
 
 # -- sets ---------------------------------------------------------------------
@@ -367,7 +383,7 @@ FROM ({_STATE})
 ORACLE["rebuild_state"] = f"""
 WITH s AS ({_STATE}), v AS ({_newest(fx.STATE_LOG, 'logged_at', 'entry', 1, "logged_at <= TIMESTAMP '1996-06-30 23:59:59'")})
 SELECT s.table_name, coalesce(v.updated, s.updated) AS updated, s.file_name,
-       coalesce(CAST(v.latest_date AS VARCHAR), s.latest_date) AS latest_date,
+       CASE WHEN v.table_name IS NOT NULL THEN CAST(v.latest_date AS VARCHAR) ELSE s.latest_date END AS latest_date,
        coalesce(v.date_field, s.date_field) AS date_field, s.has_version
 FROM s LEFT JOIN v ON v.table_name = s.table_name
 """

@@ -277,6 +277,19 @@ def cells_edited(t: Tables) -> DataFrame:
     return diff.cells_edited(t.derive(fx.NEW_ORDERS), t.orders, KEY)
 
 
+def _nested(t: Tables, sql: str) -> DataFrame:
+    """Orders with a list and a struct that hold nulls."""
+    late, status = F.when(F.col("o_orderdate").isNotNull(), F.col("o_custkey")), F.col("o_orderstatus")
+    urgent = F.when(F.col("o_orderpriority").isNotNull(), F.col("o_custkey"))
+    pair = F.struct(late.alias("a"), urgent.alias("b"))
+    return t.derive(sql).select(KEY, F.array(late, urgent).alias("list"), pair.alias("pair"), F.array(F.struct(status.alias("s"), late.alias("d"))).alias("deep"))
+
+
+@query
+def cells_edited_nested(t: Tables) -> DataFrame:
+    return diff.cells_edited(_nested(t, fx.NEW_ORDERS), _nested(t, fx.SAME_ORDERS), KEY)
+
+
 def _customer_profiles(t: Tables) -> tuple[DataFrame, DataFrame]:
     return profile.describe_table(t.derive(fx.OLD_CUSTOMER)), profile.describe_table(t.derive(fx.NEW_CUSTOMER))
 
@@ -416,6 +429,16 @@ def sample_random(t: Tables) -> DataFrame:
     return shape.sample_rows(t.events, 1000, "random", "event_id", seed=7)
 
 
+@query
+def sample_first_many(t: Tables) -> DataFrame:
+    return shape.sample_rows(t.lineitem, 5000, "first", ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@query
+def sample_random_many(t: Tables) -> DataFrame:
+    return shape.sample_rows(t.events, 5000, "random", "event_id", seed=11)
+
+
 @query
 def first_by(t: Tables) -> DataFrame:
     return shape.first_by(t.orders, F.col("o_totalprice").desc(), F.col(KEY), n=25)

@@ -71,8 +71,7 @@ def test_wide_with_several_values(spark, rows):
         shape.to_wide(df, "id", "n", "v", ["x", "y"]).collect()
     wide = shape.to_wide(df, "id", "n", "v", ["x", "y"], multi=True)
     assert rows(wide) == [(1, [1, 2], [5]), (2, [], [])]
-    with pytest.raises(ValueError, match="more than 1 values"):
-        shape.to_wide(df, "id", "n", "v", ["x", "y"], multi=True, list_limit=1)
+    assert rows(shape.to_cells(df, "id", "n", "v", ["x", "y"])) == [(1, "x", 1), (1, "x", 2), (1, "y", 5)]
 
 
 def test_union_by_name_fills_and_aligns(spark, rows):

@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.columns import as_list
+from tidemark.operators.profile import CATEGORY_LIMIT
 from tidemark.operators.shape import NO_FIELD, filter_matching
+from tidemark.operators.versions import KEEP_CHANGE_LOGS, KEEP_VERSIONS
 from tidemark.sources.pages import PAGE_SIZE
 
 CATALOG_SCHEMA = (
@@ -43,7 +45,11 @@ ACTIVITY_COLUMNS = (
 
 @dataclass(frozen=True)
 class TableConfig:
-    """``keys`` identify a row; ``field`` is its change date, or ``None`` as text."""
+    """``keys`` identify a row; ``field`` is its change date, or ``None`` as text.
+
+    Columns with more than ``category_limit`` values have no value set; ``keep_versions`` and ``keep_change_logs`` say
+    how many old versions and change records of the table are kept.
+    """
 
     table_name: str
     keys: list[str] = field(default_factory=lambda: ["Id"])
@@ -52,6 +58,9 @@ class TableConfig:
     description: str | None = None
     columns: list[str] | None = None
     infer_classes: bool = False
+    category_limit: int = CATEGORY_LIMIT
+    keep_versions: int = KEEP_VERSIONS
+    keep_change_logs: int = KEEP_CHANGE_LOGS
 
 
 def default_catalog(spark: SparkSession) -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
 def col(name: str) -> Column:
     """Column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -23,12 +27,12 @@ def as_list(names: str | list[str]) -> list[str]:
 
 
 def as_text(name: str, data_type: T.DataType) -> Column:
-    """Text form of a column: nested values become JSON, the rest a plain cast."""
+    """Text form of a column: nested values become JSON with their nulls, the rest a plain cast."""
     c = col(name)
     if isinstance(data_type, T.StringType):
         return c
-    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(c)
+    if isinstance(data_type, NESTED):
+        return F.to_json(c, KEEP_NULLS)
     return c.cast("string")
 
 
@@ -46,8 +50,9 @@ def row_digest(df: DataFrame, names: list[str]) -> Column:
     parts: list[Column] = []
     for name in names:
         c = col(name)
-        if isinstance(df.schema[name].dataType, (T.MapType, T.VariantType)):
-            c = F.to_json(c)
+        if isinstance(df.schema[name].dataType, NESTED):
+            # Spark's hash skips nulls inside nested values; their text does not.
+            c = F.to_json(c, KEEP_NULLS)
         parts += [c, c.isNull()]
     return F.struct(
         F.xxhash64(F.lit(1), *parts).alias("h1"),

@@ -18,6 +18,7 @@ LOGICAL, INTEGER, DOUBLE, NUMBER, TIME, DATE, DATETIME, MIDNIGHT = (1 << i for i
 
 # Class names in ladder order, and the Spark type each one gets.
 CLASSES = ["logical", "integer", "double", "number", "time", "date", "datetime", "character"]
+CLASS_BITS = dict(zip(CLASSES, (LOGICAL, INTEGER, DOUBLE, NUMBER, TIME, DATE, DATETIME), strict=False))
 SPARK_TYPES = {
     "logical": "boolean",
     "integer": "bigint",

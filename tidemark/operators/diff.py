@@ -33,8 +33,8 @@ def changed_keys(new: DataFrame, old: DataFrame, keys: str | list[str]) -> DataF
     """Keys that were added, deleted or edited, with that word as ``status``.
 
     Only keys and row fingerprints are shuffled, never whole rows, and both
-    versions meet in one aggregation. A key that occurs twice in a version stops
-    the query, as edits are then not defined.
+    versions meet in one aggregation. A key that occurs twice in a version has the
+    status ``repeated``, as edits are then not defined.
     """
     keys = as_list(keys)
     names = common_names(new, old)
@@ -52,10 +52,9 @@ def changed_keys(new: DataFrame, old: DataFrame, keys: str | list[str]) -> DataF
         F.max("__row.h2").alias("__max2"),
     )
     repeated = (F.col("__n_new") > 1) | (F.col("__n_old") > 1)
-    offender = F.concat(F.lit("key is not unique: "), F.to_json(F.struct(*cols(keys))))
     same = (F.col("__min1") == F.col("__max1")) & (F.col("__min2") == F.col("__max2"))
     status = (
-        F.when(repeated, F.raise_error(offender).cast("string"))
+        F.when(repeated, F.lit("repeated"))
         .when(F.col("__n_old") == 0, F.lit("added"))
         .when(F.col("__n_new") == 0, F.lit("deleted"))
         .when(~same, F.lit("edited"))

@@ -64,6 +64,12 @@ def new_categories(diff: DataFrame) -> DataFrame:
     )
 
 
+def lost_categories(diff: DataFrame) -> DataFrame:
+    """Columns of unchanged class whose value set grew past the limit of categories, with the set they had."""
+    gone = diff.filter("old_var_class = new_var_class AND old_values IS NOT NULL AND new_values IS NULL")
+    return gone.select("var_name", render_set(F.col("old_values"), F.coalesce("old_has_null", F.lit(False))).alias("old_set"))
+
+
 def needs_full_reload(old_profile: DataFrame | None, new_profile: DataFrame | None) -> DataFrame:
     """One row: true when a column is new or changed class.
 

@@ -13,7 +13,7 @@ from tidemark.functions.text import date_prefix
 # Fixed value: columns with more distinct values than this are not categorical.
 CATEGORY_LIMIT = 30
 
-# Values longer than this are counted by their SHA-256, which is shorter.
+# Values longer than this are counted by their SHA-256, which is shorter; a mark keeps both kinds apart.
 LONG_VALUE = 64
 
 
@@ -28,7 +28,7 @@ def _long_values(df: DataFrame, names: list[str], shorten: bool) -> DataFrame:
     for name in names:
         text = as_text(name, df.schema[name].dataType)
         if shorten:
-            text = F.when(F.length(text) > LONG_VALUE, F.sha2(text, 256)).otherwise(text)
+            text = F.when(F.length(text) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
         texts.append(text.alias(name))
     return df.select(*texts).unpivot([], [col(n) for n in names], "var_name", "value")
 

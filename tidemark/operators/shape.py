@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_list, as_text, col, cols
@@ -12,9 +12,6 @@ from tidemark.functions.text import match_pattern
 # Fixed value: the text that stands for "this table has no date column".
 NO_FIELD = "None"
 
-# A cell of ``to_wide`` may hold at most this many values as a list.
-LIST_LIMIT = 10_000
-
 # Blocks of this many steps are spread over tasks before they are unrolled.
 STEPS_PER_BLOCK = 10_000
 
@@ -106,26 +103,15 @@ def to_wide(
     value: str,
     names: list[str],
     multi: bool = False,
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """One column per entry of ``names``.
 
-    With ``multi`` the values of a cell become a sorted list; cells are counted
-    first, so an oversized one stops the call before it is collected (the long
-    form has no such limit). Without it a second value in a cell is an error.
+    With ``multi`` the values of a cell become a sorted list; ``to_cells`` has the
+    same values one to a row, for cells too large for a list. Without it a second
+    value in a cell is an error.
     """
     keys = as_list(ids)
-    known = df.filter(col(name).isin(names))
     if multi:
-        over = (
-            known.groupBy(*cols(keys), col(name))
-            .agg(F.count(col(value)).alias("__n"))
-            .filter(F.col("__n") > list_limit)
-            .limit(5)
-            .collect()
-        )
-        if over:
-            raise ValueError(f"cells with more than {list_limit} values: {[tuple(r) for r in over]}")
         cell = F.array_sort(F.collect_list(col(value)))
     else:
         lowest, highest = F.min(col(value)), F.max(col(value))
@@ -135,6 +121,11 @@ def to_wide(
     return df.groupBy(*cols(keys)).pivot(name, names).agg(cell)
 
 
+def to_cells(df: DataFrame, ids: str | list[str], name: str, value: str, names: list[str]) -> DataFrame:
+    """The values of ``to_wide(multi=True)`` in long form: ids, name and value, a row per value, nulls left out."""
+    return df.filter(col(name).isin(names) & col(value).isNotNull()).select(*cols(as_list(ids)), col(name), col(value))
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Union with missing columns as null; differing types meet as text."""
     types: dict[str, set] = {}
@@ -176,15 +167,10 @@ def rows_except(a: DataFrame, b: DataFrame) -> DataFrame:
 def first_by(df: DataFrame, *order: Column, n: int = 1) -> DataFrame:
     """The first ``n`` rows in ``order``.
 
-    Every input partition keeps its own first ``n``, groups of partitions merge
-    theirs, and only those few rows meet in the last step.
+    Every task keeps its own first ``n`` in a bounded heap, and only those meet
+    in the last step; the table is never sorted or shuffled, whatever ``n`` is.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(256))
-    ranked = df.withColumn("__group", group)
-    best = ranked.withColumn(
-        "__rank", F.row_number().over(Window.partitionBy("__group").orderBy(*order))
-    ).filter(F.col("__rank") <= n)
-    return best.drop("__group", "__rank").orderBy(*order).limit(n)
+    return df.orderBy(*order).limit(n)
 
 
 def sample_rows(
@@ -197,7 +183,9 @@ def sample_rows(
     if how == "last":
         return first_by(df, *[col(k).desc() for k in keys], n=n)
     if how == "random":
-        return first_by(df, F.xxhash64(F.lit(seed), *cols(keys)), *cols(keys), n=n)
+        # A digest that other engines have too, so that a sample can be drawn again elsewhere.
+        texts = [F.coalesce(as_text(k, df.schema[k].dataType), F.lit("NA")) for k in keys]
+        return first_by(df, F.md5(F.concat_ws(":", F.lit(str(seed)), *texts)), *cols(keys), n=n)
     raise ValueError(f"how must be first, last or random, not {how!r}")
 
 

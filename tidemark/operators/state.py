@@ -79,13 +79,13 @@ def reset_state(log: DataFrame, tables: DataFrame, at: Column, ts: str = "logged
 
 
 def rebuild_state(state: DataFrame, versions: DataFrame) -> DataFrame:
-    """State with the attributes of each table's current version.
+    """State with the attributes of each table's current version, nulls included.
 
-    Tables without a version keep what they have.
+    A version without a date sends its table back to the first date. Tables without a version keep what they have.
     """
     names = ["created", "date_field", "file_type", "latest_date", "updated"]
-    attributes = versions.select("table_name", *[F.col(n).alias(f"__{n}") for n in names])
+    attributes = versions.select("table_name", F.lit(True).alias("__known"), *[F.col(n).alias(f"__{n}") for n in names])
     joined = state.join(attributes, "table_name", "left")
     return joined.select(
-        *[F.coalesce(f"__{n}", n).alias(n) if n in names else F.col(n) for n in state.columns]
+        *[F.when(F.col("__known"), F.col(f"__{n}")).otherwise(F.col(n)).alias(n) if n in names else F.col(n) for n in state.columns]
     )

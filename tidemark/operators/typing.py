@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_text, col
 from tidemark.functions.ladder import (
+    CLASS_BITS,
     CLASSES,
     DATETIME,
     MIDNIGHT,
@@ -50,8 +51,6 @@ def infer_types_sampled(
 
     A column on which the three disagree is left as character.
     """
-    if df.limit(n + 1).count() <= n:
-        return infer_types(df, integers)
     samples = None
     for how in ("random", "first", "last"):
         part = sample_rows(df, n, how, order_by, seed).withColumn("__how", F.lit(how))
@@ -73,6 +72,16 @@ def inferred_classes(df: DataFrame, integers: bool = True, demote: bool = False)
     return {r["column"]: r["class"] for r in rows}
 
 
+def unfit_columns(df: DataFrame, classes: dict[str, str], integers: bool = True) -> list[str]:
+    """Columns with a value that cannot be read as their class in ``classes``; a column without values fits any."""
+    names = [n for n in df.columns if n in classes and classes[n] in CLASSES and classes[n] != "character"]
+    if not names:
+        return []
+    bits = {n: CLASS_BITS[classes[n]] for n in names}
+    found = _masks(df.select(*[col(n) for n in names]), integers).filter("mask IS NOT NULL").collect()
+    return sorted(r["column"] for r in found if not r["mask"] & bits[r["column"]])
+
+
 def apply_types(df: DataFrame, classes: dict[str, str]) -> DataFrame:
     """Columns read as their class; text that does not fit becomes null."""
     unknown = set(classes.values()) - set(CLASSES)

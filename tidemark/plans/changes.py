@@ -12,7 +12,7 @@ from tidemark.functions.columns import as_list
 from tidemark.operators import diff, drift
 from tidemark.operators.merge import keep_known
 from tidemark.operators.profile import CATEGORY_LIMIT, describe_table
-from tidemark.operators.versions import latest_version
+from tidemark.operators.versions import KEEP_CHANGE_LOGS, latest_version
 from tidemark.session import materialize
 from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, VersionStore
 
@@ -27,6 +27,8 @@ class ChangeRecord:
     lost_columns: DataFrame
     class_changes: DataFrame
     new_categories: DataFrame
+    lost_categories: DataFrame
+    repeated: DataFrame
 
 
 def diff_versions(
@@ -40,6 +42,8 @@ def diff_versions(
 ) -> ChangeRecord | None:
     """Everything that differs between two versions; none for a first version.
 
+    Keys that a version holds twice are listed in ``repeated`` and left out of the other parts about rows.
+
     The changed keys are worked out once, from row fingerprints, and written to
     the shared folder. All row outputs read only the rows those keys point at.
     """
@@ -61,15 +65,19 @@ def diff_versions(
         lost_columns=drift.lost_columns(sides),
         class_changes=drift.class_changes(sides),
         new_categories=drift.new_categories(sides),
+        lost_categories=drift.lost_categories(sides),
+        repeated=changed.filter("status = 'repeated'").drop("status"),
     )
 
 
-def append_change_log(store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime) -> None:
+def append_change_log(
+    store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime, keep: int = KEEP_CHANGE_LOGS
+) -> None:
     """Save a change record; its rows go first, the small parts make it visible."""
     for kind in ROW_RECORDS:
         store.save_rows(kind, getattr(record, kind), table, run_ts)
     store.append_records({kind: getattr(record, kind) for kind in RECORD_COLUMNS}, table, run_ts)
-    store.purge_changes()
+    store.purge_changes(keep, table)
 
 
 def tables_with_changes(counts: DataFrame, ts: str = "run_ts", tie: str | None = None) -> DataFrame:

@@ -11,63 +11,102 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import TableConfig
 from tidemark.operators import drift, state
-from tidemark.operators.merge import upsert
+from tidemark.operators.merge import keep_known, keep_unknown, upsert
 from tidemark.operators.profile import describe_table, max_date_watermark, spark_classes
-from tidemark.operators.shape import NO_FIELD, cast_all_to_string, incremental_filter, select_fields
-from tidemark.operators.typing import inferred_classes
+from tidemark.operators.shape import NO_FIELD, cast_all_to_string, incremental_filter, select_fields, union_by_name
+from tidemark.operators.typing import inferred_classes, unfit_columns
 from tidemark.plans.changes import append_change_log, diff_versions
 from tidemark.session import delete_folder, one_row
 from tidemark.sources import pages as landed
 from tidemark.sources.store import VersionStore, moment
 
 
+@dataclass
+class Pull:
+    """What a source gave: rows (none without a single field), whether all of them, and pages to ask for again."""
+
+    rows: DataFrame | None
+    complete: bool = True
+    failed: DataFrame | None = None
+
+
 class FrameSource:
     """A DataFrame (file, table or JDBC read) as the place rows come from.
 
     The date filter and the column choice reach the reader behind it.
     """
 
+    can_reload = True
+
     def __init__(self, df: DataFrame):
         self.df = df
 
-    def fetch(self, cfg: TableConfig, min_date: str) -> DataFrame:
-        return select_fields(incremental_filter(self.df, cfg.field, min_date), extra=cfg.columns)
+    def pull(self, cfg: TableConfig, min_date: str, folder: str) -> Pull:
+        return Pull(select_fields(incremental_filter(self.df, cfg.field, min_date), extra=cfg.columns))
 
-    def live_keys(self, cfg: TableConfig) -> DataFrame:
+    def live_keys(self, cfg: TableConfig, folder: str) -> DataFrame | None:
         return select_fields(self.df, cfg.keys)
 
-    def is_complete(self) -> bool:
-        return True
+    def check(self, check_deletes: bool) -> None:
+        """Any frame can serve deletes."""
 
 
 class PageSource:
     """Landed pages as the place rows come from.
 
-    ``pages`` has ``table_name``, ``skip`` and ``body``; ``expected`` lists the
-    pages that were asked for. Pages that failed hold the watermark back.
+    ``pages`` has ``table_name``, ``skip`` and ``body``, or is a function that lands the pages from a first date on and returns them.
+    Only a function can serve a reload: fixed pages hold what was asked for once. ``expected`` lists the pages that were asked for, or
+    is a function of the first date too. ``key_pages`` are pages that hold the keys of all live rows, with ``expected_keys`` next to them;
+    without them deletes cannot be told from rows that were not asked for. Only pages of the table at hand are looked at.
     """
 
-    def __init__(self, pages: DataFrame, expected: DataFrame | None = None, fields: list[str] | None = None):
+    def __init__(
+        self,
+        pages: DataFrame | Callable[[str], DataFrame],
+        expected: DataFrame | Callable[[str], DataFrame] | None = None,
+        fields: list[str] | None = None,
+        key_pages: DataFrame | None = None,
+        expected_keys: DataFrame | None = None,
+    ):
         self.pages = pages
         self.expected = expected
         self.fields = fields
-
-    def _rows(self) -> DataFrame:
-        return landed.read_landed_pages(self.pages, self.fields)
-
-    def fetch(self, cfg: TableConfig, min_date: str) -> DataFrame:
-        return select_fields(incremental_filter(self._rows(), cfg.field, min_date), extra=cfg.columns)
-
-    def live_keys(self, cfg: TableConfig) -> DataFrame:
-        return landed.read_landed_pages(self.pages, cfg.keys)
-
-    def failed(self) -> DataFrame:
-        expected = self.pages.select("table_name", "skip") if self.expected is None else self.expected
-        return landed.quarantine_pages(self.pages, expected)
-
-    def is_complete(self) -> bool:
-        short = landed.reconcile_counts(self.pages).filter("NOT complete")
-        return self.failed().isEmpty() and short.isEmpty()
+        self.key_pages = key_pages
+        self.expected_keys = expected_keys
+
+    @property
+    def can_reload(self) -> bool:
+        return callable(self.pages)
+
+    def check(self, check_deletes: bool) -> None:
+        if check_deletes and self.key_pages is None:
+            raise ValueError("check_deletes needs key_pages: the keys of all live rows")
+
+    def pull(self, cfg: TableConfig, min_date: str, folder: str) -> Pull:
+        pages = self.pages(min_date) if callable(self.pages) else self.pages
+        expected = self.expected(min_date) if callable(self.expected) else self.expected
+        parsed, complete, failed = _landed(pages, expected, cfg.table_name, f"{folder}-pages")
+        fields = landed.fields_of(parsed) if self.fields is None else self.fields
+        if not fields:
+            return Pull(None, complete, failed)
+        rows = incremental_filter(landed.rows_of(parsed, fields), cfg.field if cfg.field in fields else None, min_date)
+        return Pull(select_fields(rows, extra=[c for c in cfg.columns or [] if c in fields]), complete, failed)
+
+    def live_keys(self, cfg: TableConfig, folder: str) -> DataFrame | None:
+        """Keys of all live rows; none if a page of them is missing."""
+        parsed, complete, _ = _landed(self.key_pages, self.expected_keys, cfg.table_name, f"{folder}-keys")
+        return landed.rows_of(parsed, cfg.keys) if complete else None
+
+
+def _landed(pages: DataFrame, expected: DataFrame | None, table: str, folder: str) -> tuple[DataFrame, bool, DataFrame]:
+    """The pages of one table, parsed once into ``folder``; whether they are all there and add up; those to fetch again."""
+    spark = pages.sparkSession
+    own = landed.parse_pages(pages.filter(F.col("table_name") == table)).drop("body")
+    own.write.mode("overwrite").parquet(folder)
+    parsed = spark.read.schema(own.schema).parquet(folder)
+    failed = landed.failed_pages(parsed, None if expected is None else expected.filter(F.col("table_name") == table))
+    short = landed.count_records(parsed).filter("NOT complete")
+    return parsed, failed.isEmpty() and short.isEmpty(), failed
 
 
 @dataclass
@@ -77,15 +116,23 @@ class RefreshResult:
     reloaded: bool
     complete: bool
     latest_date: date | None
+    reload_wanted: bool = False
 
 
 def _classes(df: DataFrame, cfg: TableConfig) -> dict[str, str]:
     return inferred_classes(df) if cfg.infer_classes else spark_classes(df)
 
 
-def _names_and_classes(df: DataFrame, cfg: TableConfig) -> DataFrame:
-    """Profile without value sets, which the reload decision does not look at."""
-    return df.sparkSession.createDataFrame(list(_classes(df, cfg).items()), "var_name string, var_class string")
+def _drifted(delta: DataFrame, stored_classes: dict[str, str], cfg: TableConfig) -> bool:
+    """Whether the delta has a new column or values that the stored classes cannot hold."""
+    if not cfg.infer_classes:
+        spark = delta.sparkSession
+        schema = "var_name string, var_class string"
+        sides = [spark.createDataFrame(list(c.items()), schema) for c in (stored_classes, spark_classes(delta))]
+        return drift.needs_full_reload(*sides).first()[0]
+    if set(delta.columns) - set(stored_classes):
+        return True
+    return bool(unfit_columns(delta, stored_classes))
 
 
 def refresh_table(
@@ -102,7 +149,11 @@ def refresh_table(
     classes drifted, merges, and records what changed. The order of writes is
     rows, change record, manifest, state; a run that dies leaves the old version
     current and can simply be repeated.
+
+    Rows are never lost to a pull that holds less than was asked for: where the source cannot serve a
+    reload nothing is merged and the result says so, and a reload that is not complete leaves the version current that was there.
     """
+    source.check(check_deletes)
     spark, table, now = store.spark, cfg.table_name, store.now()
     log = store.state_log()
     known = state.current_state(log).filter(F.col("table_name") == table).first()
@@ -110,66 +161,85 @@ def refresh_table(
         store.log_state(state.initial_entry(spark, table, cfg.field, now))
     before = store.current(table)
     base = before
+    staged = f"{store.root}/staging/{now:%Y%m%d_%H%M%S_%f}"
 
     def start_over() -> None:
         target = one_row(spark, "table_name string, date_field string", (table, cfg.field))
         store.log_state(state.reset_state(store.state_log(), target, moment(store.now())))
 
-    reloaded = replace or (known is not None and known.date_field != cfg.field)
+    def stage(min_date: str, folder: str) -> tuple[DataFrame | None, Pull]:
+        """Land the fetched rows once; every later step reads this copy."""
+        pull = source.pull(cfg, min_date, folder)
+        if pull.failed is not None:
+            store.save_failed(pull.failed, table, now)
+        if pull.rows is None:
+            return None, pull
+        rows = cast_all_to_string(pull.rows)
+        rows.write.mode("overwrite").parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder), pull
+
+    def leave(result: RefreshResult) -> RefreshResult:
+        delete_folder(spark, staged)
+        return result
+
+    changed_field = known is not None and known.date_field != cfg.field
+    if changed_field and not replace and not source.can_reload and before is not None:
+        return leave(RefreshResult(table, None, False, False, known.latest_date, reload_wanted=True))
+    reloaded = replace or changed_field
     if reloaded:
         start_over()
         base = None
     since = state.FIRST_DATE if base is None or known is None else str(known.latest_date)
-
-    complete = source.is_complete()
-    staged = f"{store.root}/staging/{now:%Y%m%d_%H%M%S_%f}"
-
-    def stage(min_date: str, folder: str) -> DataFrame:
-        """Land the fetched rows once; every later step reads this copy."""
-        rows = cast_all_to_string(source.fetch(cfg, min_date))
-        rows.write.mode("overwrite").parquet(folder)
-        return spark.read.schema(rows.schema).parquet(folder)
-
-    delta = stage(since, f"{staged}/delta")
-    fetched = not delta.isEmpty()
+    delta, pull = stage(since, f"{staged}/delta")
+    fetched = delta is not None and not delta.isEmpty()
+    old_profile = None if before is None else store.profile(before.version_id)
     if base is not None and fetched:
-        stored = spark.read.parquet(base.path)
-        decision = drift.needs_full_reload(_names_and_classes(stored, cfg), _names_and_classes(delta, cfg))
-        if decision.first()[0]:
+        stored_classes = {r.var_name: r.var_class for r in old_profile.select("var_name", "var_class").collect()}
+        stored_classes = stored_classes or _classes(spark.read.parquet(base.path), cfg)
+        if _drifted(delta, stored_classes, cfg):
+            if not source.can_reload:
+                return leave(RefreshResult(table, None, False, pull.complete, known.latest_date, reload_wanted=True))
             start_over()
             base, reloaded = None, True
-            delta = stage(state.FIRST_DATE, f"{staged}/reload")
-            fetched = not delta.isEmpty()
+            delta, pull = stage(state.FIRST_DATE, f"{staged}/reload")
+            fetched = delta is not None and not delta.isEmpty()
+    complete = pull.complete
+    if base is None and before is not None and not complete:
+        # Part of a table is no replacement for all of it.
+        return leave(RefreshResult(table, None, False, False, None if reloaded else known.latest_date))
 
     live = None
     if check_deletes and complete:
-        live = cast_all_to_string(source.live_keys(cfg))
-        live = None if live.isEmpty() else live
+        live = source.live_keys(cfg, staged)
+        live = None if live is None else cast_all_to_string(live)
+        live = None if live is None or live.isEmpty() else live
 
     # A reload that is not complete has to start from the first date again.
     latest = None if known is None or reloaded else known.latest_date
     version_id = None
     if fetched or (base is not None and live is not None):
         old = None if base is None else spark.read.parquet(base.path)
+        if delta is None:
+            delta = old.limit(0)
         trusted = base is not None and bool(base.rows_distinct)
         merged = upsert(old, delta, cfg.keys, live, old_is_distinct=trusted)
         version_id, path = store.save_data(merged, table)
         current = spark.read.parquet(path)
-        found = max_date_watermark(current, cfg.field).first()[0] if cfg.field != NO_FIELD else None
-        if complete:
-            latest = found
-        profile = describe_table(current, _classes(current, cfg))
+        if complete and cfg.field != NO_FIELD:
+            # Rows that stay are dated no later than the known date, unless some were deleted.
+            grown = base is not None and live is None
+            found = max_date_watermark(delta if grown else current, cfg.field).first()[0]
+            latest = max(filter(None, [found, latest]), default=None) if grown else found
+        elif complete:
+            latest = None
+        profile = describe_table(current, _classes(current, cfg), cfg.category_limit)
         store.save_profile(profile, table, version_id)
         if before is not None:
-            record = diff_versions(
-                current,
-                spark.read.parquet(before.path),
-                cfg.keys,
-                store.profile(version_id),
-                store.profile(before.version_id),
-                show_edits,
-            )
-            append_change_log(store, record, table, now)
+            new_part, old_part = current, spark.read.parquet(before.path)
+            if base is not None:
+                new_part, old_part = _touched(current, delta, old_part, cfg.keys, live)
+            record = diff_versions(new_part, old_part, cfg.keys, store.profile(version_id), old_profile, show_edits)
+            append_change_log(store, record, table, now, cfg.keep_change_logs)
         attrs = {
             "created": now if before is None else before.created,
             "updated": now,
@@ -181,9 +251,23 @@ def refresh_table(
     columns = "table_name string, latest_date date, updated timestamp_ntz, date_field string"
     entry = one_row(spark, columns, (table, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
-    store.expire()
-    delete_folder(spark, staged)
-    return RefreshResult(table, version_id, reloaded, complete, latest)
+    store.expire(cfg.keep_versions, table=table)
+    return leave(RefreshResult(table, version_id, reloaded, complete, latest))
+
+
+def _touched(
+    current: DataFrame, delta: DataFrame, old: DataFrame, keys: list[str], live: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of both versions that a merge can have changed: those with keys of the delta, and those deleted.
+
+    All others are the same in both, so they are neither fingerprinted nor shuffled.
+    """
+    fresh = delta if live is None else keep_known(delta, live, keys)
+    fresh = union_by_name(current.limit(0), fresh.distinct())
+    replaced = keep_known(old, delta, keys)
+    if live is not None:
+        replaced = replaced.unionByName(keep_unknown(keep_unknown(old, delta, keys), live, keys))
+    return fresh, replaced.distinct()
 
 
 def refresh_all(

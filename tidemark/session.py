@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,9 @@ SETTINGS = {
 }
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -30,16 +34,15 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder of its own.
+    Only a session whose tasks all run in this process may lack the setting; it gets one folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _OWN_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -74,6 +77,14 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(target, True))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it does not exist."""
+    if not folder_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

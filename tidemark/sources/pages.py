@@ -44,11 +44,29 @@ def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
 
 def record_fields(pages: DataFrame, body: str = "body") -> list[str]:
     """All field names in the pages, sorted; only the names reach the driver."""
-    parsed = parse_pages(pages, body).filter("readable")
-    names = parsed.select(F.explode("records").alias("r")).select(F.explode(F.map_keys("r")).alias("name"))
+    return fields_of(parse_pages(pages, body))
+
+
+def fields_of(parsed: DataFrame) -> list[str]:
+    names = _records(parsed, []).select(F.explode(F.map_keys("__record")).alias("name"))
     return sorted(r.name for r in names.distinct().collect())
 
 
+def _records(parsed: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per record of readable pages.
+
+    Unreadable pages fall out behind the generator: a filter before it would be
+    moved below the parser and make Spark parse every page twice.
+    """
+    rows = F.when(F.col("readable"), F.col("records"))
+    return parsed.select(*cols(keep), F.explode_outer(rows).alias("__record")).filter("__record IS NOT NULL")
+
+
+def rows_of(parsed: DataFrame, fields: list[str], keep: list[str] = ()) -> DataFrame:
+    """The records of parsed pages, every field as text."""
+    return _records(parsed, list(keep)).select(*cols(list(keep)), *_pick(F.col("__record"), fields))
+
+
 def _pick(record: Column, fields: list[str]) -> list[Column]:
     return [record[f].alias(f) for f in fields]
 
@@ -63,11 +81,7 @@ def read_landed_pages(
     the page along.
     """
     fields = record_fields(pages, body) if fields is None else fields
-    kept = as_list(keep or [])
-    records = (
-        parse_pages(pages, body).filter("readable").select(*cols(kept), F.explode("records").alias("__record"))
-    )
-    return records.select(*cols(kept), *_pick(F.col("__record"), fields))
+    return rows_of(parse_pages(pages, body), fields, as_list(keep or []))
 
 
 def read_page_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -87,7 +101,9 @@ def read_json_pages(spark: SparkSession, path: str, multi_line: bool = True) ->
     pages = (
         spark.read.option("multiLine", str(multi_line).lower()).option("primitivesAsString", "true").json(path)
     )
-    if ROWS_FIELD not in pages.columns:
+    kind = pages.schema[ROWS_FIELD].dataType if ROWS_FIELD in pages.columns else None
+    # Without a single record the reader takes the empty lists for lists of text.
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)):
         return spark.createDataFrame([], "value string").select()
     rows = pages.select(F.inline(ROWS_FIELD))
     return rows.select(*[as_text(f.name, f.dataType).alias(f.name) for f in rows.schema.fields])
@@ -108,15 +124,26 @@ def quarantine_pages(
     pages: DataFrame, expected: DataFrame, keys: str | list[str] = ("table_name", "skip"), body: str = "body"
 ) -> DataFrame:
     """Pages to fetch again: unreadable ones, and expected ones that never came."""
+    return failed_pages(parse_pages(pages, body), expected, keys)
+
+
+def failed_pages(parsed: DataFrame, expected: DataFrame | None, keys: str | list[str] = ("table_name", "skip")) -> DataFrame:
+    """The same over pages that are parsed already."""
     names = as_list(keys) if isinstance(keys, str) else list(keys)
-    unreadable = parse_pages(pages, body).filter("NOT readable").select(*cols(names), F.lit("unreadable").alias("reason"))
-    absent = keep_unknown(expected, pages, names).select(*cols(names), F.lit("absent").alias("reason"))
+    unreadable = parsed.filter("NOT readable").select(*cols(names), F.lit("unreadable").alias("reason"))
+    if expected is None:
+        return unreadable
+    absent = keep_unknown(expected, parsed, names).select(*cols(names), F.lit("absent").alias("reason"))
     return unreadable.unionByName(absent)
 
 
 def reconcile_counts(pages: DataFrame, table: str = "table_name", body: str = "body") -> DataFrame:
     """Rows each table reported against the rows that landed."""
-    parsed = parse_pages(pages, body)
+    return count_records(parse_pages(pages, body), table)
+
+
+def count_records(parsed: DataFrame, table: str = "table_name") -> DataFrame:
+    """The same over pages that are parsed already."""
     landed = F.coalesce(F.sum(F.when(F.col("readable"), F.size("records")).otherwise(0)), F.lit(0))
     counted = parsed.groupBy(col(table)).agg(F.max("reported").alias("reported"), landed.alias("landed"))
     return counted.withColumn("complete", F.coalesce(F.col("reported") == F.col("landed"), F.lit(False)))

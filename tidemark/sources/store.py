@@ -26,7 +26,7 @@ from tidemark.operators.versions import (
     tables_without_version,
     version_as_of,
 )
-from tidemark.session import delete_folder, folder_exists, one_row
+from tidemark.session import delete_folder, folder_exists, folder_names, one_row
 
 MANIFEST_SCHEMA = (
     "table_name string, version_id string, version_ts timestamp_ntz, path string, rows_distinct boolean, "
@@ -46,6 +46,7 @@ RECORD_COLUMNS = {
     "lost_columns": ["var_name"],
     "class_changes": ["var_name", "old_var_class", "new_var_class"],
     "new_categories": ["var_name", "old_set", "new_set", "same", "in_old_not_new", "in_new_not_old"],
+    "lost_categories": ["var_name", "old_set"],
 }
 RECORD_SCHEMA = (
     "table_name string, run_ts timestamp_ntz, element string, n_added bigint, n_edited bigint, n_deleted bigint, "
@@ -53,7 +54,7 @@ RECORD_SCHEMA = (
     "in_old_not_new string, in_new_not_old string"
 )
 # Change records that carry rows of the table itself.
-ROW_RECORDS = ["added", "deleted", "edited"]
+ROW_RECORDS = ["added", "deleted", "edited", "repeated"]
 
 
 def moment(ts: datetime) -> Column:
@@ -161,9 +162,12 @@ class VersionStore:
         row = (table, None, now, None, None, None, None, None, None, None, None, "reset", now)
         self._append(one_row(self.spark, MANIFEST_SCHEMA, row), "manifest", MANIFEST_SCHEMA)
 
-    def expire(self, n: int = KEEP_VERSIONS, purge: bool = True) -> DataFrame:
-        """Keep the newest ``n`` versions per table besides the current one."""
+    def expire(self, n: int = KEEP_VERSIONS, purge: bool = True, table: str | None = None) -> DataFrame:
+        """Keep the newest ``n`` versions per table, or of one table, besides the current one and those in a snapshot."""
         live = self.versions()
+        if table is not None:
+            live = live.filter(F.col("table_name") == table)
+        live = live.join(self.snapshots().select("version_id"), "version_id", "left_anti").select(*live.columns)
         archived = live.join(self.current_versions().select("version_id"), "version_id", "left_anti")
         kept = retain_latest_n(archived, n, tie="logged_at").select("version_id")
         gone = archived.join(kept, "version_id", "left_anti").select(*live.columns)
@@ -203,16 +207,16 @@ class VersionStore:
     # -- snapshots and revert -----------------------------------------------
 
     def snapshot_all(self, ts: datetime | None = None, tables: list[str] | None = None) -> str:
-        """Copy the current version of every table under one label."""
+        """Hold the current version of every table under one label.
+
+        The files of a version never change, so a snapshot is a list of versions that do not expire.
+        """
         at = moment(ts or self.now())
         label = self.spark.range(1).select(snapshot_label(at)).first()[0]
-        for row in self.current_versions().select("table_name", "version_id", "path").collect():
-            if tables is not None and row.table_name not in tables:
-                continue
-            path = f"{self.root}/snapshots/snapshot_{label}/{folder_name(row.table_name)}"
-            self.spark.read.parquet(row.path).write.mode("overwrite").parquet(path)
-            entry = one_row(self.spark, SNAPSHOT_SCHEMA, (label, row.table_name, row.version_id, path))
-            self._append(entry, "snapshot_list", SNAPSHOT_SCHEMA)
+        held = self.current_versions()
+        if tables is not None:
+            held = held.filter(F.col("table_name").isin(tables))
+        self._append(held.withColumn("label", F.lit(label)), "snapshot_list", SNAPSHOT_SCHEMA)
         return label
 
     def snapshots(self) -> DataFrame:
@@ -273,15 +277,33 @@ class VersionStore:
         path = self._row_folder(kind, table, run_ts)
         return self.spark.read.parquet(path) if folder_exists(self.spark, path) else None
 
-    def purge_changes(self, n: int = KEEP_CHANGE_LOGS) -> None:
-        """Delete the row records of runs beyond the newest ``n`` per table."""
-        runs = self._runs()
-        old = runs.join(retain_latest_n(runs, n, "run_ts"), ["table_name", "run_ts"], "left_anti")
-        for run in old.collect():
-            for kind in ROW_RECORDS:
-                path = self._row_folder(kind, run.table_name, run.run_ts)
-                if folder_exists(self.spark, path):
-                    delete_folder(self.spark, path)
+    def purge_changes(self, n: int = KEEP_CHANGE_LOGS, table: str | None = None) -> None:
+        """Delete the row records of runs beyond the newest ``n`` of a table, or of every table.
+
+        Folders that are still there are listed, not the runs ever logged, so a purge costs as much after years.
+        """
+        for kind in ROW_RECORDS:
+            folder = f"{self.root}/changes/{kind}"
+            for name in [folder_name(table)] if table is not None else folder_names(self.spark, folder):
+                # Names are time stamps, so their order is that of the runs.
+                for run in sorted(folder_names(self.spark, f"{folder}/{name}"))[:-n]:
+                    delete_folder(self.spark, f"{folder}/{name}/{run}")
+
+    # -- pages to fetch again -------------------------------------------------
+
+    def save_failed(self, failed: DataFrame, table: str, run_ts: datetime) -> None:
+        """Keep the list of pages that a pull lacked, empty or not."""
+        failed.select("skip", "reason").write.mode("overwrite").parquet(f"{self.root}/failed/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}")
+        for run in sorted(folder_names(self.spark, f"{self.root}/failed/{folder_name(table)}"))[:-1]:
+            delete_folder(self.spark, f"{self.root}/failed/{folder_name(table)}/{run}")
+
+    def failed_pages(self, table: str) -> DataFrame:
+        """``skip`` and ``reason`` of the pages that the latest pull of a table lacked."""
+        folder = f"{self.root}/failed/{folder_name(table)}"
+        runs = sorted(folder_names(self.spark, folder))
+        if not runs:
+            return self.spark.createDataFrame([], "skip bigint, reason string")
+        return self.spark.read.parquet(f"{folder}/{runs[-1]}")
 
 
 def labelled(versions: DataFrame, ts: str = "version_ts") -> DataFrame:

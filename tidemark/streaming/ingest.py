@@ -11,9 +11,9 @@ from tidemark.operators import state
 from tidemark.operators.merge import upsert
 from tidemark.operators.profile import max_date_watermark
 from tidemark.operators.shape import NO_FIELD
-from tidemark.session import one_row
-from tidemark.sources.pages import read_landed_pages
-from tidemark.sources.store import VersionStore
+from tidemark.session import delete_folder, folder_names, materialize, one_row
+from tidemark.sources.pages import parse_pages, rows_of
+from tidemark.sources.store import VersionStore, folder_name
 
 
 def stream_page_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -22,11 +22,11 @@ def stream_page_files(spark: SparkSession, path: str, multi_line: bool = True) -
     return text.select(F.col("value").alias("body"))
 
 
-def merge_batch(store: VersionStore, cfg: TableConfig, rows: DataFrame) -> None:
+def merge_batch(store: VersionStore, cfg: TableConfig, rows: DataFrame, complete: bool = True) -> None:
     """Make a new version of the table out of the current one and ``rows``.
 
     Merging the same rows again changes nothing, so a batch that is replayed
-    after a failure is harmless.
+    after a failure is harmless. A batch that is not complete leaves the date where it was.
     """
     spark, table = store.spark, cfg.table_name
     current = store.current(table)
@@ -35,13 +35,33 @@ def merge_batch(store: VersionStore, cfg: TableConfig, rows: DataFrame) -> None:
     version_id, path = store.save_data(merged, table)
     written = spark.read.parquet(path)
     latest = None if cfg.field == NO_FIELD else max_date_watermark(written, cfg.field).first()[0]
+    if not complete:
+        known = store.state().filter(F.col("table_name") == table).first()
+        latest = None if known is None else known.latest_date
     now = store.now()
     attrs = {"updated": now, "date_field": cfg.field, "latest_date": latest}
     store.publish(table, version_id, path, now, attrs, rows_distinct=old is not None)
     columns = "table_name string, latest_date date, updated timestamp_ntz, date_field string"
     entry = one_row(spark, columns, (table, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
-    store.expire()
+    store.expire(cfg.keep_versions, table=table)
+
+
+def _quarantine(store: VersionStore, cfg: TableConfig) -> str:
+    return f"{store.root}/quarantine/{folder_name(cfg.table_name)}"
+
+
+def quarantined_pages(store: VersionStore, cfg: TableConfig) -> DataFrame:
+    """``body`` and ``batch_id`` of the unreadable pages that hold the date back."""
+    folder = _quarantine(store, cfg)
+    if not folder_names(store.spark, folder):
+        return store.spark.createDataFrame([], "body string, batch_id bigint")
+    return store.spark.read.parquet(f"{folder}/*")
+
+
+def release(store: VersionStore, cfg: TableConfig) -> None:
+    """Forget the unreadable pages, once they landed again in a readable form."""
+    delete_folder(store.spark, _quarantine(store, cfg))
 
 
 def refresh_stream(
@@ -50,13 +70,18 @@ def refresh_stream(
     """Merge every page that landed since the last run, then stop.
 
     ``checkpoint`` remembers the files already merged. The fields are named, as
-    a stream cannot look ahead for them.
+    a stream cannot look ahead for them. Unreadable pages of a batch are kept in ``quarantined_pages`` and hold the date
+    back from then on, until ``release`` says that they came again.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = read_landed_pages(batch, fields)
+        parsed = materialize(parse_pages(batch), "stream-pages")
+        broken = parsed.filter("NOT readable").select("body").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if not broken.isEmpty():
+            broken.write.mode("overwrite").parquet(f"{_quarantine(store, cfg)}/batch={batch_id}")
+        rows = rows_of(parsed, fields)
         if not rows.isEmpty():
-            merge_batch(store, cfg, rows)
+            merge_batch(store, cfg, rows, complete=not folder_names(store.spark, _quarantine(store, cfg)))
 
     writer = pages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
