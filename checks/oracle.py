@@ -162,11 +162,22 @@ ORACLE["profile_with_sets"] = f"""
 SELECT *, CASE WHEN n_unique <= 30 THEN CASE var_name {_SETS} END END AS values
 FROM ({_profile("lineitem", _LINEITEM)})
 """
-ORACLE["schema_diff"] = """
-SELECT * FROM (VALUES ('c_custkey', 'bigint', 'bigint'), ('c_name', 'string', NULL), ('c_acctbal', NULL, 'double'),
-  ('c_nationkey', 'int', 'string'), ('c_mktsegment', 'string', 'string')) AS d(var_name, old_var_class, new_var_class)
-WHERE EXISTS (SELECT 1 FROM customer)
-"""
+_KIND = (
+    "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END"
+)
+
+
+def _schema(sql: str) -> str:
+    """Column names and classes from the engine's own description of a query."""
+    return f"(SELECT column_name AS var_name, {_KIND} AS kind FROM (DESCRIBE {sql}))"
+
+
+def _schema_diff(old: str, new: str) -> str:
+    return f"SELECT var_name, o.kind AS old_var_class, n.kind AS new_var_class FROM {_schema(old)} o FULL JOIN {_schema(new)} n USING (var_name)"
+
+
+ORACLE["schema_diff"] = _schema_diff(fx.OLD_CUSTOMER, fx.NEW_CUSTOMER)
 
 # -- aggregations -------------------------------------------------------------
 
@@ -420,9 +431,11 @@ _COUNTS = ORACLE["change_counts"].removeprefix(BOTH)
 ORACLE["append_change_log"] = BOTH + f"""
 SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
   SELECT o_orderkey, name, new, old, NULL AS table_name, NULL AS n_added, NULL AS n_edited, NULL AS n_deleted FROM ({_CELLS})
+  UNION ALL SELECT o_orderkey, 'added', o_orderstatus, NULL, NULL, NULL, NULL, NULL FROM ({_ADDED})
+  UNION ALL SELECT o_orderkey, 'deleted', o_orderstatus, NULL, NULL, NULL, NULL, NULL FROM ({_DELETED})
   UNION ALL SELECT NULL, NULL, NULL, NULL, 'orders', n_added, n_edited, n_deleted FROM ({_COUNTS}))
 """
-ORACLE["latest_change_summary"] = f"""
+ORACLE["tables_with_changes"] = f"""
 SELECT table_name, n_added, n_edited, n_deleted FROM ({_newest(fx.CHANGE_COUNTS, 'run_ts', 'entry')})
 WHERE n_added + n_edited + n_deleted > 0
 """
@@ -438,6 +451,75 @@ UNION ALL SELECT 'new_columns', 'o_clerk', NULL
 UNION ALL SELECT 'new_categories', 'o_orderstatus', 'X' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderstatus = 'X')
 UNION ALL SELECT 'new_categories', 'o_orderpriority', 'NA' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderpriority IS NULL)
 """
+_CUSTOMER_DRIFT = _schema_diff(fx.OLD_CUSTOMER, fx.NEW_CUSTOMER)
+_ORDER_DRIFT = _schema_diff("SELECT * FROM orders", fx.NEW_ORDERS)
+
+
+def _summary(table: str, drift: str) -> str:
+    return f"""
+SELECT '{table}' AS table_name, 'new_columns' AS element, var_name AS item, NULL AS detail FROM ({drift}) WHERE old_var_class IS NULL
+UNION ALL SELECT '{table}', 'lost_columns', var_name, NULL FROM ({drift}) WHERE new_var_class IS NULL
+UNION ALL SELECT '{table}', 'class_changes', var_name, old_var_class || ' ' || new_var_class FROM ({drift}) WHERE old_var_class <> new_var_class
+"""
+
+
+ORACLE["latest_change_summary"] = f"""
+WITH a AS ({fx.OLD_CUSTOMER}), b AS ({fx.NEW_CUSTOMER}), new AS ({fx.NEW_ORDERS}), old AS (SELECT * FROM orders), counts AS ({_COUNTS})
+SELECT 'customer' AS table_name, 'counts' AS element, CAST(count(*) AS VARCHAR) AS item, '0 0' AS detail
+FROM a JOIN b USING (c_custkey) WHERE a.c_mktsegment IS DISTINCT FROM b.c_mktsegment OR CAST(a.c_nationkey AS VARCHAR) IS DISTINCT FROM b.c_nationkey
+UNION ALL SELECT 'orders', 'counts', CAST(n_edited AS VARCHAR), n_added || ' ' || n_deleted FROM counts
+UNION ALL {_summary('customer', _CUSTOMER_DRIFT)} UNION ALL {_summary('orders', _ORDER_DRIFT)}
+UNION ALL SELECT 'customer', 'new_categories', 'c_mktsegment',
+    (SELECT string_agg(v, ', ' ORDER BY v = 'NA', v) FROM (SELECT DISTINCT coalesce(c_mktsegment, 'NA') AS v FROM b
+     WHERE coalesce(c_mktsegment, 'NA') NOT IN (SELECT coalesce(c_mktsegment, 'NA') FROM a)))
+UNION ALL SELECT 'orders', 'new_categories', 'o_orderstatus', 'X' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderstatus = 'X')
+UNION ALL SELECT 'orders', 'new_categories', 'o_orderpriority', 'NA' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderpriority IS NULL)
+"""
+_WIDE_DRIFT = _schema_diff("SELECT * FROM orders", f"SELECT * EXCLUDE (o_totalprice) REPLACE (CAST(o_custkey AS VARCHAR) AS o_custkey) FROM ({fx.NEW_ORDERS})")
+ORACLE["diff_versions_drift"] = BOTH + f"""
+SELECT 'counts' AS element, 'n_added' AS item, CAST(count(*) AS VARCHAR) AS detail FROM ({_ADDED})
+UNION ALL SELECT 'counts', 'n_edited', '0'
+UNION ALL SELECT 'counts', 'n_deleted', CAST(count(*) AS VARCHAR) FROM ({_DELETED})
+UNION ALL SELECT 'added', CAST(o_orderkey AS VARCHAR), o_clerk FROM ({_ADDED})
+UNION ALL SELECT 'deleted', CAST(o_orderkey AS VARCHAR), o_orderstatus FROM ({_DELETED})
+UNION ALL SELECT 'new_columns', var_name, NULL FROM ({_WIDE_DRIFT}) WHERE old_var_class IS NULL
+UNION ALL SELECT 'lost_columns', var_name, NULL FROM ({_WIDE_DRIFT}) WHERE new_var_class IS NULL
+UNION ALL SELECT 'class_changes', var_name, new_var_class FROM ({_WIDE_DRIFT}) WHERE old_var_class <> new_var_class
+UNION ALL SELECT 'new_categories', 'o_orderstatus', 'X' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderstatus = 'X')
+UNION ALL SELECT 'new_categories', 'o_orderpriority', 'NA' WHERE EXISTS (SELECT 1 FROM new WHERE o_orderpriority IS NULL)
+"""
+ORACLE["diff_versions_repeated_keys"] = """
+WITH n AS (SELECT l_orderkey, l_linenumber, count(*) AS n, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, NULL AS name, NULL AS new, NULL AS old, NULL AS n_added, NULL AS n_edited, NULL AS n_deleted, 'repeated' AS part FROM n WHERE n > 1
+UNION ALL SELECT l_orderkey, l_linenumber, 'l_returnflag', 'X', 'R', NULL, NULL, NULL, 'edited' FROM n WHERE n = 1 AND flag = 'R'
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 0, count(*) FILTER (n = 1 AND flag = 'R'), 0, 'counts' FROM n
+"""
+ORACLE["plan_extraction"] = f"""
+SELECT 'orders' AS table_name, 'id_filter' AS method, NULL AS skip, NULL AS top, predicate FROM ({ORACLE['id_range_chunks']})
+UNION ALL SELECT 'lineitem', 'skip_top', unnest(range(0, (SELECT count(*) FROM lineitem) + 1, 500)), 500, NULL
+"""
+ORACLE["read_page_files_empty"] = """
+SELECT count(*) FILTER (o_orderkey IS NULL) AS n, unnest(['files', 'column']) AS reader FROM orders
+"""
+ORACLE["unfit_columns"] = f"""
+WITH ladder AS ({fx.LADDER})
+SELECT 'whole' AS unfit WHERE EXISTS (SELECT 1 FROM ladder WHERE flag = 'T' AND NOT regexp_full_match('1.5', '-?[0-9]+'))
+UNION ALL SELECT 'day' WHERE EXISTS (SELECT 1 FROM ladder WHERE NOT regexp_full_match(clock, '[0-9]{{4}}-.*'))
+"""
+ORACLE["refresh_pages_incremental"] = f"""
+WITH {NEW}, {OLD}, delta AS (SELECT * FROM new WHERE o_orderdate >= (SELECT max(o_orderdate) FROM old) OR o_orderdate IS NULL)
+SELECT {_TEXT} FROM delta UNION SELECT {_TEXT} FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM delta)
+"""
+ORACLE["refresh_pages_drift"] = f"""
+WITH {NEW}, {OLD} SELECT {_TEXT}, NULL AS o_clerk, 'reload wanted True' AS step FROM old
+UNION ALL SELECT {_TEXT}, o_clerk, 'reloaded True' FROM new
+"""
+ORACLE["refresh_pages_deletes"] = ORACLE["refresh_table"]
+ORACLE["refresh_pages_incomplete"] = f"""
+SELECT {_TEXT}, false AS complete, NULL AS skip, NULL AS reason FROM orders
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(o_custkey AS VARCHAR), CASE WHEN o_custkey % 11 = 5 THEN 'absent' ELSE 'unreadable' END
+FROM (SELECT DISTINCT o_custkey FROM orders) WHERE o_custkey % 11 = 5 OR o_custkey % 7 = 3
+"""
 ORACLE["revert"] = """
 SELECT CAST(COLUMNS(*) AS VARCHAR), NULL AS left_out FROM orders
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'supplier'

@@ -13,7 +13,7 @@ from checks.fixtures import Tables
 from tidemark.catalog import config
 from tidemark.functions import text
 from tidemark.operators import diff, drift, merge, profile, ranges, shape, state, typing, versions
-from tidemark.plans import changes, clean, refresh
+from tidemark.plans import changes, clean, extract, refresh
 from tidemark.session import apply_settings, new_folder
 from tidemark.sources import declared, pages
 from tidemark.sources.store import VersionStore
@@ -654,6 +654,61 @@ def refresh_with_drift(t: Tables) -> DataFrame:
     return store.read_version("orders")
 
 
+def _pages_of(df: DataFrame, by: str, table: str = "orders") -> DataFrame:
+    """Landed pages that hold the rows of ``df``, one per value of ``by``, next to a page of another table."""
+    texts = shape.cast_all_to_string(df)
+    records = texts.groupBy(F.col(by).cast("bigint").alias("skip")).agg(F.collect_list(F.struct(*texts.columns)).alias(pages.ROWS_FIELD))
+    body = F.to_json(F.struct(F.lit(df.count()).alias(pages.COUNT_FIELD), pages.ROWS_FIELD))
+    own = records.select(F.lit(table).alias("table_name"), "skip", body.alias("body"))
+    other = F.to_json(F.struct(F.lit(9).alias(pages.COUNT_FIELD), F.array(F.struct(F.lit("x").alias("other"))).alias(pages.ROWS_FIELD)))
+    return own.unionByName(own.limit(1).select(F.lit("other").alias("table_name"), "skip", other.alias("body")))
+
+
+def _first_pull(t: Tables):
+    store, cfg = _new_store(t, "store"), config("orders", KEY, "o_orderdate")
+    refresh.refresh_table(store, refresh.PageSource(_pages_of(t.orders, "o_custkey")), cfg)
+    return store, cfg
+
+
+@query
+def refresh_pages_incremental(t: Tables) -> DataFrame:
+    store, cfg = _first_pull(t)
+    later = t.derive(fx.NEW_ORDERS).drop("o_clerk")
+    refresh.refresh_table(store, refresh.PageSource(_pages_of(later, "o_custkey")), cfg)
+    return store.read_version("orders")
+
+
+@query
+def refresh_pages_drift(t: Tables) -> DataFrame:
+    store, cfg = _first_pull(t)
+    wider = _pages_of(t.derive(fx.NEW_ORDERS), "o_custkey")
+    done = refresh.refresh_table(store, refresh.PageSource(wider), cfg)
+    kept = store.read_version("orders").withColumn("step", F.lit(f"reload wanted {done.reload_wanted}"))
+    done = refresh.refresh_table(store, refresh.PageSource(lambda min_date: wider), cfg)
+    return shape.union_by_name(kept, store.read_version("orders").withColumn("step", F.lit(f"reloaded {done.reloaded}")))
+
+
+@query
+def refresh_pages_deletes(t: Tables) -> DataFrame:
+    store, cfg = _first_pull(t)
+    later = t.derive(fx.NEW_ORDERS).drop("o_clerk")
+    delta = shape.incremental_filter(later, "o_orderdate", str(store.state().first().latest_date))
+    keys = _pages_of(later.select(KEY, "o_custkey"), "o_custkey")
+    refresh.refresh_table(store, refresh.PageSource(_pages_of(delta, "o_custkey"), key_pages=keys), cfg, check_deletes=True)
+    return store.read_version("orders")
+
+
+@query
+def refresh_pages_incomplete(t: Tables) -> DataFrame:
+    store, cfg = _first_pull(t)
+    whole = _pages_of(t.derive(fx.NEW_ORDERS), "o_custkey")
+    broken = whole.withColumn("body", F.when(F.col("skip") % 7 == 3, F.lit("<html>503</html>")).otherwise(F.col("body")))
+    landed = broken.filter("skip % 11 <> 5")
+    done = refresh.refresh_table(store, refresh.PageSource(landed, expected=whole.select("table_name", "skip")), cfg, replace=True)
+    rows = store.read_version("orders").withColumn("complete", F.lit(done.complete))
+    return shape.union_by_name(rows, store.failed_pages("orders").select(F.col("skip").cast("string").alias("skip"), "reason"))
+
+
 @query
 def refresh_all(t: Tables) -> DataFrame:
     store = _new_store(t, "store")
@@ -678,19 +733,90 @@ def append_change_log(t: Tables) -> DataFrame:
     record = changes.diff_versions(t.derive(fx.NEW_ORDERS), t.orders, KEY)
     changes.append_change_log(store, record, "orders", run)
     edited = store.read_rows("edited", "orders", run)
+    moved = [store.read_rows(k, "orders", run).select(KEY, F.lit(k).alias("name"), F.col("o_orderstatus").alias("new")) for k in ("added", "deleted")]
+    edited = shape.union_by_name(edited, *moved)
     counts = store.records("counts").select("table_name", "n_added", "n_edited", "n_deleted")
     return shape.cast_all_to_string(shape.union_by_name(edited, counts))
 
 
 @query
-def latest_change_summary(t: Tables) -> DataFrame:
+def tables_with_changes(t: Tables) -> DataFrame:
     return changes.tables_with_changes(t.derive(fx.CHANGE_COUNTS), tie="entry")
 
 
+@query
+def latest_change_summary(t: Tables) -> DataFrame:
+    """Two runs of one table and one of another; what the earlier run held is not in the summary."""
+    store = _new_store(t, "store")
+    old, new = t.derive(fx.OLD_CUSTOMER), t.derive(fx.NEW_CUSTOMER)
+    changes.append_change_log(store, changes.diff_versions(old, new, "c_custkey"), "customer", datetime(2002, 1, 2))
+    changes.append_change_log(store, changes.diff_versions(new, old, "c_custkey"), "customer", datetime(2002, 1, 3))
+    changes.append_change_log(store, changes.diff_versions(t.derive(fx.NEW_ORDERS), t.orders, KEY), "orders", datetime(2002, 1, 2))
+    parts = changes.latest_change_summary(store)
+    shown = {
+        "counts": ("n_edited", "concat_ws(' ', n_added, n_deleted)"), "new_columns": ("var_name", "NULL"), "lost_columns": ("var_name", "NULL"),
+        "class_changes": ("var_name", "concat(old_var_class, ' ', new_var_class)"), "new_categories": ("var_name", "in_new_not_old"),
+    }
+    out = [parts[k].select("table_name", F.lit(k).alias("element"), F.expr(f"CAST({a} AS string) AS item"), F.expr(f"CAST({b} AS string) AS detail")) for k, (a, b) in shown.items()]
+    return shape.union_by_name(*out)
+
+
+@query
+def diff_versions_repeated_keys(t: Tables) -> DataFrame:
+    """Line items, of which many share their key; the rest is compared all the same."""
+    later = t.lineitem.withColumn("l_returnflag", F.when(F.col("l_returnflag") == "R", "X").otherwise(F.col("l_returnflag")))
+    record = changes.diff_versions(later, t.lineitem, ["l_orderkey", "l_linenumber"])
+    found = shape.union_by_name(record.repeated.withColumn("part", F.lit("repeated")), record.edited.withColumn("part", F.lit("edited")))
+    return shape.union_by_name(found, record.counts.withColumn("part", F.lit("counts")))
+
+
+@query
+def plan_extraction(t: Tables) -> DataFrame:
+    by_ids = extract.plan_extraction(config("orders", "l_orderkey", "l_shipdate"), t.lineitem.select("l_orderkey"), width=7)
+    by_pages = extract.plan_extraction(config("lineitem", "l_orderkey", page_size=500), t.lineitem.select("l_orderkey"))
+    return by_ids.unionByName(by_pages)
+
+
+@query
+def read_page_files_empty(t: Tables) -> DataFrame:
+    folder = new_folder(t.spark, "pages")
+    empty = F.to_json(F.struct(F.lit(0).alias(pages.COUNT_FIELD), F.filter(F.array(F.struct("o_custkey")), lambda r: F.lit(False)).alias(pages.ROWS_FIELD)))
+    landed = t.orders.select(empty.alias("body"))
+    landed.write.text(folder)
+    by_reader = pages.read_json_pages(t.spark, folder, multi_line=False).agg(F.count("*").alias("n")).withColumn("reader", F.lit("files"))
+    by_body = pages.read_landed_pages(landed).agg(F.count("*").alias("n")).withColumn("reader", F.lit("column"))
+    return by_reader.unionByName(by_body)
+
+
+@query
+def unfit_columns(t: Tables) -> DataFrame:
+    """Columns of a delta that the classes of the stored rows cannot hold; stricter values fit."""
+    stored = shape.cast_all_to_string(t.derive(fx.LADDER))
+    delta = stored.withColumn("whole", F.when(F.col("flag") == "T", "1.5").otherwise(F.col("whole"))).withColumn("price", F.col("whole")).withColumn("code", F.lit(None).cast("string"))
+    delta = delta.withColumn("price", F.when(F.col("flag") == "T", "7").otherwise(F.col("price"))).withColumn("day", F.col("clock"))
+    found = typing.unfit_columns(delta, typing.inferred_classes(stored))
+    return t.spark.createDataFrame([(n,) for n in found], "unfit string")
+
+
+def _orders_drift(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """New orders that lost one column and hold another as text."""
+    new = t.derive(fx.NEW_ORDERS).drop("o_totalprice").withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    return new, t.orders
+
+
+@query
+def diff_versions_drift(t: Tables) -> DataFrame:
+    new, old = _orders_drift(t)
+    record = changes.diff_versions(new, old, KEY, show_edits=False)
+    return _show_record(record)
+
+
 @query
 def diff_versions(t: Tables) -> DataFrame:
-    record = changes.diff_versions(t.derive(fx.NEW_ORDERS), t.orders, KEY)
+    return _show_record(changes.diff_versions(t.derive(fx.NEW_ORDERS), t.orders, KEY))
+
 
+def _show_record(record: changes.ChangeRecord) -> DataFrame:
     def rows(df: DataFrame, element: str, item: str, detail: str) -> DataFrame:
         return df.select(F.lit(element).alias("element"), F.expr(item).alias("item"), F.expr(detail).alias("detail"))
 
