@@ -147,7 +147,7 @@ def repeated_lines(documents: DataFrame, min_chars: int = 20, min_docs: int = 3,
 
 def kept_lines(documents: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fanout: int = 3) -> DataFrame:
     """All columns of ``documents`` with ``text`` less its repeated lines, in struct ``_lines``: text, n_lines, n_dropped."""
-    lost = repeated_lines(documents, min_chars, min_docs, batches, fanout).withColumnRenamed("doc_id", "_lost_id")
+    lost = repeated_lines(documents, min_chars, min_docs, batches, fanout).toDF("_lost_id", "_lost_hashes")
     joined = documents.join(lost, F.col("doc_id").eqNullSafe(F.col("_lost_id")), "left").drop("_lost_id")
     at = joined.columns.index("text")
 
