@@ -61,7 +61,7 @@ class Field:
         cache = self._cache
         missing = set(words).difference(cache)
         if missing:
-            if len(cache) > 300_000:
+            if len(cache) > 100_000:
                 cache.clear()
                 missing = set(words)
             cache.update((w, self.potential(w)) for w in missing)
@@ -203,8 +203,9 @@ def _token_rows(lexicon: dict[str, float], max_tokens: int):
         for text in batch.column(0).to_pylist():
             words = _words(text)
             marked = [at for at, w in enumerate(words) if any(f in lexicon for f in features(w))]
-            low = max(0, marked[0] - max_tokens // 4) if marked else 0
-            out.append(words[low : low + max_tokens])
+            low, spots = max(0, marked[0] - max_tokens // 4) if marked else 0, set(marked)
+            # Words without a feature are alike to the field, so they need no name.
+            out.append([w if low + k in spots else "" for k, w in enumerate(words[low : low + max_tokens])])
             count.append(len(words))
         return {"tokens": pa.array(out, pa.list_(pa.string())), "toxic": batch.column(1), "count": pa.array(count, pa.int32())}
 
