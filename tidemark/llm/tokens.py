@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import functools
-import json
 import os
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
@@ -33,14 +33,15 @@ class Encoder:
     other piece through the whole tokenizer, and a text with something like a special token is encoded whole.
     """
 
-    def __init__(self, path: str, entries: int = 400_000):
+    def __init__(self, path: str, entries: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.entries = Tokenizer.from_file(path), entries
         self.model = self.tokenizer.model
-        spec = json.loads(self.tokenizer.to_str())
-        self.lowers, self.spaced = spec["normalizer"] is not None, spec["normalizer"] is None
+        # One of the two lower-cases and drops white space, the other one keeps both.
+        self.lowers = self.tokenizer.normalizer is not None
+        self.spaced = not self.lowers
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
         self.marks = [t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -51,10 +52,16 @@ class Encoder:
 
     def _part(self, text: str) -> bytes:
         """Ids of one pre-token."""
-        return np.array([t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, text.encode())))], "<u4").tobytes()
+        if text.isascii():
+            text = "\u0120" + text[1:] if text[0] == " " else text
+        else:
+            text = "".join(map(self.letters.__getitem__, text.encode()))
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _piece(self, piece: str, space: bool) -> bytes | None:
         """Ids of a piece made of words and marks, None for any other piece."""
+        if piece.isalpha() and (not self.lowers or piece.isascii()):
+            return self._part(f" {piece}" if self.spaced and space else piece.lower() if self.lowers else piece)
         out = b""
         for at, part in enumerate(piece.split("\n")):
             word = part.rstrip(PUNCTUATION)
@@ -67,7 +74,9 @@ class Encoder:
             if at:
                 out += self.line_end
             lead = " " if self.spaced and space and not at else ""
-            out += self._part(lead + word)
+            # The word alone is likely to be known, or to come again.
+            ids = self.known.get(word) if (lead or not self.spaced) and part != piece else None
+            out += ids or self._part(lead + word)
             if len(part) > len(word):
                 out += self._part(part[len(word) :])
         return out
@@ -99,23 +108,15 @@ class Encoder:
             head = b""
             if first:
                 head = self._piece(first, False) or self._whole([first])[0]
-            known = self.known
-            missing = set(pieces).difference(known)
-            if missing:
-                found = self._learn(missing)
-                if max(map(len, missing)) > LONGEST_CACHED:
-                    own = known | found if len(known) < len(pieces) else {p: known[p] if p in known else found[p] for p in pieces}
-                    out.append(head + b"".join(map(own.__getitem__, pieces)))
-                    found = {p: ids for p, ids in found.items() if len(p) <= LONGEST_CACHED}
-                    known.update(found)
-                else:
-                    known.update(found)
-                    out.append(head + b"".join(map(known.__getitem__, pieces)))
-                if len(known) > self.entries:
-                    middle = sorted(map(len, known))[len(known) // 2]
-                    self.known = {p: ids for p, ids in known.items() if len(p) < middle}
-            else:
-                out.append(head + b"".join(map(known.__getitem__, pieces)))
+            parts = list(map(self.known.get, pieces))
+            if None in parts:
+                found = self._learn({p for p, ids in zip(pieces, parts, strict=True) if ids is None})
+                parts = [found[p] if ids is None else ids for p, ids in zip(pieces, parts, strict=True)]
+                self.known.update((p, ids) for p, ids in found.items() if len(p) <= LONGEST_CACHED)
+                if len(self.known) > self.entries:
+                    middle = sorted(map(len, self.known))[len(self.known) // 2]
+                    self.known = {p: ids for p, ids in self.known.items() if len(p) < middle}
+            out.append(head + b"".join(parts))
         return out
 
 
