@@ -220,3 +220,97 @@ def test_change_log_keeps_the_newest_runs(spark, store):
     assert store.read_rows("edited", "t", at(1)) is None
     assert store.read_rows("edited", "t", at(5)).first().new == "v5"
     assert changes.diff_versions(old, None, "id") is None
+
+
+def pages(spark, *bodies, table="t"):
+    return spark.createDataFrame([(table, 10 * k, b) for k, b in enumerate(bodies)], "table_name string, skip bigint, body string")
+
+
+def three_rows(spark, store):
+    whole = pages(spark, body(*[{"Id": k, "d": f"2020-01-0{k}"} for k in (1, 2, 3)], count=3))
+    refresh.refresh_table(store, refresh.PageSource(whole), CFG)
+
+
+def test_new_column_in_pages_that_cannot_be_asked_for_again(spark, store):
+    three_rows(spark, store)
+    wider = pages(spark, body({"Id": 4, "d": "2020-01-09", "fresh": "x"}, count=1))
+    done = refresh.refresh_table(store, refresh.PageSource(wider), CFG)
+    assert done.reload_wanted and done.version_id is None and ids(store.read_version("t")) == ["1", "2", "3"]
+    assert str(store.state().first().latest_date) == "2020-01-03"
+    asked = []
+    full = pages(spark, body(*[{"Id": k, "d": f"2020-01-0{k}", "fresh": "x"} for k in (1, 2, 3, 4)], count=4))
+    source = refresh.PageSource(lambda min_date: asked.append(min_date) or (full if min_date < "2000" else wider))
+    done = refresh.refresh_table(store, source, CFG)
+    assert done.reloaded and asked == ["2020-01-03", "1900-01-01"] and ids(store.read_version("t")) == ["1", "2", "3", "4"]
+
+
+def test_deletes_need_all_keys(spark, store):
+    three_rows(spark, store)
+    delta = pages(spark, body({"Id": 3, "d": "2020-01-04"}, count=1))
+    with pytest.raises(ValueError, match="key_pages"):
+        refresh.refresh_table(store, refresh.PageSource(delta), CFG, check_deletes=True)
+    short = pages(spark, body({"Id": 1}, count=2))
+    refresh.refresh_table(store, refresh.PageSource(delta, key_pages=short), CFG, check_deletes=True)
+    assert ids(store.read_version("t")) == ["1", "2", "3"]
+    keys = pages(spark, body({"Id": 1}, {"Id": 3}, count=2))
+    refresh.refresh_table(store, refresh.PageSource(delta, key_pages=keys), CFG, check_deletes=True)
+    assert ids(store.read_version("t")) == ["1", "3"]
+
+
+def test_part_of_a_table_replaces_nothing(spark, store):
+    three_rows(spark, store)
+    broken = pages(spark, body({"Id": 9, "d": "2020-01-09"}, count=2), "<html>")
+    done = refresh.refresh_table(store, refresh.PageSource(broken), CFG, replace=True)
+    assert not done.complete and ids(store.read_version("t")) == ["1", "2", "3"]
+    assert [(r.skip, r.reason) for r in store.failed_pages("t").collect()] == [(10, "unreadable")]
+
+
+def test_other_tables_and_empty_pulls(spark, store):
+    three_rows(spark, store)
+    mixed = pages(spark, body({"Id": 7, "d": "2020-01-07"}, count=1), table="u").unionByName(pages(spark, body(count=0)))
+    done = refresh.refresh_table(store, refresh.PageSource(mixed), CFG)
+    assert done.complete and done.version_id is None and ids(store.read_version("t")) == ["1", "2", "3"]
+
+
+def test_repeated_keys_do_not_stop_a_table(spark, store):
+    rows = [("1", "2020-01-01", "a"), ("1", "2020-01-01", "b"), ("2", "2020-01-05", "c")]
+    refresh.refresh_table(store, frame(spark, rows), CFG)
+    for value in ("d", "e"):
+        done = refresh.refresh_table(store, frame(spark, [*rows[:2], ("2", "2020-01-06", value)]), CFG, replace=True)
+        assert done.version_id
+        run = max(r.run_ts for r in store.records("counts").collect())
+        assert [r.Id for r in store.read_rows("repeated", "t", run).collect()] == ["1"]
+        assert [r.new for r in store.read_rows("edited", "t", run).collect()].count(value) == 1
+
+
+def test_stricter_values_do_not_reload(spark, store):
+    cfg = catalog.config("t", "Id", "d", infer_classes=True)
+    refresh.refresh_table(store, frame(spark, [("1", "2020-01-01", "a"), ("2", "2020-01-05", "b")]), cfg)
+    assert not refresh.refresh_table(store, frame(spark, [("3", "2020-01-06", "7")]), cfg).reloaded
+    assert refresh.refresh_table(store, frame(spark, [("x", "2020-01-06", "7")]), cfg).reloaded
+
+
+def test_logs_are_compacted(spark, store):
+    from tidemark.operators import state
+    from tidemark.session import folder_names
+
+    df = spark.createDataFrame([("1",)], "Id string")
+    for k in range(5):
+        store.write_version(df, "t", at(k + 1))
+        store.log_state(state.initial_entry(spark, "t", "d", at(k + 1)))
+        store.expire(1, table="t")
+    held = sorted(r.version_id for r in store.versions().collect())
+    store.tidy(after=3)
+    for folder in ("manifest", "state"):
+        assert len([n for n in folder_names(spark, f"{store.root}/{folder}") if n.startswith("part-")]) == 1
+    assert sorted(r.version_id for r in store.versions().collect()) == held and len(held) == 2
+    assert store.read_version("t").count() == 1 and store.state().count() == 1
+
+
+def test_snapshots_are_not_expired(spark, store):
+    store.write_version(spark.createDataFrame([("1",)], "Id string"), "t", at(1))
+    label = store.snapshot_all(at(2))
+    for k in range(3, 6):
+        store.write_version(spark.createDataFrame([(str(k),)], "Id string"), "t", at(k))
+    store.expire(0)
+    assert ids(store.read_snapshot(label, "t")) == ["1"] and store.versions().count() == 2

@@ -40,7 +40,7 @@ ONE_TO_MANY = {
     "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz", "ȸ": "db", "ȹ": "qp", "ẞ": "SS",
     "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st",
     "„": ",,", "«": "<<", "»": ">>", "…": "...", "‥": "..", "‖": "||", "©": "(C)",
-    "®": "(R)", "¼": " 1/4", "½": " 1/2", "¾": " 3/4",
+    "®": "(R)", "¼": " 1/4", "½": " 1/2", "¾": " 3/4", "№": "No", "℠": "SM", "℡": "TEL", "™": "TM",
 }
 
 
@@ -57,7 +57,10 @@ def _accented_letters() -> dict[str, str]:
     return found
 
 
-SINGLE = _accented_letters() | ONE_TO_ONE
+# The block of full-width forms follows ASCII from the exclamation mark to the tilde.
+FULL_WIDTH = {chr(0xFF01 + k): chr(0x21 + k) for k in range(0x5E)}
+
+SINGLE = _accented_letters() | ONE_TO_ONE | FULL_WIDTH
 _FROM = "".join(SINGLE)
 _TO = "".join(SINGLE.values())
 

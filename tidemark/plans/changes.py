@@ -13,7 +13,7 @@ from tidemark.operators import diff, drift
 from tidemark.operators.merge import keep_known
 from tidemark.operators.profile import CATEGORY_LIMIT, describe_table
 from tidemark.operators.versions import KEEP_CHANGE_LOGS, latest_version
-from tidemark.session import materialize
+from tidemark.session import delete_folder, new_folder
 from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, VersionStore
 
 
@@ -29,6 +29,8 @@ class ChangeRecord:
     new_categories: DataFrame
     lost_categories: DataFrame
     repeated: DataFrame
+    # Where the changed keys were written; the frames above read them.
+    folder: str
 
 
 def diff_versions(
@@ -50,7 +52,10 @@ def diff_versions(
     if old is None:
         return None
     keys = as_list(keys)
-    changed = materialize(diff.changed_keys(new, old, keys), "changed-keys")
+    folder = new_folder(new.sparkSession, "changed-keys")
+    found = diff.changed_keys(new, old, keys)
+    found.write.parquet(folder)
+    changed = new.sparkSession.read.schema(found.schema).parquet(folder)
     if not show_edits:
         changed = changed.filter("status <> 'edited'")
     new_profile = describe_table(new, limit=limit) if new_profile is None else new_profile
@@ -67,16 +72,18 @@ def diff_versions(
         new_categories=drift.new_categories(sides),
         lost_categories=drift.lost_categories(sides),
         repeated=changed.filter("status = 'repeated'").drop("status"),
+        folder=folder,
     )
 
 
 def append_change_log(
     store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime, keep: int = KEEP_CHANGE_LOGS
 ) -> None:
-    """Save a change record; its rows go first, the small parts make it visible."""
+    """Save a change record; its rows go first, the small parts make it visible. The record is used up by it."""
     for kind in ROW_RECORDS:
         store.save_rows(kind, getattr(record, kind), table, run_ts)
     store.append_records({kind: getattr(record, kind) for kind in RECORD_COLUMNS}, table, run_ts)
+    delete_folder(store.spark, record.folder)
     store.purge_changes(keep, table)
 
 

@@ -252,6 +252,7 @@ def refresh_table(
     entry = one_row(spark, columns, (table, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
     store.expire(cfg.keep_versions, table=table)
+    store.tidy(cfg.keep_change_logs)
     return leave(RefreshResult(table, version_id, reloaded, complete, latest))
 
 

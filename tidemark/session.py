@@ -85,6 +85,14 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file another place in the same file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -26,7 +26,7 @@ from tidemark.operators.versions import (
     tables_without_version,
     version_as_of,
 )
-from tidemark.session import delete_folder, folder_exists, folder_names, one_row
+from tidemark.session import delete_folder, folder_exists, folder_names, move_file, one_row
 
 MANIFEST_SCHEMA = (
     "table_name string, version_id string, version_ts timestamp_ntz, path string, rows_distinct boolean, "
@@ -53,6 +53,9 @@ RECORD_SCHEMA = (
     "var_name string, old_var_class string, new_var_class string, old_set string, new_set string, same string, "
     "in_old_not_new string, in_new_not_old string"
 )
+# Logs of more files than this are rewritten as one.
+COMPACT_AFTER = 32
+
 # Change records that carry rows of the table itself.
 ROW_RECORDS = ["added", "deleted", "edited", "repeated"]
 
@@ -83,7 +86,8 @@ class VersionStore:
     def _read(self, folder: str, schema: str) -> DataFrame:
         path = f"{self.root}/{folder}"
         if folder_exists(self.spark, path):
-            return self.spark.read.schema(schema).parquet(path)
+            # A compaction that died half way leaves rows in two files.
+            return self.spark.read.schema(schema).parquet(path).distinct()
         return self.spark.createDataFrame([], schema)
 
     def _append(self, df: DataFrame, folder: str, schema: str) -> None:
@@ -289,6 +293,45 @@ class VersionStore:
                 for run in sorted(folder_names(self.spark, f"{folder}/{name}"))[:-n]:
                     delete_folder(self.spark, f"{folder}/{name}/{run}")
 
+    # -- upkeep ---------------------------------------------------------------
+
+    def tidy(self, keep_change_logs: int = KEEP_CHANGE_LOGS, after: int = COMPACT_AFTER) -> None:
+        """Rewrite logs of more than ``after`` files as one, without what no reader looks at any more.
+
+        Gone are expired versions and their profiles, states but the newest, and records of runs beyond those kept.
+        """
+
+        def live(log: DataFrame) -> DataFrame:
+            expired = log.filter("event = 'expired'").select("version_id")
+            return log.join(expired, "version_id", "left_anti").select(*log.columns)
+
+        def kept_runs(log: DataFrame) -> DataFrame:
+            runs = log.filter("element = 'counts'").select("table_name", "run_ts").distinct()
+            return log.join(retain_latest_n(runs, keep_change_logs, "run_ts"), ["table_name", "run_ts"], "left_semi").select(*log.columns)
+
+        versions = self.versions().select("version_id")
+        self._compact("profiles", PROFILE_SCHEMA, after, lambda log: log.join(versions, "version_id", "left_semi").select(*log.columns))
+        self._compact("state", states.STATE_SCHEMA, after, lambda log: latest_version(log, "logged_at").select(*log.columns))
+        self._compact("changes/records", RECORD_SCHEMA, after, kept_runs)
+        self._compact("snapshot_list", SNAPSHOT_SCHEMA, after, lambda log: log)
+        self._compact("manifest", MANIFEST_SCHEMA, after, live)
+
+    def _compact(self, folder: str, schema: str, after: int, keep) -> None:
+        path = f"{self.root}/{folder}"
+        old = [n for n in folder_names(self.spark, path) if n.startswith("part-")]
+        if len(old) <= after:
+            return
+        rows = keep(self.spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in old]).distinct())
+        fresh = f"{self.root}/staging/compact-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(fresh)
+        # The new file comes in before the old ones go, so no row is ever missing.
+        for name in folder_names(self.spark, fresh):
+            if name.startswith("part-"):
+                move_file(self.spark, f"{fresh}/{name}", f"{path}/{name}")
+        for name in old:
+            delete_folder(self.spark, f"{path}/{name}")
+        delete_folder(self.spark, fresh)
+
     # -- pages to fetch again -------------------------------------------------
 
     def save_failed(self, failed: DataFrame, table: str, run_ts: datetime) -> None:
