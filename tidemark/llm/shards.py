@@ -33,22 +33,22 @@ def _code(name: Column) -> Column:
     return F.conv(bytes_, 16, 10).cast("bigint")
 
 
+def coordinates(documents: DataFrame) -> dict[str, Column]:
+    """One integer per dimension, and the CRC that settles ties between rows which share every dimension."""
+    raw, has = F.coalesce(F.col("text"), F.lit("")).cast("binary"), set(documents.columns)
+    return {
+        "d_source": _code(F.col("source")) if "source" in has else F.lit(0).cast("bigint"),
+        "d_lang": _code(F.col("lang")) if "lang" in has else F.lit(0).cast("bigint"),
+        "d_size": F.octet_length(raw).cast("bigint") + 1,
+        "d_id": F.coalesce(F.col("doc_id"), F.lit(-(2**62))).cast("bigint"),
+        "d_tie": F.crc32(raw),
+    }
+
+
 def metadata(documents: DataFrame) -> DataFrame:
-    """``doc_id, size, text_crc32`` and one integer per dimension."""
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    has = set(documents.columns)
-    size = F.octet_length(raw).cast("bigint") + 1
-    return documents.select(
-        "doc_id",
-        size.alias("size"),
-        F.crc32(raw).alias("text_crc32"),
-        (_code(F.col("source")) if "source" in has else F.lit(0).cast("bigint")).alias("d_source"),
-        (_code(F.col("lang")) if "lang" in has else F.lit(0).cast("bigint")).alias("d_lang"),
-        size.alias("d_size"),
-        F.coalesce(F.col("doc_id"), F.lit(-(2**62))).cast("bigint").alias("d_id"),
-        # Settles ties between rows that share every other value.
-        F.crc32(raw).alias("d_tie"),
-    )
+    """``doc_id, size, text_crc32`` and the coordinates."""
+    at = coordinates(documents)
+    return documents.select("doc_id", at["d_size"].alias("size"), at["d_tie"].alias("text_crc32"), *[c.alias(n) for n, c in at.items()])
 
 
 @dataclass
@@ -152,11 +152,9 @@ def shard_documents(documents: DataFrame, shards: int = 16, target_bytes: int |
 
 
 def write_shards(documents: DataFrame, folder: str, shards: int = 16, target_bytes: int | None = None) -> None:
-    """Write ``documents`` as Parquet in a folder per shard. Rows find their shard by doc_id and text."""
-    own = metadata(documents).select("d_id", F.col("d_tie"), "size").columns
+    """Write ``documents`` as Parquet in a folder per shard. Rows find their shard by all their coordinates."""
+    at = coordinates(documents)
     rows, _ = kd_shards(metadata(documents), target_bytes, None if target_bytes else shards)
-    placed = rows.select(*[F.col(c).alias(f"_{c}") for c in own], F.col("shard").alias("_shard")).distinct()
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    match = (F.coalesce(F.col("doc_id"), F.lit(-(2**62))) == F.col("_d_id")) & (F.crc32(raw) == F.col("_d_tie")) & (F.octet_length(raw) + 1 == F.col("_size"))
-    kept = documents.join(placed, match).select(*[F.col(f"`{c}`") for c in documents.columns], "_shard")
-    kept.write.partitionBy("_shard").parquet(folder)
+    placed = rows.select(*[F.col(n).alias(f"_{n}") for n in at], F.col("shard").alias("_shard")).distinct()
+    found = documents.select("*", *[c.alias(f"_{n}") for n, c in at.items()]).join(placed, [f"_{n}" for n in at])
+    found.select(*[F.col(f"`{c}`") for c in documents.columns], "_shard").write.partitionBy("_shard").parquet(folder)
