@@ -112,3 +112,20 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.link_vectors(read_table(spark, folder, "embeddings"))
+
+
+ORACLE["op4_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+ends AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, ends.b FROM reach JOIN ends ON reach.r = ends.a)
+SELECT d AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d
+"""
