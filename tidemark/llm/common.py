@@ -8,12 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import apply_settings, materialize
+from tidemark.session import apply_settings, delete_folder, materialize, new_folder
 
 # Small Arrow batches: texts may be long, and two workers share an executor's memory.
 ARROW = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 
@@ -95,6 +95,25 @@ def with_positions(df: DataFrame, group: list[str], order: list[str], partitions
     return joined.select(*df.columns, (F.col("_base") + F.col("_before")).cast("bigint").alias(name))
 
 
+class Scratch:
+    """Tables in the shared folder that are of use only until the next ones are written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        folder = new_folder(self.spark, name)
+        df.write.parquet(folder)
+        self.folders.append(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear(self) -> None:
+        """Remove all tables made so far; no frame that reads them may be used afterwards."""
+        for folder in self.folders:
+            delete_folder(self.spark, folder)
+        self.folders = []
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Each node of an edge list with the smallest node that it reaches, as ``node, component``.
 

@@ -7,7 +7,7 @@ one class, and the smallest doc_id stands for it.
 Bounds. n-grams are ordered, those frequent in a sample last (the ``frequent`` most frequent; any order gives the same result, a good one
 less work). Of a set of size s only the first s - ceil(percent s) + 1 n-grams are columns of the product: two sets that link share one of those.
 A pair is formed in a column only if its sizes allow the overlap that a link needs, and if what is left of both sets behind that
-n-gram does; both bounds come from sizes alone.
+n-gram does; a pair goes on if what both first parts share, and the larger rest behind them, leave room for a link.
 
 Product. Columns are dealt out by a hash of their n-gram; each block multiplies its columns and adds up overlaps per pair. Large columns are not squared. In a first pass
 every member is paired with a few pivots of its column, the verified links give components, and a second pass forms only the pairs of a column
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, map_batches, reduce_by_ids
+from tidemark.llm.common import Scratch, components, map_batches, reduce_by_ids
 from tidemark.session import materialize
 
 N, PERCENT = 5, 80
@@ -121,29 +121,31 @@ def _allowed(percent: int) -> str:
     return f"100 * LEAST(size, size2) >= {percent} * GREATEST(size, size2) AND LEAST(size - pos, size2 - pos2) >= {_needed('size', 'size2', percent)}"
 
 
-def similar_pairs(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def similar_pairs(cells: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """``a, b``: those of the pairs in ``cells(a, b)`` that link, by the overlap of their whole sets."""
-    left = cells.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
+    left = cells.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
+            one, two = (shingles(batch.column(k).to_pylist(), n) for k in (2, 3))
+            for x, y in zip(one, two, strict=True):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def whole_sets(documents: DataFrame, ids: DataFrame, n: int = N) -> DataFrame:
-    """``doc_id, set`` of the documents in ``ids(doc_id)``; others are left out before the texts move."""
+def whole_texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents in ``ids(doc_id)``, equal rows once; others are left out before texts move.
+
+    Texts go where pairs are, not sets: they are half the size once compressed.
+    """
     near = reduce_by_ids(documents.select("doc_id", "text"), "doc_id", ids, "doc_id")
-    rows = near.join(ids, "doc_id", "left_semi")
-    made = map_batches(rows, lambda b: {"doc_id": b.column(0), "set": pa.array(shingles(b.column(1).to_pylist(), n), pa.list_(pa.int64()))}, "doc_id bigint, set array<bigint>")
-    return made.dropDuplicates(["doc_id", "set"])
+    rows = near.join(ids, "doc_id", "left_semi").withColumn("h", F.xxhash64("text"))
+    return rows.dropDuplicates(["doc_id", "h"]).drop("h")
 
 
 def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pivots: int = 4) -> DataFrame:
@@ -152,37 +154,46 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     ``class_id``: the smallest doc_id with the same set; ``component_id``: the smallest doc_id reachable by links.
     """
     own = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    made = materialize(prefixes(own, n, percent), "prefixes")
+    scratch, texts_used = Scratch(documents.sparkSession), Scratch(documents.sparkSession)
+    made = scratch.table(prefixes(own, n, percent), "prefixes")
     # Equal sets are one class before anything is joined; the smallest id is found with a map-side step.
     heads = made.where("size > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("head"), F.max("size").alias("size"), F.first("prefix").alias("prefix"))
     heads = materialize(heads, "classes")
-    entries = heads.select(F.col("head").alias("id"), "size", F.posexplode("prefix").alias("pos", "h"))
+    sizes = materialize(made.select("doc_id", "size", "class"), "set-sizes")
+    scratch.clear()
+    entries = heads.select(F.col("head").alias("id"), "size", F.posexplode("prefix").alias("pos", "h")).withColumn("half", F.shiftright("h", 32).cast("int"))
+    # Most columns have one document. Half a hash tells nearly all of them for a fraction of the bytes; the exact count follows.
+    shared = scratch.table(entries.groupBy("half").agg(F.count("*").alias("members")).where("members > 1").select("half"), "shared-halves")
+    entries = reduce_by_ids(entries, "half", shared, "half").drop("half")
     # Columns of one document end here; counts and pivots are combined before they are shuffled.
     salt = F.pmod(F.xxhash64("h"), F.lit(pivots))
     few = [F.min_by(F.struct("id", "size", "pos"), F.xxhash64("id", salt)).alias("pivot")]
     columns = entries.groupBy("h").agg(F.count("*").alias("members"), *few).where("members > 1").select("h", "pivot")
-    cells = materialize(entries.join(columns, "h"), "columns")
+    cells = scratch.table(entries.join(columns, "h"), "columns")
 
     def seen(pairs: DataFrame) -> DataFrame:
         return pairs.where(_allowed(percent)).where("id <> id2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
     first = cells.select("id", "size", "pos", F.col("pivot.id").alias("id2"), F.col("pivot.size").alias("size2"), F.col("pivot.pos").alias("pos2"))
-    first = materialize(seen(first), "pairs")
-    links = materialize(_verified(own, first, n, percent), "links")
+    first = scratch.table(seen(first), "pairs")
+    links = materialize(_verified(own, cells, first, n, percent, texts_used), "links")
+    texts_used.clear()
     known = components(links)
     # What is still apart in a column: its members by component; columns of one component are done.
     named = cells.drop("pivot").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    named = materialize(named.join(apart, "h", "left_semi"), "apart")
+    named = scratch.table(named.join(apart, "h", "left_semi"), "apart")
     other = named.select("h", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
     met = named.join(other, "h").where("component < component2").where(_allowed(percent))
-    second = materialize(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verified(own, second, n, percent), "links")
+    second = scratch.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
+    texts_used.clear()
+    scratch.clear()
     found = materialize(components(links.unionByName(more)), "components")
-    classes = heads.select("class", F.col("head").alias("class_id")).join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
+    classes = heads.drop("prefix").select("class", F.col("head").alias("class_id")).join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
     classes = classes.select("class", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     lone = F.when(F.col("size") > 0, F.col("class"))
-    rows = made.select("doc_id", F.col("size").alias("n_shingles"), lone.alias("class"))
+    rows = sizes.select("doc_id", F.col("size").alias("n_shingles"), lone.alias("class"))
     joined = rows.join(classes, "class", "left")
     alone = F.col("doc_id").isNull()
     return joined.select(
@@ -192,10 +203,29 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     )
 
 
-def _verified(documents: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    sets = materialize(whole_sets(documents, ids, n), "sets")
-    return similar_pairs(pairs, sets, percent)
+def likely_pairs(pairs: DataFrame, cells: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs whose shared columns leave room for a link.
+
+    All n-grams that two sets share up to the end of one of their prefixes are columns of both; behind it that
+    set has no more than its rest. The bound takes the larger rest, whichever prefix ends first.
+    """
+    near = reduce_by_ids(cells.select("id", "size", "h"), "id", _ids(pairs, scratch), "doc_id")
+    own = near.groupBy("id", "size").agg(F.collect_list("h").alias("columns"))
+    one = own.select(F.col("id").alias("a"), "size", F.col("columns").alias("columns1"))
+    two = own.select(F.col("id").alias("b"), F.col("size").alias("size2"), F.col("columns").alias("columns2"))
+    rest = f"CAST(CEIL(GREATEST(size, size2) * {percent} / 100D - 1e-9D) AS bigint) - 1"
+    met = pairs.join(one, "a").join(two, "b").where(f"size(array_intersect(columns1, columns2)) + {rest} >= {_needed('size', 'size2', percent)}")
+    return met.select("a", "b").distinct()
+
+
+def _ids(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+
+
+def _verified(documents: DataFrame, cells: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    pairs = scratch.table(likely_pairs(pairs, cells, percent, scratch), "likely-pairs")
+    texts = scratch.table(whole_texts(documents, _ids(pairs, scratch)), "pair-texts")
+    return similar_pairs(pairs, texts, n, percent)
 
 
 def keep_one(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
