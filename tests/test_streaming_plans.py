@@ -28,6 +28,24 @@ def test_pages_are_merged_as_they_land(spark, tmp_path):
     assert str(store.state().first().latest_date) == "2020-01-05"
 
 
+def test_unreadable_pages_hold_the_date_back(spark, tmp_path):
+    store = VersionStore(spark, new_folder(spark, "store"))
+    cfg = catalog.config("t", "Id", "d")
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    (folder / "1.json").write_text(json.dumps({"odata.count": "2", "value": [{"Id": 1, "d": "2020-01-01"}]}))
+    (folder / "2.json").write_text("<html>503</html>")
+    pages = ingest.stream_page_files(spark, str(folder))
+    ingest.refresh_stream(store, cfg, pages, ["Id", "d"], str(tmp_path / "checkpoint")).awaitTermination(120)
+    assert store.read_version("t").count() == 1 and str(store.state().first().latest_date) == "1900-01-01"
+    assert [r.body for r in ingest.quarantined_pages(store, cfg).collect()] == ["<html>503</html>"]
+    ingest.release(store, cfg)
+    (folder / "3.json").write_text(json.dumps({"odata.count": "1", "value": [{"Id": 2, "d": "2020-01-02"}]}))
+    pages = ingest.stream_page_files(spark, str(folder))
+    ingest.refresh_stream(store, cfg, pages, ["Id", "d"], str(tmp_path / "checkpoint")).awaitTermination(120)
+    assert store.read_version("t").count() == 2 and str(store.state().first().latest_date) == "2020-01-02"
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -56,6 +74,13 @@ def test_change_detection_shuffles_fingerprints_only(orders):
     assert "o_totalprice" not in exchange
 
 
+def test_pages_are_parsed_once(spark, orders):
+    from tidemark.sources import pages
+
+    landed = orders.selectExpr("'t' AS table_name", "o_orderkey AS skip", "o_orderstatus AS body")
+    assert plan(pages.read_landed_pages(landed, ["a", "b"])).count("from_json") == 1
+
+
 def test_retention_limits_before_the_shuffle(orders):
     log = orders.selectExpr("CAST(o_custkey AS string) AS table_name", "o_orderdate AS version_ts")
     assert "WindowGroupLimit" in plan(versions.retain_latest_n(log, 3)).split("Exchange")[1]
