@@ -226,5 +226,22 @@ def test_toxic_documents(spark):
     assert toxicity.drop_toxic(frame(spark, more), nothing).count() == len(more)
 
 
+def test_scores_mean_the_same_above_and_below_the_sample(spark):
+    """Eight clean documents to one toxic; the weak word is in a tenth of the clean ones and in all toxic ones."""
+    def text(k):
+        weak = "sour " if k % 9 == 0 or k % 10 == 0 else ""
+        return f"number {k} {weak}{'rotten ' if k % 9 == 0 and k % 2 else ''}garden of early light {k}"
+
+    texts = spark.createDataFrame([(k, text(k), int(k % 9 == 0)) for k in range(1800)], "doc_id bigint, text string, toxic int")
+    asked = frame(spark, [(1, "a sour garden"), (2, "a sour rotten garden"), (3, "a garden")])
+
+    def scores(max_docs):
+        field = toxicity.train(texts, max_docs=max_docs, min_odds=4.0)
+        return {r.doc_id: r.score for r in toxicity.score_documents(asked, field).collect()}
+
+    every, some = scores(1600), scores(200)
+    assert all(abs(every[k] - some[k]) < 0.06 for k in every), (every, some)
+
+
 def test_hash_of_keys_is_of_utf8():
     assert line_dedup.key_hash(line_dedup.line_key(" ÄB c ")) == hashlib.blake2b("Äb c".encode(), digest_size=16).digest()

@@ -3,7 +3,8 @@
 Labels are given per document, so tokens are labelled first: in toxic documents the tokens whose word or word beginning is
 much more frequent in toxic than in other documents are toxic; all others are clean. At most ``MAX_ROWS`` labelled rows are learned from. The field has a
 weight for each hashed feature of a token (its word, its beginnings of four to six letters) and for each pair of states. It is trained by
-gradient ascent with exact forward-backward marginals on at most ``max_docs`` labelled documents per class, of at most ``max_tokens`` tokens around their
+gradient ascent with exact forward-backward marginals on at most ``max_docs`` labelled documents per class, each counting for its share of
+the class, of at most ``max_tokens`` tokens around their
 labelled spans. A document's score is a logistic function, fitted to the same documents, of what the marginals say: how many tokens are expected to be
 toxic and how sure the surest is. Text alone is read: labels, language, source and doc_id are no inputs of a score.
 
@@ -192,7 +193,9 @@ def train(texts: DataFrame, max_docs: int = 2000, max_tokens: int = 400, max_fea
         own = texts.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_docs)
         picked = own if picked is None else picked.unionByName(own)
     docs = map_batches(picked.select("text", "toxic"), _token_rows(lexicon, max_tokens), "tokens array<string>, toxic int, count int").collect()
-    return _fit(lexicon, [(r["tokens"], r["toxic"]) for r in docs], rounds)
+    # Each document taken stands for as many of its class as were left out, so that scores mean the share among all labelled rows.
+    share = {label: n / min(n, max_docs) for label, n in totals.items()}
+    return _fit(lexicon, [(r["tokens"], r["toxic"]) for r in docs], rounds, share)
 
 
 def _token_rows(lexicon: dict[str, float], max_tokens: int):
@@ -212,7 +215,7 @@ def _token_rows(lexicon: dict[str, float], max_tokens: int):
     return run
 
 
-def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: int) -> Field:
+def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: int, share: dict[int, float]) -> Field:
     names = {name: at for at, name in enumerate(lexicon)}
     own = {}
     for words, _ in docs:
@@ -220,7 +223,7 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
             if w not in own:
                 own[w] = [names[f] for f in features(w) if f in names]
     # Short sequences: stretches around tokens with features, and one plain stretch of each document.
-    length, seqs, tags = 24, [], []
+    length, seqs, tags, counts = 24, [], [], []
     for words, toxic in docs:
         marked = [at for at, w in enumerate(words) if own[w]]
         starts, last = ([0] if words else []), -1
@@ -232,6 +235,7 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
             part = words[low : low + length]
             seqs.append([own[w] for w in part])
             tags.append([int(bool(toxic and own[w])) for w in part])
+            counts.append(share[toxic])
     n = max(1, len(seqs))
     mask = np.zeros((n, length), bool)
     gold = np.zeros((n, length), int)
@@ -244,20 +248,21 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
             cols += [j] * len(fs)
             feats += fs
     rows, cols, feats = np.array(rows, int), np.array(cols, int), np.array(feats, int)
+    count = np.array(counts or [1.0])
     w, bias, start, pairs = np.zeros(len(names)), -3.0, np.zeros(2), np.zeros((2, 2))
     grads = [np.full_like(w, 1e-8), 1e-8, np.full(2, 1e-8), np.full((2, 2), 1e-8)]
     for _ in range(rounds):
         score = np.full((n, length), bias)
         np.add.at(score, (rows, cols), w[feats])
-        prob, pair, first = _marginals(score, mask, start, pairs)
-        wrong = (gold - prob) * mask
+        prob, pair, first = _marginals(score, mask, start, pairs, count)
+        wrong = (gold - prob) * mask * count[:, None]
         gw = np.bincount(feats, wrong[rows, cols], len(names)) - 0.3 * w
         gb = wrong.sum() - 0.05 * bias
         seen = np.zeros((2, 2))
         both = mask[:, 1:]
-        np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), 1)
+        np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), np.broadcast_to(count[:, None], both.shape)[both])
         gp = seen - pair - 0.05 * pairs
-        gs = np.array([(gold[:, 0] == s).sum() for s in (0, 1)]) - first - 0.05 * start
+        gs = np.array([((gold[:, 0] == s) * count).sum() for s in (0, 1)]) - first - 0.05 * start
         # Steps by each weight's own gradient history.
         for k, g in enumerate((gw, gb, gs, gp)):
             grads[k] = grads[k] + g * g
@@ -268,19 +273,20 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
     field = Field({name: float(w[at]) for name, at in names.items() if abs(w[at]) > 1e-3}, float(bias), start, pairs, np.zeros(3))
     x = np.array([summary(field.marginals(field.potentials(words))[1]) for words, _ in docs])
     y = np.array([toxic for _, toxic in docs], float)
-    # Classes count alike in what is fitted to at first; the true share is put back by the constant.
+    c = np.array([share[toxic] for _, toxic in docs])
     theta = np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-x @ theta))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-2 * np.eye(3)
-        theta = theta + np.linalg.solve(h, x.T @ (y - p) - 1e-2 * theta)
+        h = (x * (c * (p * (1 - p) + 1e-6))[:, None]).T @ x + 1e-2 * np.eye(3)
+        theta = theta + np.linalg.solve(h, x.T @ (c * (y - p)) - 1e-2 * theta)
     field.logistic = theta
     return field
 
 
-def _marginals(score: np.ndarray, mask: np.ndarray, start: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward-backward over padded sequences: token marginals, expected pairs, expected first states."""
+def _marginals(score: np.ndarray, mask: np.ndarray, start: np.ndarray, pairs: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward-backward over padded sequences: token marginals, expected pairs, expected first states. ``count``: how often a sequence counts."""
     n, length = score.shape
+    count = np.ones(n) if count is None else count
     move, emit = np.exp(pairs), np.stack([np.ones_like(score), np.exp(np.clip(score, -30, 30))], 2)
     emit[~mask] = 1.0
     alpha, beta = np.zeros((n, length, 2)), np.ones((n, length, 2))
@@ -300,9 +306,9 @@ def _marginals(score: np.ndarray, mask: np.ndarray, start: np.ndarray, pairs: np
     for t in range(1, length):
         joint = alpha[:, t - 1, :, None] * move * (emit[:, t] * beta[:, t])[:, None, :]
         joint /= joint.sum((1, 2), keepdims=True)
-        pair += joint[mask[:, t]].sum(0)
-    used = mask[:, 0]
-    return prob * mask, pair, np.array([(1 - prob[:, 0])[used].sum(), prob[:, 0][used].sum()])
+        pair += (joint * count[:, None, None])[mask[:, t]].sum(0)
+    used = mask[:, 0] * count
+    return prob * mask, pair, np.array([((1 - prob[:, 0]) * used).sum(), (prob[:, 0] * used).sum()])
 
 
 def score_documents(documents: DataFrame, field: Field, span_level: float = 0.5) -> DataFrame:
