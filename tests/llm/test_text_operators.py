@@ -243,5 +243,27 @@ def test_scores_mean_the_same_above_and_below_the_sample(spark):
     assert all(abs(every[k] - some[k]) < 0.06 for k in every), (every, some)
 
 
+def test_training_reads_whole_texts(spark):
+    """Toxic spans lie far behind a first weak word; long clean texts hold many weak words."""
+    plain = "the quiet garden was full of early light and slow birds "
+    docs = []
+    for k in range(360):
+        toxic = k % 4 == 0
+        weak = [f"sour {plain * 4}"] * (30 if k % 12 == 1 else 1 if toxic or k % 40 == 1 else 0)
+        docs.append((k, f"{k} {''.join(weak)}{plain * 50}{'vile rotten maggot' if toxic else 'rain'} {plain}", int(toxic)))
+    texts = spark.createDataFrame(docs, "doc_id bigint, text string, toxic int")
+    field = toxicity.train(texts, min_odds=1.5, min_z=2.0)
+    assert field.weights["maggot"] > 0.5
+    rows = toxicity.score_documents(frame(spark, [(k, text) for k, text, _ in docs]), field).collect()
+    assert {r.doc_id for r in rows if r.score >= 0.3} == {k for k, _, toxic in docs if toxic}
+
+
+def test_stretches_hold_every_marked_word():
+    words, marked = [f"w{k}" for k in range(3000)], [0, 5, 30, 500, 523, 524, 2999]
+    parts = toxicity.stretches(words, marked)
+    assert {w for part in parts for w in part if w} == {words[k] for k in marked} and max(map(len, parts)) == toxicity.STRETCH
+    assert toxicity.stretches([], []) == []
+
+
 def test_hash_of_keys_is_of_utf8():
     assert line_dedup.key_hash(line_dedup.line_key(" ÄB c ")) == hashlib.blake2b("Äb c".encode(), digest_size=16).digest()

@@ -4,9 +4,8 @@ Labels are given per document, so tokens are labelled first: in toxic documents
 much more frequent in toxic than in other documents are toxic; all others are clean. At most ``MAX_ROWS`` labelled rows are learned from. The field has a
 weight for each hashed feature of a token (its word, its beginnings of four to six letters) and for each pair of states. It is trained by
 gradient ascent with exact forward-backward marginals on at most ``max_docs`` labelled documents per class, each counting for its share of
-the class, of at most ``max_tokens`` tokens around their
-labelled spans. A document's score is a logistic function, fitted to the same documents, of what the marginals say: how many tokens are expected to be
-toxic and how sure the surest is. Text alone is read: labels, language, source and doc_id are no inputs of a score.
+the class: on short stretches around every word of theirs that has features. A document's score is a logistic function, fitted to the whole
+texts of the same documents, of what the marginals say: how many tokens are expected to be toxic and how sure the surest is. Text alone is read: labels, language, source and doc_id are no inputs of a score.
 
 Tokens without any known feature have equal potentials; the messages of forward-backward pass through a run of them by powers of one 2 x 2
 matrix, so work per document grows with its tokens that have features. Whole texts are read.
@@ -30,6 +29,8 @@ from tidemark.session import materialize
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
+# Words of a stretch that the field is trained on.
+STRETCH = 24
 THRESHOLD = 0.3
 # Labelled rows that a field is fitted to, at most.
 MAX_ROWS = 20_000
@@ -169,7 +170,7 @@ def feature_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def train(texts: DataFrame, max_docs: int = 2000, max_tokens: int = 400, max_features: int = 20_000, min_odds: float = 8.0, min_z: float = 3.3, rounds: int = 60) -> Field:
+def train(texts: DataFrame, max_docs: int = 2000, max_features: int = 20_000, min_odds: float = 8.0, min_z: float = 3.3, rounds: int = 60) -> Field:
     """Fit a field to ``labelled`` documents.
 
     ``max_docs`` labelled documents of each class, in the order of a hash of their ids, bound what is trained on; ``max_features`` bounds the features, the most
@@ -192,50 +193,60 @@ def train(texts: DataFrame, max_docs: int = 2000, max_tokens: int = 400, max_fea
     for label in (0, 1):
         own = texts.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_docs)
         picked = own if picked is None else picked.unionByName(own)
-    docs = map_batches(picked.select("text", "toxic"), _token_rows(lexicon, max_tokens), "tokens array<string>, toxic int, count int").collect()
+    picked = materialize(picked.select("text", "toxic"), "picked")
+    found = map_batches(picked, _stretch_rows(lexicon), "words array<string>, toxic int").groupBy("words", "toxic").agg(F.count("*").alias("n"))
     # Each document taken stands for as many of its class as were left out, so that scores mean the share among all labelled rows.
     share = {label: n / min(n, max_docs) for label, n in totals.items()}
-    return _fit(lexicon, [(r["tokens"], r["toxic"]) for r in docs], rounds, share)
+    field = _fit(lexicon, [(r["words"], r["toxic"], r["n"] * share[r["toxic"]]) for r in found.orderBy("toxic", "words").collect()], rounds)
+    said = map_batches(picked, _summary_rows(field), "sure double, sum double, toxic int").orderBy("toxic", "sure", "sum").collect()
+    field.logistic = _logistic(np.array([[1.0, r["sure"], r["sum"]] for r in said]), np.array([r["toxic"] for r in said], float), np.array([share[r["toxic"]] for r in said]))
+    return field
+
 
+def stretches(words: list[str], marked: list[int]) -> list[list[str]]:
+    """The first ``STRETCH`` words, and as many around every word in ``marked``; words not in it are empty."""
+    starts, last, spots = ([0] if words else []), -1, set(marked)
+    for at in marked:
+        if at > last:
+            starts.append(max(0, at - STRETCH // 3))
+            last = starts[-1] + STRETCH - 1
+    # Words without a feature are alike to the field, so they need no name.
+    return [[w if low + k in spots else "" for k, w in enumerate(words[low : low + STRETCH])] for low in dict.fromkeys(starts)]
 
-def _token_rows(lexicon: dict[str, float], max_tokens: int):
-    """Documents reduced to ``max_tokens`` words around their first marked one, for training alone."""
+
+def _stretch_rows(lexicon: dict[str, float]):
+    """Documents as the stretches around all their marked words, for training alone."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        out, count = [], []
-        for text in batch.column(0).to_pylist():
+        out, toxic = [], []
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = _words(text)
-            marked = [at for at, w in enumerate(words) if any(f in lexicon for f in features(w))]
-            low, spots = max(0, marked[0] - max_tokens // 4) if marked else 0, set(marked)
-            # Words without a feature are alike to the field, so they need no name.
-            out.append([w if low + k in spots else "" for k, w in enumerate(words[low : low + max_tokens])])
-            count.append(len(words))
-        return {"tokens": pa.array(out, pa.list_(pa.string())), "toxic": batch.column(1), "count": pa.array(count, pa.int32())}
+            known = {w for w in set(words) if any(f in lexicon for f in features(w))}
+            own = stretches(words, [at for at, w in enumerate(words) if w in known])
+            out += own
+            toxic += [label] * len(own)
+        return {"words": pa.array(out, pa.list_(pa.string())), "toxic": pa.array(toxic, pa.int32())}
 
     return run
 
 
-def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: int, share: dict[int, float]) -> Field:
+def _summary_rows(field: Field):
+    """What the marginals of whole texts say."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        said = [summary(field.marginals(field.potentials(_words(text)))[1]) for text in batch.column(0).to_pylist()]
+        return {"sure": pa.array([x[1] for x in said], pa.float64()), "sum": pa.array([x[2] for x in said], pa.float64()), "toxic": batch.column(1)}
+
+    return run
+
+
+def _fit(lexicon: dict[str, float], parts: list[tuple[list[str], int, float]], rounds: int) -> Field:
+    """The field without its logistic, from distinct stretches and how often each counts."""
     names = {name: at for at, name in enumerate(lexicon)}
-    own = {}
-    for words, _ in docs:
-        for w in set(words):
-            if w not in own:
-                own[w] = [names[f] for f in features(w) if f in names]
-    # Short sequences: stretches around tokens with features, and one plain stretch of each document.
-    length, seqs, tags, counts = 24, [], [], []
-    for words, toxic in docs:
-        marked = [at for at, w in enumerate(words) if own[w]]
-        starts, last = ([0] if words else []), -1
-        for at in marked:
-            if at > last:
-                starts.append(max(0, at - length // 3))
-                last = starts[-1] + length - 1
-        for low in dict.fromkeys(starts):
-            part = words[low : low + length]
-            seqs.append([own[w] for w in part])
-            tags.append([int(bool(toxic and own[w])) for w in part])
-            counts.append(share[toxic])
+    own = {w: [names[f] for f in features(w) if f in names] for w in {w for words, _, _ in parts for w in words}}
+    length = STRETCH
+    seqs = [[own[w] for w in words] for words, _, _ in parts]
+    tags = [[int(bool(toxic and own[w])) for w in words] for words, toxic, _ in parts]
     n = max(1, len(seqs))
     mask = np.zeros((n, length), bool)
     gold = np.zeros((n, length), int)
@@ -248,7 +259,7 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
             cols += [j] * len(fs)
             feats += fs
     rows, cols, feats = np.array(rows, int), np.array(cols, int), np.array(feats, int)
-    count = np.array(counts or [1.0])
+    count = np.array([n for _, _, n in parts] or [1.0])
     w, bias, start, pairs = np.zeros(len(names)), -3.0, np.zeros(2), np.zeros((2, 2))
     grads = [np.full_like(w, 1e-8), 1e-8, np.full(2, 1e-8), np.full((2, 2), 1e-8)]
     for _ in range(rounds):
@@ -270,17 +281,17 @@ def _fit(lexicon: dict[str, float], docs: list[tuple[list[str], int]], rounds: i
         bias = bias + 0.5 * gb / np.sqrt(grads[1])
         start = start + 0.5 * gs / np.sqrt(grads[2])
         pairs = pairs + 0.5 * gp / np.sqrt(grads[3])
-    field = Field({name: float(w[at]) for name, at in names.items() if abs(w[at]) > 1e-3}, float(bias), start, pairs, np.zeros(3))
-    x = np.array([summary(field.marginals(field.potentials(words))[1]) for words, _ in docs])
-    y = np.array([toxic for _, toxic in docs], float)
-    c = np.array([share[toxic] for _, toxic in docs])
+    return Field({name: float(w[at]) for name, at in names.items() if abs(w[at]) > 1e-3}, float(bias), start, pairs, np.zeros(3))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Weights of ``x`` for ``y``, of which each row counts ``c`` times."""
     theta = np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-x @ theta))
         h = (x * (c * (p * (1 - p) + 1e-6))[:, None]).T @ x + 1e-2 * np.eye(3)
         theta = theta + np.linalg.solve(h, x.T @ (c * (y - p)) - 1e-2 * theta)
-    field.logistic = theta
-    return field
+    return theta
 
 
 def _marginals(score: np.ndarray, mask: np.ndarray, start: np.ndarray, pairs: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
