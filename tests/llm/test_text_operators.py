@@ -86,6 +86,31 @@ def test_base_patterns():
     assert secrets.base_spans("password=secret:abcdefgh12345") == []
 
 
+def test_keys_glued_to_names():
+    import random
+
+    draw = random.Random(7)
+
+    def key(symbols, size):
+        return "".join(draw.choice(symbols) for _ in range(size))
+
+    for symbols, sizes in (("0123456789ABCDEF", (40, 24, 22)), ("0123456789abcdef", (24, 31, 20))):
+        for size in sizes:
+            for before in ("", "url?sig=", "id-", "path/", "name_"):
+                found = 0
+                for _ in range(200):
+                    text = f"see {before}{(own := key(symbols, size))} now"
+                    low = text.index(own, 4 + len(before))
+                    found += any(a < low + size and b > low for _, a, b in secrets.method_spans(text))
+                assert found >= 190, (symbols, size, before, found)
+    groups = ["sk-" + "-".join(key("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 11) for _ in range(4)) for _ in range(100)]
+    assert sum(bool(secrets.method_spans(g)) for g in groups) >= 95
+    harmless = ["path/to/file12/page-2024-01-02", "user-profile-camelCase-v2-page12", "orders/order-123456789012", "docs/release-notes/version-2024/en"]
+    assert all(secrets.method_spans(t) == [] for t in harmless)
+    # One class a stretch: a key alone is reported once.
+    assert [k for k, _, _ in secrets.method_spans("04dbebab91ab85687d33eeaaf9ac699e1188f962")] == ["entropy_hex"]
+
+
 def test_secrets_of_documents(spark):
     key = "q7Zk2Lm9Xv4Tb8Nw3Rc6Yh1J"
     docs = [(1, f"é use {key} now"), (2, None), (3, ""), (None, "id 123e4567-e89b-12d3-a456-426614174000"), (4, "antidisestablishmentarianism"), (5, "api_key=abcdefgh1 " * 3)]

@@ -1,9 +1,11 @@
 """Search for secrets in whole texts: fixed patterns, and windows of high entropy in candidate strings.
 
-Candidates are runs of at least ``MIN_RUN`` letters, digits and ``+ / = _ -``. Each is classed by its characters (hex digits, letters
-and digits, base64); a window slides over it and keeps the counts of its characters, of which one goes up and one
-goes down a step, so that the sum behind the entropy changes by two terms. Windows at or above the class's threshold are joined to spans. An allow
-list suppresses what is known to be harmless: words without digits, UUIDs, dotted or dashed words, runs of one alphabet in order.
+Candidates are runs of at least ``MIN_RUN`` letters, digits and ``+ / = _ -``. In each, the longest stretches of every class of characters (hex
+digits, letters and digits, base64) are looked at, so that a key glued to a name or path is held to its own class. A window slides over a stretch and
+keeps the counts of its characters, of which one goes up and one goes down a step, so that the sum behind the entropy changes by two terms. A
+stretch shorter than its class's window is one window. Windows at or above the class's threshold are joined to spans; a span within one of a
+narrower class is left out. An allow list suppresses what is known to be harmless, in whole runs and in stretches: words without digits, UUIDs,
+dashed words with short numbers, runs of one alphabet in order.
 
 A null or empty text has no spans. Positions are code points, ends are exclusive.
 """
@@ -27,16 +29,20 @@ ASSIGN_MIN, ACCESS_MIN = 8, 16
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_alnum", "entropy_base64")
 
-MIN_RUN = 20
-RUN = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
 # Window and bits per character by class: a fair draw from 16, 62 and 64 symbols gives about 3.3, 4.1 and 4.1 over 20 to 24.
 WINDOW = {"hex": 24, "alnum": 20, "base64": 20}
 THRESHOLD = {"hex": 3.0, "alnum": 3.7, "base64": 3.8}
+MIN_RUN = min(WINDOW.values())
+RUN = re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % MIN_RUN)
+# Stretches of the narrower classes within a run, the narrowest first.
+WITHIN = {"hex": re.compile(r"[0-9a-fA-F]{%d,}" % MIN_RUN), "alnum": re.compile(r"[A-Za-z0-9]{%d,}" % MIN_RUN)}
+# A word (small, capital, camel case) with at most four digits behind it, or a number.
+_WORD = r"(?:(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)[0-9]{0,4}|[0-9]+)"
 ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"[^0-9]*"),
     re.compile(r"[0-9+/=_-]*"),
-    re.compile(r"[A-Za-z]+([-_/][A-Za-z0-9]{1,12})+"),
+    re.compile(rf"[A-Za-z]+([-_/](?=[A-Za-z0-9]{{1,12}}(?![A-Za-z0-9])){_WORD})+"),
     re.compile(r"(.{1,4})\1+.{0,3}"),
 ]
 ORDERED = ("0123456789abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
@@ -46,7 +52,7 @@ def _terms(window: int) -> list[float]:
     return [0.0, *(c * math.log2(c) for c in range(1, window + 2))]
 
 
-TERMS = {w: _terms(w) for w in set(WINDOW.values())}
+TERMS = {w: _terms(w) for w in range(MIN_RUN, max(WINDOW.values()) + 1)}
 
 
 def char_class(run: str) -> str:
@@ -99,8 +105,22 @@ def method_spans(text: str) -> list[tuple[str, int, int]]:
     for match in RUN.finditer(text):
         run = match[0]
         if not allowed(run):
-            kind, start = char_class(run), match.start()
-            found += [(f"entropy_{kind}", start + a, start + b) for a, b in entropy_spans(run, WINDOW[kind], THRESHOLD[kind])]
+            found += [(f"entropy_{kind}", match.start() + a, match.start() + b) for kind, a, b in run_spans(run)]
+    return found
+
+
+def run_spans(run: str) -> list[tuple[str, int, int]]:
+    """Class, start and end of what windows mark in a run, the narrowest class first."""
+    found, whole = [], char_class(run)
+    narrower = list(WITHIN)[: KINDS.index(f"entropy_{whole}") - KINDS.index("entropy_hex")]
+    parts = [(kind, m.start(), m[0]) for kind in narrower for m in WITHIN[kind].finditer(run)]
+    for kind, start, part in [*parts, (whole, 0, run)]:
+        # A stretch that is all of a narrower class has been looked at as such.
+        if part is not run and (char_class(part) != kind or allowed(part)):
+            continue
+        for a, b in entropy_spans(part, min(WINDOW[kind], len(part)), THRESHOLD[kind]):
+            if not any(low <= start + a and start + b <= high for _, low, high in found):
+                found.append((kind, start + a, start + b))
     return found
 
 
