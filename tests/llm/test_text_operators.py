@@ -176,6 +176,16 @@ def test_one_of_each_group_stays(spark):
     assert ngram_join.keep_one(frame(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    one, two = "one two three four five six", "other words that no other row has"
+    docs = [(7, one), (7, one), (7, two), (5, one), (None, one), (None, one.upper()), (9, two + " here"), (8, None), (8, None), (3, "a b"), (3, "a b")]
+    out = ngram_join.keep_one(frame(spark, docs))
+    assert sorted(((r.doc_id, r.text and r.text.lower()) for r in out.collect()), key=repr) == sorted(
+        [(5, one), (7, two), (None, one), (9, two + " here"), (8, None), (8, None), (3, "a b")], key=repr
+    )
+    assert out.columns == frame(spark, docs).columns
+
+
 ITEMS = [
     (1, "What is the tallest tower of the old harbour town? Answer: the lantern of saint elmo"),
     (2, "Name the river that crosses seven borders before it meets the northern sea.\nIt is called the long grey wanderer"),

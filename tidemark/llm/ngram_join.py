@@ -229,7 +229,20 @@ def _verified(documents: DataFrame, cells: DataFrame, pairs: DataFrame, n: int,
 
 
 def keep_one(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """``documents`` with one document of each component, the smallest doc_id; rows with a null doc_id or without words stay."""
-    placed = link_components(documents, n, percent)
-    gone = placed.where("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    """``documents`` with one row of each component, that of the smallest doc_id; rows without words stay.
+
+    With repeated or null ids rows are numbered and linked one by one: of rows with one doc_id the first stays, and rows
+    with a null doc_id, which have no place in that order, keep one row of each component among themselves.
+    """
+    if documents.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1 OR doc_id IS NULL").isEmpty():
+        placed = link_components(documents, n, percent)
+        gone = placed.where("doc_id <> component_id").select("doc_id").distinct()
+        return documents.join(gone, "doc_id", "left_anti")
+    # Written once, so that numbers stay the same.
+    numbered = materialize(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    placed = link_components(numbered.select(F.col("_row").alias("doc_id"), "text"), n, percent)
+    linked = placed.where("n_shingles > 0").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_component"))
+    linked = linked.join(numbered.select("_row", "doc_id"), "_row")
+    first = linked.groupBy("_component", F.col("doc_id").isNull().alias("_null")).agg(F.min(F.struct("doc_id", "_row")).alias("_first"))
+    gone = linked.select("_row").join(first.select(F.col("_first._row").alias("_row")), "_row", "left_anti")
+    return numbered.join(gone, "_row", "left_anti").select(documents.columns)
