@@ -213,6 +213,18 @@ def test_leaks(spark):
     assert decontaminate.drop_leaked(spark, frame(spark, docs), none).count() == len(docs)
 
 
+def test_short_answers_are_no_condition(spark):
+    split = decontaminate.question_answer
+    assert split("Who built the old harbour? A: the two masons") == (b"who built the old harbour".split(), b"the two masons".split())
+    assert split("Who built the old harbour? A: masons") == (b"who built the old harbour".split(), [])
+    assert split("The harbour is old. Very") == (b"the harbour is old very".split(), [])
+    item = "Seven lanterns burn above the old harbour wall until the first boat leaves at dawn. Quietly."
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    filler = " ".join(f"word{k}" for k in range(150))
+    docs = [(1, f"{filler} {item.removesuffix(' Quietly.')} {filler}"), (2, f"{filler} {item} {filler}"), (3, filler)]
+    assert sorted(r.doc_id for r in decontaminate.find_leaks(spark, frame(spark, docs), items).collect()) == [1, 2]
+
+
 def test_wand_finds_all_that_a_full_scan_finds(spark, small):
     items = spark.read.parquet(f"{small}/benchmark.parquet")
     index = next(decontaminate.build_index(items, threshold=0.3))

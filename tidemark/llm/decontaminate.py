@@ -11,7 +11,8 @@ in the others document-at-a-time WAND moves to the next unit that can reach it,
 All units at or above the threshold are found; there is no limit per passage.
 
 Check. A found item counts if, near the passage, at least ``OVERLAP`` of its question's word triples and of its answer's words occur. The answer is
-what follows a line or sentence starting with "answer" or "a:", else the last sentence; an item of one sentence is all question.
+what follows a line or sentence starting with "answer" or "a:", without that mark, else the last sentence. An item whose answer has fewer than
+``ANSWER_WORDS`` words, or of one sentence, is all question.
 
 Words are runs of characters other than ASCII space, punctuation and controls, in lower case. Nulls and repeats: a null or empty text, or item, has
 no words and matches nothing; equal items are all reported; a null item_id or doc_id is carried along; rows sharing a doc_id are looked at each.
@@ -36,6 +37,7 @@ from tidemark.session import materialize
 UNIT, BLOCK, SHARD = 64, 2, 20_000
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.5, 0.5
+ANSWER_WORDS = 3
 _OTHER = bytes(b if b > 126 or chr(b).isalnum() else 32 for b in range(256))
 ANSWER = re.compile(r"(?:^|[\n.?!])\s*(?:answer\b|a:)", re.IGNORECASE)
 SENTENCE = re.compile(r"[.?!\n]+\s+(?=\S)")
@@ -48,11 +50,16 @@ def words_of(text: str | None) -> list[bytes]:
 def question_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
     """Words of an item's question and of its answer."""
     text = text or ""
-    marks = list(ANSWER.finditer(text))
-    ends = [m.start() for m in marks if m.start()] or [m.end() for m in SENTENCE.finditer(text)]
-    cut = ends[-1] if ends else len(text)
-    question, answer = words_of(text[:cut]), words_of(text[cut:])
-    return (question, answer) if question else (answer, [])
+    marks = [(m.start(), m.end()) for m in ANSWER.finditer(text) if m.start()]
+    ends = marks or [(m.end(), m.end()) for m in SENTENCE.finditer(text)]
+    cut, low = ends[-1] if ends else (len(text), len(text))
+    question, answer = words_of(text[:cut]), words_of(text[low:])
+    if not question:
+        return answer, []
+    # One or two words more or less say nothing about a leak.
+    if len(answer) < ANSWER_WORDS:
+        return (question if marks else question + answer), []
+    return question, answer
 
 
 def units_of(items: DataFrame) -> DataFrame:
