@@ -107,3 +107,11 @@ def test_exchanges_empty_a_bin():
     assert len(packing.local_search(bins, 10)) == 2
     bins = [[(7, 0), (2, 1)], [(6, 2), (3, 3)], [(1, 4)], [(1, 5)]]
     assert len(packing.local_search(bins, 10)) == 2
+
+
+def test_search_goes_on_after_every_step():
+    import random
+
+    draw = random.Random(2)
+    lengths = [draw.randint(900, 2600) for _ in range(60)]
+    assert len(packing.pack_lengths(lengths, 4096)) == -(-sum(lengths) // 4096) == 26

@@ -153,9 +153,8 @@ def local_search(bins: list[list[tuple[int, int]]], size: int) -> list[list[tupl
         emptied = not giver[1]
         open_ = sorted((x for x in open_ if x[1] and x[0] < size), key=lambda x: x[0])
         # A bin that no step helps stays as it is; the next one is tried.
-        stuck = 0 if emptied else stuck + (giver[0] == before)
-        if giver[0] != before and not emptied:
-            stuck = min(stuck + 1, len(open_))
+        # After any step all of them are tried again: a step may have opened room for one that was stuck.
+        stuck = stuck + 1 if giver[0] == before and not emptied else 0
     return full + [b for _, b in open_]
 
 
