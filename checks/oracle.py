@@ -234,7 +234,7 @@ SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
        strftime(o_orderdate + to_hours(o_custkey), '%Y-%m-%d %H:%M:%S') AS stamp
 FROM orders
 """
-ORACLE["dedup_all"] = "SELECT DISTINCT text FROM documents"
+ORACLE["dedup_all"] = "SELECT DISTINCT * FROM documents"
 ORACLE["dedup_keys"] = "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem"
 
 # -- windows ------------------------------------------------------------------
@@ -284,9 +284,8 @@ ORACLE["first_by"] = "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderke
 # -- sets ---------------------------------------------------------------------
 
 ORACLE["union_by_name"] = BOTH + f"SELECT * FROM new UNION ALL SELECT {OLD_COLUMNS}, NULL FROM old"
-ORACLE["rows_except"] = f"""WITH {NEW}
-SELECT l_orderkey AS k, l_returnflag AS f FROM lineitem
-EXCEPT SELECT o_orderkey, CASE WHEN o_orderstatus = 'X' THEN 'R' ELSE 'A' END FROM new
+ORACLE["rows_except"] = """
+SELECT * FROM lineitem EXCEPT SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN 'X' ELSE l_linestatus END AS l_linestatus) FROM lineitem
 """
 _OLD_C, _NEW_C = f"old AS ({fx.OLD_CUSTOMER})", f"new AS ({fx.NEW_CUSTOMER})"
 _MEMBERS = f"""WITH {_OLD_C}, {_NEW_C},
@@ -409,7 +408,7 @@ FROM ({_dirty('?')})
 WHERE key IS NOT NULL
 """
 ORACLE["clean_documents"] = f"""
-SELECT DISTINCT nullif(nullif(strip_accents(replace(trim(text, {_SPACE}), 'ß', 'ss')), ''), 'NA') AS text, lang, source
+SELECT DISTINCT doc_id, nullif(nullif(strip_accents(replace(trim(text, {_SPACE}), 'ß', 'ss')), ''), 'NA') AS text, lang, source, n_chars
 FROM documents
 """
 _TEXT = "CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, " \
@@ -524,3 +523,21 @@ ORACLE["revert"] = """
 SELECT CAST(COLUMNS(*) AS VARCHAR), NULL AS left_out FROM orders
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'supplier'
 """
+ORACLE["refresh_pages_retry"] = f"""
+SELECT {_TEXT}, 'complete False True, failed 0, dated None' AS told, CAST(CAST((SELECT max(o_orderdate) FROM orders) AS DATE) AS VARCHAR) AS latest_date FROM orders
+"""
+ORACLE["profile_after_refresh"] = f"""
+WITH t AS ({ORACLE['refresh_table']}), long AS (SELECT * FROM t UNPIVOT INCLUDE NULLS (value FOR var_name IN (COLUMNS(*)))),
+n AS (SELECT var_name, count(DISTINCT value) AS n, bool_or(value IS NULL) AS gone, list(DISTINCT value) FILTER (value IS NOT NULL) AS held FROM long GROUP BY var_name)
+SELECT var_name, 'string' AS var_class, CASE WHEN n <= 30 THEN n END AS n_unique, CASE WHEN n <= 30 THEN gone END AS has_null,
+    CASE WHEN n <= 30 THEN coalesce(array_to_string(list_sort(held), ', '), '') END AS values
+FROM n
+"""
+ORACLE["diff_versions_buckets"] = ORACLE["diff_versions_repeated_keys"]
+ORACLE["refresh_all_tables"] = """
+SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
+  SELECT *, 'missing' AS failed FROM customer
+  UNION ALL BY NAME SELECT *, 'missing' AS failed FROM supplier
+  UNION ALL BY NAME SELECT *, 'missing' AS failed FROM orders)
+"""
+ORACLE["read_planned_ranges"] = ORACLE["read_planned_pages"] = "SELECT * FROM lineitem"

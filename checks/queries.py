@@ -15,7 +15,7 @@ from tidemark.functions import text
 from tidemark.operators import diff, drift, merge, profile, ranges, shape, state, typing, versions
 from tidemark.plans import changes, clean, extract, refresh
 from tidemark.session import apply_settings, new_folder
-from tidemark.sources import declared, pages
+from tidemark.sources import buckets, declared, pages, planned
 from tidemark.sources.store import VersionStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,7 +362,7 @@ def demote_midnight_timestamps(t: Tables) -> DataFrame:
 
 @query
 def dedup_all(t: Tables) -> DataFrame:
-    return merge.dedup_all(t.documents.select("text"))
+    return merge.dedup_all(t.documents.unionByName(t.documents))
 
 
 @query
@@ -454,9 +454,8 @@ def union_by_name(t: Tables) -> DataFrame:
 
 @query
 def rows_except(t: Tables) -> DataFrame:
-    a = t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("f"))
-    b = t.derive(fx.NEW_ORDERS).select(F.col(KEY).alias("k"), F.when(F.col("o_orderstatus") == "X", "R").otherwise("A").alias("f"))
-    return shape.rows_except(a, b)
+    changed = t.lineitem.withColumn("l_linestatus", F.when(F.col("l_returnflag") == "R", "X").otherwise(F.col("l_linestatus")))
+    return shape.rows_except(t.lineitem, changed)
 
 
 @query
@@ -632,7 +631,7 @@ def clean_table(t: Tables) -> DataFrame:
 
 @query
 def clean_documents(t: Tables) -> DataFrame:
-    return clean.clean_table(t.documents.select("text", "lang", "source"))
+    return clean.clean_table(t.documents)
 
 
 @query
@@ -798,6 +797,74 @@ def unfit_columns(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(n,) for n in found], "unfit string")
 
 
+@query
+def refresh_pages_retry(t: Tables) -> DataFrame:
+    """Pages that failed are asked for once more; only then does the date move."""
+    store, cfg = _new_store(t, "store"), config("orders", KEY, "o_orderdate")
+    whole = _pages_of(t.orders, "o_custkey")
+    broken = whole.withColumn("body", F.when(F.col("skip") % 7 == 3, F.lit("<html>503</html>")).otherwise(F.col("body")))
+    source = refresh.PageSource(broken.filter("skip % 11 <> 5"), expected=whole.select("table_name", "skip"))
+    first = refresh.refresh_table(store, source, cfg)
+    source.retry = lambda failed: whole.join(failed, "skip", "left_semi").select("table_name", "skip", "body")
+    last = refresh.retry_failed(store, source, cfg)
+    told = f"complete {first.complete} {last.complete}, failed {store.failed_pages('orders').count()}, dated {first.latest_date}"
+    dated = F.lit(str(store.state().first().latest_date)).alias("latest_date")
+    return store.read_version("orders").select("*", F.lit(told).alias("told"), dated)
+
+
+@query
+def profile_after_refresh(t: Tables) -> DataFrame:
+    """The profile that a refresh keeps up from its buckets; no row of the version is read for it."""
+    store, cfg = _new_store(t, "store"), config("orders", KEY, "o_orderdate")
+    refresh.refresh_table(store, refresh.FrameSource(t.orders), cfg)
+    refresh.refresh_table(store, refresh.FrameSource(t.derive(fx.NEW_ORDERS).drop("o_clerk")), cfg, check_deletes=True)
+    held = store.current("orders")
+    kept = buckets.profile_of(store.bucket_list(held), buckets.schema_of(held), infer=False)
+    return kept.select("var_name", "var_class", "n_unique", "has_null", text.render_set(F.col("values")).alias("values"))
+
+
+@query
+def diff_versions_buckets(t: Tables) -> DataFrame:
+    """Two stored versions of all line items, of which only unlike buckets are compared."""
+    store, cfg = _new_store(t, "store"), config("lineitem", ["l_orderkey", "l_linenumber"], "l_shipdate")
+    first = buckets.publish_merged(store, cfg, buckets.merge_buckets(store, cfg, None, t.lineitem))
+    base, number = store.head("lineitem")
+    later = t.lineitem.filter("l_returnflag = 'R'").withColumn("l_returnflag", F.lit("X"))
+    second = buckets.publish_merged(store, cfg, buckets.merge_buckets(store, cfg, base, later), number)
+    record = changes.diff_stored(store, second, first, cfg.keys)
+    found = shape.union_by_name(record.repeated.withColumn("part", F.lit("repeated")), record.edited.withColumn("part", F.lit("edited")))
+    return shape.union_by_name(found, record.counts.withColumn("part", F.lit("counts")))
+
+
+@query
+def refresh_all_tables(t: Tables) -> DataFrame:
+    """Whole tables refreshed side by side; one that cannot be read leaves the others alone."""
+    store = _new_store(t, "store")
+    tables = [config("customer", "c_custkey"), config("missing", "id"), config("supplier", "s_suppkey"), config("orders", KEY, "o_orderdate")]
+    done = refresh.refresh_all(store, tables, lambda cfg: refresh.FrameSource(t.spark.read.parquet(f"{t.folder}/{cfg.table_name}.parquet")))
+    failed = ", ".join(r.table_name for r in done if r.error)
+    rows = [store.read_version(n) for n in ("customer", "supplier", "orders")]
+    return shape.union_by_name(*rows).withColumn("failed", F.lit(failed))
+
+
+def _read_planned(t: Tables, method: str) -> DataFrame:
+    path = f"{t.folder}/lineitem.parquet".removeprefix("file:")
+    cfg = config("lineitem", "l_orderkey", page_size=5000)
+    requests = planned.plan_requests(cfg, t.lineitem.select("l_orderkey"), method, width=20_000)
+    fetch = planned.pages_of_parquet(path) if method == extract.BY_PAGES else planned.ranges_of_parquet(path, "l_orderkey")
+    return planned.read_planned(t.spark, requests, fetch, t.lineitem.schema, "l_orderkey")
+
+
+@query
+def read_planned_ranges(t: Tables) -> DataFrame:
+    return _dates_as_text(_read_planned(t, extract.BY_IDS))
+
+
+@query
+def read_planned_pages(t: Tables) -> DataFrame:
+    return _dates_as_text(_read_planned(t, extract.BY_PAGES))
+
+
 def _orders_drift(t: Tables) -> tuple[DataFrame, DataFrame]:
     """New orders that lost one column and hold another as text."""
     new = t.derive(fx.NEW_ORDERS).drop("o_totalprice").withColumn("o_custkey", F.col("o_custkey").cast("string"))

@@ -48,7 +48,8 @@ class TableConfig:
     """``keys`` identify a row; ``field`` is its change date, or ``None`` as text.
 
     Columns with more than ``category_limit`` values have no value set; ``keep_versions`` and ``keep_change_logs`` say
-    how many old versions and change records of the table are kept.
+    how many old versions and change records of the table are kept. ``layout`` says how a version is cut into buckets: ``hash:n``
+    for n buckets, ``range:w`` for w consecutive ids in each (one integer key).
     """
 
     table_name: str
@@ -61,6 +62,7 @@ class TableConfig:
     category_limit: int = CATEGORY_LIMIT
     keep_versions: int = KEEP_VERSIONS
     keep_change_logs: int = KEEP_CHANGE_LOGS
+    layout: str = "hash:32"
 
 
 def default_catalog(spark: SparkSession) -> DataFrame:

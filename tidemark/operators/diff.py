@@ -75,11 +75,13 @@ def cells_edited(
     names = common_names(new, old)
     values = [n for n in names if n not in keys]
     if changed is None:
+        # Used for one side of one join only, so it is worked out once.
         changed = changed_keys(new, old, keys)
     edited = changed.filter("status = 'edited'")
     new, old = _align(new, old, names)
-    left = keep_known(new, edited, keys)
-    right = keep_known(old, edited, keys).toDF(*[f"__old_{i}" for i in range(len(names))])
+    # The listed keys are distinct, and rows that are left on one side pick those of the other.
+    left = keep_known(new, edited, keys, keys_are_distinct=True)
+    right = old.toDF(*[f"__old_{i}" for i in range(len(names))])
     place = {n: f"__old_{i}" for i, n in enumerate(names)}
     both = left.join(right, same_key(cols(keys), [F.col(place[k]) for k in keys]))
     cells = []

@@ -9,10 +9,10 @@ from tidemark.functions.columns import as_list, as_text, col, cols, same_key
 from tidemark.operators.shape import union_by_name
 
 
-def _against_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+def _against_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str, keys_are_distinct: bool = False) -> DataFrame:
     """Semi or anti join of ``df`` with the distinct keys of ``other``.
 
-    The key side is reduced to one row per key before it is shuffled. Whether it
+    The key side is reduced to one row per key before it is shuffled, unless it is said to be so already. Whether it
     is small enough to broadcast is left to its size at run time; beyond that
     the join sorts both sides and hot partitions of ``df`` are split.
     """
@@ -23,13 +23,14 @@ def _against_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str) ->
         mine.append(col(k) if same else as_text(k, a))
         theirs.append(col(k) if same else as_text(k, b))
     named = [t.alias(f"__key_{i}") for i, t in enumerate(theirs)]
-    known = other.select(*named).distinct()
+    known = other.select(*named)
+    known = known if keys_are_distinct else known.distinct()
     return df.join(known, same_key(mine, [F.col(f"__key_{i}") for i in range(len(keys))]), how)
 
 
-def keep_known(df: DataFrame, other: DataFrame, keys: str | list[str]) -> DataFrame:
+def keep_known(df: DataFrame, other: DataFrame, keys: str | list[str], keys_are_distinct: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is in ``other``."""
-    return _against_keys(df, other, as_list(keys), "left_semi")
+    return _against_keys(df, other, as_list(keys), "left_semi", keys_are_distinct)
 
 
 def keep_unknown(df: DataFrame, other: DataFrame, keys: str | list[str]) -> DataFrame:

@@ -57,21 +57,25 @@ def profile_columns(df: DataFrame, classes: dict[str, str] | None = None) -> Dat
     return counted.select("var_name", _class_of(F.col("var_name"), classes).alias("var_class"), "n_unique", "has_null")
 
 
-def _few_valued(df: DataFrame, limit: int) -> list[str]:
-    """Columns that may have at most ``limit`` distinct values.
+def sketch_bound(limit: int) -> tuple[float, int]:
+    """Accuracy of a sketch, and the highest estimate it gives for ``limit`` distinct values or fewer.
 
     A HyperLogLog sketch of few values counts its non-empty registers, of which
     there are never more than values: with ``m`` registers its estimate is at
-    most ``m * ln(m / (m - limit))``, so no such column is missed. One that only
-    looks small is dropped by the exact count that follows.
+    most ``m * ln(m / (m - limit))``, so no such column is missed.
     """
     bits = max(7, math.ceil(math.log2(4 * limit)))
     registers = 1 << bits
-    highest = math.ceil(registers * math.log(registers / (registers - limit))) + 1
-    sketches = [
-        F.approx_count_distinct(as_text(f.name, f.dataType), 1.106 / 2 ** (bits / 2)).alias(str(i))
-        for i, f in enumerate(df.schema.fields)
-    ]
+    return 1.106 / 2 ** (bits / 2), math.ceil(registers * math.log(registers / (registers - limit))) + 1
+
+
+def _few_valued(df: DataFrame, limit: int) -> list[str]:
+    """Columns that may have at most ``limit`` distinct values.
+
+    One that only looks small is dropped by the exact count that follows.
+    """
+    accuracy, highest = sketch_bound(limit)
+    sketches = [F.approx_count_distinct(as_text(f.name, f.dataType), accuracy).alias(str(i)) for i, f in enumerate(df.schema.fields)]
     row = df.agg(*sketches).first()
     return [n for i, n in enumerate(df.columns) if row[i] <= highest]
 

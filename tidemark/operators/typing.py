@@ -22,7 +22,7 @@ from tidemark.operators.shape import sample_rows
 SAMPLE_ROWS = 1000
 
 
-def _masks(df: DataFrame, integers: bool, *by: str) -> DataFrame:
+def class_masks(df: DataFrame, integers: bool, *by: str) -> DataFrame:
     """The class mask all values of a column share, one row per column.
 
     Values are laid out one under the other, so one expression serves any number
@@ -41,7 +41,7 @@ def _masks(df: DataFrame, integers: bool, *by: str) -> DataFrame:
 
 def infer_types(df: DataFrame, integers: bool = True) -> DataFrame:
     """Strictest class that all present values of a column share."""
-    return _masks(df, integers).select("column", class_name(F.col("mask")).alias("class"))
+    return class_masks(df, integers).select("column", class_name(F.col("mask")).alias("class"))
 
 
 def infer_types_sampled(
@@ -55,14 +55,14 @@ def infer_types_sampled(
     for how in ("random", "first", "last"):
         part = sample_rows(df, n, how, order_by, seed).withColumn("__how", F.lit(how))
         samples = part if samples is None else samples.unionByName(part)
-    guesses = _masks(samples, integers, "__how").select("column", class_name(F.col("mask")).alias("class"))
+    guesses = class_masks(samples, integers, "__how").select("column", class_name(F.col("mask")).alias("class"))
     agreed = F.when(F.min("class") == F.max("class"), F.min("class")).otherwise(F.lit("character"))
     return guesses.groupBy("column").agg(agreed.alias("class"))
 
 
 def inferred_classes(df: DataFrame, integers: bool = True, demote: bool = False) -> dict[str, str]:
     """Classes as a dictionary; with ``demote`` midnight-only time stamps are dates."""
-    found = _masks(df, integers)
+    found = class_masks(df, integers)
     label = class_name(F.col("mask"))
     if demote:
         only_midnight = F.col("mask").bitwiseAND(F.lit(MIDNIGHT)) != 0
@@ -78,7 +78,7 @@ def unfit_columns(df: DataFrame, classes: dict[str, str], integers: bool = True)
     if not names:
         return []
     bits = {n: CLASS_BITS[classes[n]] for n in names}
-    found = _masks(df.select(*[col(n) for n in names]), integers).filter("mask IS NOT NULL").collect()
+    found = class_masks(df.select(*[col(n) for n in names]), integers).filter("mask IS NOT NULL").collect()
     return sorted(r["column"] for r in found if not r["mask"] & bits[r["column"]])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_list
@@ -13,7 +13,8 @@ from tidemark.operators import diff, drift
 from tidemark.operators.merge import keep_known
 from tidemark.operators.profile import CATEGORY_LIMIT, describe_table
 from tidemark.operators.versions import KEEP_CHANGE_LOGS, latest_version
-from tidemark.session import delete_folder, new_folder
+from tidemark.session import delete_folder, new_folder, side_by_side
+from tidemark.sources.buckets import profile_of, schema_of, unequal_buckets
 from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, VersionStore
 
 
@@ -63,9 +64,9 @@ def diff_versions(
     sides = drift.schema_diff(old_profile, new_profile)
     return ChangeRecord(
         counts=diff.count_changed(changed),
-        added=keep_known(new, changed.filter("status = 'added'"), keys),
+        added=keep_known(new, changed.filter("status = 'added'"), keys, keys_are_distinct=True),
         edited=diff.cells_edited(new, old, keys, changed),
-        deleted=keep_known(old, changed.filter("status = 'deleted'"), keys),
+        deleted=keep_known(old, changed.filter("status = 'deleted'"), keys, keys_are_distinct=True),
         new_columns=drift.new_columns(sides),
         lost_columns=drift.lost_columns(sides),
         class_changes=drift.class_changes(sides),
@@ -76,12 +77,19 @@ def diff_versions(
     )
 
 
+def diff_stored(store: VersionStore, new: Row, old: Row, keys: str | list[str], show_edits: bool = True, limit: int = CATEGORY_LIMIT) -> ChangeRecord:
+    """Everything that differs between two stored versions. Buckets that are the same in both are not read, and profiles come from the lists."""
+    uneven = unequal_buckets(store, new, old)
+    profiles = [profile_of(store.bucket_list(v), schema_of(v), False, limit) if v.layout is not None else describe_table(store.open(v), limit=limit) for v in (new, old)]
+    return diff_versions(store.open(new, uneven), store.open(old, uneven), keys, *profiles, show_edits, limit)
+
+
 def append_change_log(
     store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime, keep: int = KEEP_CHANGE_LOGS
 ) -> None:
     """Save a change record; its rows go first, the small parts make it visible. The record is used up by it."""
-    for kind in ROW_RECORDS:
-        store.save_rows(kind, getattr(record, kind), table, run_ts)
+    # Four writes that read the same small table of keys; none fills a cluster by itself.
+    side_by_side(store.spark, [lambda kind=kind: store.save_rows(kind, getattr(record, kind), table, run_ts) for kind in ROW_RECORDS], len(ROW_RECORDS))
     store.append_records({kind: getattr(record, kind) for kind in RECORD_COLUMNS}, table, run_ts)
     delete_folder(store.spark, record.folder)
     store.purge_changes(keep, table)

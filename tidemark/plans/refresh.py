@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.catalog import TableConfig
 from tidemark.operators import drift, state
-from tidemark.operators.merge import keep_known, keep_unknown, upsert
-from tidemark.operators.profile import describe_table, max_date_watermark, spark_classes
+from tidemark.operators.merge import keep_known, keep_unknown
+from tidemark.operators.profile import spark_classes
 from tidemark.operators.shape import NO_FIELD, cast_all_to_string, incremental_filter, select_fields, union_by_name
 from tidemark.operators.typing import inferred_classes, unfit_columns
 from tidemark.plans.changes import append_change_log, diff_versions
-from tidemark.session import delete_folder, one_row
+from tidemark.session import delete_folder, one_row, side_by_side
 from tidemark.sources import pages as landed
-from tidemark.sources.store import VersionStore, moment
+from tidemark.sources.buckets import merge_buckets, profile_of, publish_merged, unequal_buckets
+from tidemark.sources.store import Conflict, VersionStore, moment
 
 
 @dataclass
@@ -28,6 +29,8 @@ class Pull:
     rows: DataFrame | None
     complete: bool = True
     failed: DataFrame | None = None
+    reported: int | None = None
+    landed: int | None = None
 
 
 class FrameSource:
@@ -58,6 +61,7 @@ class PageSource:
     Only a function can serve a reload: fixed pages hold what was asked for once. ``expected`` lists the pages that were asked for, or
     is a function of the first date too. ``key_pages`` are pages that hold the keys of all live rows, with ``expected_keys`` next to them;
     without them deletes cannot be told from rows that were not asked for. Only pages of the table at hand are looked at.
+    ``retry`` lands the pages of a list of ``skip`` and ``reason`` again: it is asked once within a pull, and once more by ``retry_failed``.
     """
 
     def __init__(
@@ -67,12 +71,14 @@ class PageSource:
         fields: list[str] | None = None,
         key_pages: DataFrame | None = None,
         expected_keys: DataFrame | None = None,
+        retry: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.pages = pages
         self.expected = expected
         self.fields = fields
         self.key_pages = key_pages
         self.expected_keys = expected_keys
+        self.retry = retry
 
     @property
     def can_reload(self) -> bool:
@@ -85,28 +91,47 @@ class PageSource:
     def pull(self, cfg: TableConfig, min_date: str, folder: str) -> Pull:
         pages = self.pages(min_date) if callable(self.pages) else self.pages
         expected = self.expected(min_date) if callable(self.expected) else self.expected
-        parsed, complete, failed = _landed(pages, expected, cfg.table_name, f"{folder}-pages")
+        parsed = _parsed(pages, cfg.table_name, f"{folder}-pages")
+        expected = None if expected is None else expected.filter(F.col("table_name") == cfg.table_name)
+        failed = landed.failed_pages(parsed, expected)
+        if self.retry is not None and not failed.isEmpty():
+            again = _parsed(self.retry(failed.select("skip", "reason")), cfg.table_name, f"{folder}-again")
+            # A page that came again in a readable form takes the place of the one that failed.
+            parsed = keep_unknown(parsed, again.filter("readable"), "skip").unionByName(again.filter("readable"))
+            failed = landed.failed_pages(parsed, expected)
+        return self._pull(cfg, parsed, failed, min_date)
+
+    def pull_failed(self, cfg: TableConfig, failed: DataFrame, min_date: str, folder: str) -> Pull:
+        """The rows of pages that an earlier pull lacked, and those of the list that still do not come."""
+        if self.retry is None:
+            raise ValueError("the source has no way to land failed pages again")
+        parsed = _parsed(self.retry(failed.select("skip", "reason")), cfg.table_name, f"{folder}-pages")
+        came = parsed.filter("readable")
+        return self._pull(cfg, came, keep_unknown(failed, came, "skip"), min_date)
+
+    def _pull(self, cfg: TableConfig, parsed: DataFrame, failed: DataFrame, min_date: str) -> Pull:
+        counts = landed.count_records(parsed).first()
+        reported, number = (None, 0) if counts is None else (counts.reported, counts.landed)
+        complete = failed.isEmpty() and (counts is None or counts.complete)
         fields = landed.fields_of(parsed) if self.fields is None else self.fields
         if not fields:
-            return Pull(None, complete, failed)
+            return Pull(None, complete, failed, reported, number)
         rows = incremental_filter(landed.rows_of(parsed, fields), cfg.field if cfg.field in fields else None, min_date)
-        return Pull(select_fields(rows, extra=[c for c in cfg.columns or [] if c in fields]), complete, failed)
+        return Pull(select_fields(rows, extra=[c for c in cfg.columns or [] if c in fields]), complete, failed, reported, number)
 
     def live_keys(self, cfg: TableConfig, folder: str) -> DataFrame | None:
         """Keys of all live rows; none if a page of them is missing."""
-        parsed, complete, _ = _landed(self.key_pages, self.expected_keys, cfg.table_name, f"{folder}-keys")
-        return landed.rows_of(parsed, cfg.keys) if complete else None
+        parsed = _parsed(self.key_pages, cfg.table_name, f"{folder}/keys")
+        expected = None if self.expected_keys is None else self.expected_keys.filter(F.col("table_name") == cfg.table_name)
+        whole = landed.failed_pages(parsed, expected).isEmpty() and landed.count_records(parsed).filter("NOT complete").isEmpty()
+        return landed.rows_of(parsed, cfg.keys) if whole else None
 
 
-def _landed(pages: DataFrame, expected: DataFrame | None, table: str, folder: str) -> tuple[DataFrame, bool, DataFrame]:
-    """The pages of one table, parsed once into ``folder``; whether they are all there and add up; those to fetch again."""
-    spark = pages.sparkSession
+def _parsed(pages: DataFrame, table: str, folder: str) -> DataFrame:
+    """The pages of one table, parsed once into ``folder``."""
     own = landed.parse_pages(pages.filter(F.col("table_name") == table)).drop("body")
     own.write.mode("overwrite").parquet(folder)
-    parsed = spark.read.schema(own.schema).parquet(folder)
-    failed = landed.failed_pages(parsed, None if expected is None else expected.filter(F.col("table_name") == table))
-    short = landed.count_records(parsed).filter("NOT complete")
-    return parsed, failed.isEmpty() and short.isEmpty(), failed
+    return pages.sparkSession.read.schema(own.schema).parquet(folder)
 
 
 @dataclass
@@ -117,6 +142,7 @@ class RefreshResult:
     complete: bool
     latest_date: date | None
     reload_wanted: bool = False
+    error: str | None = None
 
 
 def _classes(df: DataFrame, cfg: TableConfig) -> dict[str, str]:
@@ -159,7 +185,7 @@ def refresh_table(
     known = state.current_state(log).filter(F.col("table_name") == table).first()
     if known is None:
         store.log_state(state.initial_entry(spark, table, cfg.field, now))
-    before = store.current(table)
+    before, _ = store.head(table)
     base = before
     staged = f"{store.root}/staging/{now:%Y%m%d_%H%M%S_%f}"
 
@@ -171,7 +197,7 @@ def refresh_table(
         """Land the fetched rows once; every later step reads this copy."""
         pull = source.pull(cfg, min_date, folder)
         if pull.failed is not None:
-            store.save_failed(pull.failed, table, now)
+            store.save_failed(pull.failed, table, now, False, pull.reported, pull.landed)
         if pull.rows is None:
             return None, pull
         rows = cast_all_to_string(pull.rows)
@@ -195,7 +221,7 @@ def refresh_table(
     old_profile = None if before is None else store.profile(before.version_id)
     if base is not None and fetched:
         stored_classes = {r.var_name: r.var_class for r in old_profile.select("var_name", "var_class").collect()}
-        stored_classes = stored_classes or _classes(spark.read.parquet(base.path), cfg)
+        stored_classes = stored_classes or _classes(store.open(base), cfg)
         if _drifted(delta, stored_classes, cfg):
             if not source.can_reload:
                 return leave(RefreshResult(table, None, False, pull.complete, known.latest_date, reload_wanted=True))
@@ -214,46 +240,103 @@ def refresh_table(
         live = None if live is None else cast_all_to_string(live)
         live = None if live is None or live.isEmpty() else live
 
-    # A reload that is not complete has to start from the first date again.
-    latest = None if known is None or reloaded else known.latest_date
-    version_id = None
+    version_id, latest = None, None if known is None or reloaded else known.latest_date
     if fetched or (base is not None and live is not None):
-        old = None if base is None else spark.read.parquet(base.path)
-        if delta is None:
-            delta = old.limit(0)
-        trusted = base is not None and bool(base.rows_distinct)
-        merged = upsert(old, delta, cfg.keys, live, old_is_distinct=trusted)
-        version_id, path = store.save_data(merged, table)
-        current = spark.read.parquet(path)
-        if complete and cfg.field != NO_FIELD:
-            # Rows that stay are dated no later than the known date, unless some were deleted.
-            grown = base is not None and live is None
-            found = max_date_watermark(delta if grown else current, cfg.field).first()[0]
-            latest = max(filter(None, [found, latest]), default=None) if grown else found
-        elif complete:
-            latest = None
-        profile = describe_table(current, _classes(current, cfg), cfg.category_limit)
-        store.save_profile(profile, table, version_id)
-        if before is not None:
-            new_part, old_part = current, spark.read.parquet(before.path)
-            if base is not None:
-                new_part, old_part = _touched(current, delta, old_part, cfg.keys, live)
-            record = diff_versions(new_part, old_part, cfg.keys, store.profile(version_id), old_profile, show_edits)
-            append_change_log(store, record, table, now, cfg.keep_change_logs)
-        attrs = {
-            "created": now if before is None else before.created,
-            "updated": now,
-            "date_field": cfg.field,
-            "latest_date": latest,
-        }
-        store.publish(table, version_id, path, now, attrs, rows_distinct=old is not None)
+        while version_id is None:
+            try:
+                version_id, latest = _merge(store, cfg, base, before, delta, live, complete, now, latest, show_edits)
+            except Conflict:
+                # Another refresh came first: merge into what it left. A reload still replaces everything.
+                before, _ = store.head(table)
+                base = None if base is None else before
+
+    if version_id is not None and pull.failed is not None and not complete:
+        store.save_failed(pull.failed, table, now, True, pull.reported, pull.landed)
+    _settle(store, cfg, latest, now)
+    return leave(RefreshResult(table, version_id, reloaded, complete, latest))
+
 
+def _settle(store: VersionStore, cfg: TableConfig, latest: date | None, now: datetime) -> None:
+    """Move the state of a table on, and do the upkeep."""
     columns = "table_name string, latest_date date, updated timestamp_ntz, date_field string"
-    entry = one_row(spark, columns, (table, latest, now, cfg.field))
+    entry = one_row(store.spark, columns, (cfg.table_name, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
-    store.expire(cfg.keep_versions, table=table)
+    store.expire(cfg.keep_versions, table=cfg.table_name)
     store.tidy(cfg.keep_change_logs)
-    return leave(RefreshResult(table, version_id, reloaded, complete, latest))
+
+
+def retry_failed(store: VersionStore, source: PageSource, cfg: TableConfig, show_edits: bool = True) -> RefreshResult | None:
+    """Ask once more for the pages that the last pull of a table lacked, and merge what comes; none if it lacked none.
+
+    The date moves only once no page of the list is missing and all rows that were reported have landed. A pull whose
+    other pages were not merged (part of a table replaces nothing) is refused: it has to be pulled as a whole.
+    """
+    spark, table, now = store.spark, cfg.table_name, store.now()
+    failed = store.scratch(store.failed_list(table), "failed")
+    first = failed.first()
+    if first is None:
+        return None
+    before, _ = store.head(table)
+    if not first.merged or before is None:
+        raise ValueError(f"the last pull of {table} was not merged, so its other pages are missing as well")
+    known = store.state().filter(F.col("table_name") == table).first()
+    staged = f"{store.root}/staging/{now:%Y%m%d_%H%M%S_%f}"
+    pull = source.pull_failed(cfg, failed.select("skip", "reason"), str(known.latest_date), f"{staged}/delta")
+    reported = max((n for n in (first.reported, pull.reported) if n is not None), default=None)
+    number = (first.landed or 0) + (pull.landed or 0)
+    complete = pull.failed.isEmpty() and reported == number
+    store.save_failed(pull.failed, table, now, True, reported, number)
+    version_id, latest = None, known.latest_date
+    if pull.rows is not None:
+        rows = cast_all_to_string(pull.rows)
+        rows.write.mode("overwrite").parquet(f"{staged}/delta")
+        delta = spark.read.schema(rows.schema).parquet(f"{staged}/delta")
+        if _drifted(delta, {r.var_name: r.var_class for r in store.profile(before.version_id).collect()}, cfg):
+            delete_folder(spark, staged)
+            return RefreshResult(table, None, False, False, latest, reload_wanted=True)
+        while version_id is None:
+            try:
+                version_id, latest = _merge(store, cfg, before, before, delta, None, complete, now, latest, show_edits)
+            except Conflict:
+                before, _ = store.head(table)
+    elif complete and cfg.field != NO_FIELD:
+        latest = before.latest_date if before.layout is None else store.bucket_list(before).agg(F.max("latest_date")).first()[0]
+    _settle(store, cfg, latest, now)
+    store.clear_scratch()
+    delete_folder(spark, staged)
+    return RefreshResult(table, version_id, False, complete, latest)
+
+
+def _merge(
+    store: VersionStore, cfg: TableConfig, base: Row | None, before: Row | None, delta: DataFrame | None, live: DataFrame | None,
+    complete: bool, now: datetime, latest: date | None, show_edits: bool,
+) -> tuple[str, date | None]:
+    """Merge into ``base``, record what changed against ``before`` and publish, or raise ``Conflict``."""
+    table = cfg.table_name
+    held, number = store.head(table)
+    if (before and before.version_id) != (held and held.version_id):
+        raise Conflict(table)
+    if delta is None:
+        delta = store.open(base).limit(0)
+    made = merge_buckets(store, cfg, base, delta, live)
+    if complete:
+        # The lists of buckets hold the latest date of every row that is there, replaced or not.
+        latest = made.latest if cfg.field != NO_FIELD else None
+    profile = profile_of(made.listing, made.schema, cfg.infer_classes, cfg.category_limit)
+    store.save_profile(profile, table, made.version_id)
+    now = now if before is None else max(now, before.version_ts + timedelta(microseconds=1))
+    row = made.as_row(table)
+    if before is not None:
+        # Buckets that are the same in both versions are not read.
+        uneven = unequal_buckets(store, row, before)
+        new_part, old_part = store.open(row, uneven), store.open(before, uneven)
+        if base is not None:
+            new_part, old_part = _touched(new_part, delta, old_part, cfg.keys, live)
+        record = diff_versions(new_part, old_part, cfg.keys, profile, store.profile(before.version_id), show_edits)
+        append_change_log(store, record, table, now, cfg.keep_change_logs)
+    attrs = {"created": now if before is None else before.created, "updated": now, "date_field": cfg.field, "latest_date": latest}
+    publish_merged(store, cfg, made, number, attrs)
+    return made.version_id, latest
 
 
 def _touched(
@@ -276,9 +359,21 @@ def refresh_all(
     tables: list[TableConfig],
     source_of: Callable[[TableConfig], FrameSource | PageSource],
     check_deletes: bool = False,
+    width: int = 4,
 ) -> list[RefreshResult]:
-    """Refresh every table of a catalog, one after the other.
+    """Refresh every table of a catalog, up to ``width`` of them at a time, each in a scheduler pool of its own.
 
-    Each refresh uses the whole cluster; the loop itself handles names only.
+    Much of a refresh is small jobs over metadata, which leave a cluster idle; tables side by side fill it, and with
+    ``spark.scheduler.mode=FAIR`` a large table does not hold the small ones up. A table that fails leaves the others alone: its
+    result has the ``error``, its old version stays current, and the next run repeats it.
     """
-    return [refresh_table(store, source_of(cfg), cfg, check_deletes=check_deletes) for cfg in tables]
+
+    def one(cfg: TableConfig) -> RefreshResult:
+        store.spark.sparkContext.setLocalProperty("spark.scheduler.pool", cfg.table_name)
+        try:
+            return refresh_table(store, source_of(cfg), cfg, check_deletes=check_deletes)
+        except Exception as failed:  # noqa: BLE001
+            store.clear_scratch()
+            return RefreshResult(cfg.table_name, None, False, False, None, error=f"{type(failed).__name__}: {failed}".split("\n")[0])
+
+    return side_by_side(store.spark, [lambda cfg=cfg: one(cfg) for cfg in tables], width)

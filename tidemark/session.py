@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,9 +24,6 @@ SETTINGS = {
 }
 
 
-_OWN_FOLDERS: dict[str, str] = {}
-
-
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -34,15 +33,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a session whose tasks all run in this process may lack the setting; it gets one folder of its own.
+    Where that is not set, a folder of the session's warehouse serves, which all executors write tables to.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return _OWN_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark/{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -60,6 +56,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, steps: list[Callable[[], object]], width: int) -> list:
+    """Run steps that each start Spark jobs, ``width`` at a time, and give their results in order.
+
+    The first failure is raised once all steps have ended. Jobs keep the local properties of the calling thread, such as its pool.
+    """
+    with ThreadPoolExecutor(max(1, width)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [w.result() for w in waiting]
+
+
 def one_row(spark: SparkSession, schema: str, values: tuple) -> DataFrame:
     """A single row built inside Spark, without a Python worker."""
     fields = T.StructType.fromDDL(schema).fields
@@ -85,6 +91,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Give a file another place in the same file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -93,6 +104,25 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one of that name; whether it was written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return False
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as failed:
+        if "AlreadyExists" in failed.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,12 +1,18 @@
-"""Versions of tables on plain Parquet, listed in an append-only manifest.
+"""Versions of tables on plain Parquet, listed in a manifest of numbered entries.
 
-Data is written first and its manifest row last. Readers find versions through
+Data is written first and its manifest entry last. Readers find versions through
 the manifest only, so a job that dies half way leaves the old version current.
+
+The entries of a table are numbered, and an entry is a file that is created only if no other has its number. Of two writers that
+start from the same version one comes first; the other gets ``Conflict`` and has to merge again. (The file system has to refuse to
+create a file that exists, as HDFS does. An entry without content belongs to a writer that died; its number is not used again.)
 """
 
 from __future__ import annotations
 
+import json
 import re
+import threading
 import uuid
 from datetime import datetime, timedelta
 
@@ -26,18 +32,20 @@ from tidemark.operators.versions import (
     tables_without_version,
     version_as_of,
 )
-from tidemark.session import delete_folder, folder_exists, folder_names, move_file, one_row
+from tidemark.session import create_file, delete_folder, folder_exists, folder_names, make_folder, move_file, new_folder
+from tidemark.sources.buckets import BUCKET, LIST_SCHEMA, WRITE, read_buckets
 
 MANIFEST_SCHEMA = (
     "table_name string, version_id string, version_ts timestamp_ntz, path string, rows_distinct boolean, "
     "created timestamp_ntz, updated timestamp_ntz, date_field string, file_type string, file_name string, "
-    "latest_date date, event string, logged_at timestamp_ntz"
+    "latest_date date, event string, logged_at timestamp_ntz, number bigint, layout string, row_schema string"
 )
+MANIFEST_NAMES = [part.split()[0] for part in MANIFEST_SCHEMA.split(", ")]
 PROFILE_SCHEMA = (
     "table_name string, version_id string, var_name string, var_class string, n_unique bigint, "
     "values array<string>, has_null boolean"
 )
-SNAPSHOT_SCHEMA = "label string, table_name string, version_id string, path string"
+SNAPSHOT_SCHEMA = "label string, table_name string, version_id string, path string, layout string, row_schema string"
 
 # Change records with the same columns for every table, and those columns.
 RECORD_COLUMNS = {
@@ -70,18 +78,41 @@ def folder_name(table: str) -> str:
     return re.sub(r"[^A-Za-z0-9-]", lambda m: f"_{ord(m.group()):x}_", table)
 
 
+class Conflict(RuntimeError):
+    """Another writer published the entry with this number."""
+
+
 class VersionStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self._last = datetime.min
+        self._lock = threading.Lock()
+        self._tidying = threading.Lock()
+        self._scratch = threading.local()
 
     # -- small helpers ------------------------------------------------------
 
     def now(self) -> datetime:
         """Current time, later than any time this store gave out before."""
-        self._last = max(datetime.now(), self._last + timedelta(microseconds=1))
-        return self._last
+        with self._lock:
+            self._last = max(datetime.now(), self._last + timedelta(microseconds=1))
+            return self._last
+
+    def table_folder(self, table: str) -> str:
+        return f"{self.root}/versions/{folder_name(table)}"
+
+    def scratch(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder until ``clear_scratch``; each thread has its own."""
+        folder = new_folder(self.spark, name)
+        df.write.parquet(folder)
+        self._scratch.folders = [*getattr(self._scratch, "folders", []), folder]
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear_scratch(self) -> None:
+        for folder in getattr(self._scratch, "folders", []):
+            delete_folder(self.spark, folder)
+        self._scratch.folders = []
 
     def _read(self, folder: str, schema: str) -> DataFrame:
         path = f"{self.root}/{folder}"
@@ -92,12 +123,53 @@ class VersionStore:
 
     def _append(self, df: DataFrame, folder: str, schema: str) -> None:
         names = T.StructType.fromDDL(schema).names
-        df.select(*cols(names)).coalesce(1).write.mode("append").parquet(f"{self.root}/{folder}")
+        # Written aside and moved in, so that writers of one log do not share a folder of unfinished files.
+        fresh = f"{self.root}/staging/log-{uuid.uuid4().hex}"
+        df.select(*cols(names)).coalesce(1).write.parquet(fresh)
+        make_folder(self.spark, f"{self.root}/{folder}")
+        for name in folder_names(self.spark, fresh):
+            if name.startswith("part-"):
+                move_file(self.spark, f"{fresh}/{name}", f"{self.root}/{folder}/entry-{uuid.uuid4().hex}.parquet")
+        delete_folder(self.spark, fresh)
 
     # -- versions -----------------------------------------------------------
 
     def manifest(self) -> DataFrame:
-        return self._read("manifest", MANIFEST_SCHEMA)
+        path = f"{self.root}/manifest"
+        if not folder_names(self.spark, path):
+            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        # A compaction that died half way leaves rows in two files.
+        return self.spark.read.schema(MANIFEST_SCHEMA).json(path).distinct()
+
+    def _enter(self, rows: list[dict], name: str) -> None:
+        """Create a manifest entry; ``Conflict`` if there is one of this name."""
+        lines = []
+        for row in rows:
+            shown = {k: v for k, v in row.items() if k in MANIFEST_NAMES and v is not None}
+            lines.append(json.dumps({k: v.isoformat() if hasattr(v, "isoformat") else v for k, v in shown.items()}))
+        if not create_file(self.spark, f"{self.root}/manifest/{name}.json", "\n".join(lines)):
+            raise Conflict(name)
+
+    def head(self, table: str) -> tuple[Row | None, int]:
+        """The current version of a table, and the number of the entry that would follow, from one read of the manifest."""
+        log = self.manifest().filter(F.col("table_name") == table)
+        whole = F.struct(*cols(log.columns))
+        row = log.agg(F.max("number").alias("number"), F.max_by(F.when(F.col("event") != "expired", whole), F.when(F.col("event") != "expired", F.col("logged_at"))).alias("now")).first()
+        start = f"entry-{folder_name(table)}."
+        taken = [int(n.split(".")[1]) for n in folder_names(self.spark, f"{self.root}/manifest") if n.startswith(start)]
+        now = None if row.now is None or row.now.event == "reset" else row.now
+        return now, 1 + max([row.number or 0, *taken])
+
+    def _numbered(self, table: str, row: dict, number: int | None) -> None:
+        """Enter a row under ``number``, or under the next one that is free."""
+        wanted = number
+        while True:
+            number = wanted or self.head(table)[1]
+            try:
+                return self._enter([row | {"number": number}], f"entry-{folder_name(table)}.{number:012d}")
+            except Conflict:
+                if wanted is not None:
+                    raise
 
     def versions(self) -> DataFrame:
         """One row per version that has not expired."""
@@ -129,15 +201,18 @@ class VersionStore:
         ts: datetime,
         attrs: dict | None = None,
         rows_distinct: bool = False,
+        number: int | None = None,
+        held: dict | None = None,
     ) -> None:
-        """Make saved rows the current version of ``table``."""
-        held = {"created": ts, "updated": ts, "date_field": None, "file_type": "parquet", "file_name": table}
-        held |= {"latest_date": None} | (attrs or {})
-        row = (
-            table, version_id, ts, path, rows_distinct, held["created"], held["updated"], held["date_field"],
-            held["file_type"], held["file_name"], held["latest_date"], "written", self.now(),
-        )
-        self._append(one_row(self.spark, MANIFEST_SCHEMA, row), "manifest", MANIFEST_SCHEMA)
+        """Make saved rows the current version of ``table``.
+
+        ``number`` is that of the entry after the version they were made from: ``Conflict`` if another writer has taken it.
+        ``held`` is the layout of a version in buckets.
+        """
+        row = {"created": ts, "updated": ts, "date_field": None, "file_type": "parquet", "file_name": table, "latest_date": None}
+        row |= (attrs or {}) | (held or {})
+        row |= {"table_name": table, "version_id": version_id, "version_ts": ts, "path": path, "rows_distinct": rows_distinct}
+        self._numbered(table, row | {"event": "written", "logged_at": self.now()}, number)
 
     def write_version(
         self,
@@ -158,13 +233,22 @@ class VersionStore:
         else:
             asked = (F.col("table_name") == table) & (F.col("version_ts") == moment(ts))
             row = self.versions().filter(asked).first()
-        return None if row is None else self.spark.read.parquet(row.path)
+        return None if row is None else self.open(row)
+
+    def open(self, row: Row, only: set[int] | None = None) -> DataFrame:
+        """Rows of a version, or of some of its buckets."""
+        if row.layout is None:
+            return self.spark.read.parquet(row.path)
+        return read_buckets(self, row, only)
+
+    def bucket_list(self, row: Row) -> DataFrame:
+        """What is known of each bucket of a version."""
+        return self.spark.read.schema(LIST_SCHEMA).parquet(row.path)
 
     def reset(self, table: str) -> None:
         """Leave ``table`` without a current version; its versions stay."""
         now = self.now()
-        row = (table, None, now, None, None, None, None, None, None, None, None, "reset", now)
-        self._append(one_row(self.spark, MANIFEST_SCHEMA, row), "manifest", MANIFEST_SCHEMA)
+        self._numbered(table, {"table_name": table, "version_ts": now, "event": "reset", "logged_at": now}, None)
 
     def expire(self, n: int = KEEP_VERSIONS, purge: bool = True, table: str | None = None) -> DataFrame:
         """Keep the newest ``n`` versions per table, or of one table, besides the current one and those in a snapshot."""
@@ -178,14 +262,37 @@ class VersionStore:
         rows = gone.collect()
         if rows:
             now = self.now()
-            marked = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
-            marked = marked.withColumn("event", F.lit("expired")).withColumn("logged_at", moment(now))
-            self._append(marked, "manifest", MANIFEST_SCHEMA)
+            self._enter([r.asDict() | {"event": "expired", "logged_at": now} for r in rows], f"expired-{uuid.uuid4().hex}")
             if purge:
-                for row in rows:
-                    delete_folder(self.spark, row.path)
+                self._purge(rows)
         return self.versions()
 
+    def _purge(self, rows: list[Row]) -> None:
+        """Remove the folders of expired versions, but for buckets that a version which stays has in its list.
+
+        Only folders in the lists of expired versions go, never those of a writer that has not published yet.
+        """
+        for row in rows:
+            if row.layout is None:
+                delete_folder(self.spark, row.path)
+        for table in {r.table_name for r in rows if r.layout is not None}:
+            gone = [r for r in rows if r.layout is not None and r.table_name == table]
+            held = self.versions().filter((F.col("table_name") == table) & F.col("layout").isNotNull()).select("path").collect()
+            places = self.spark.read.schema(LIST_SCHEMA).parquet(*[r.path for r in gone]).select("folder", "bucket").distinct()
+            if held:
+                stay = self.spark.read.schema(LIST_SCHEMA).parquet(*[r.path for r in held]).select("folder", "bucket")
+                places = places.join(stay, ["folder", "bucket"], "left_anti")
+            base = self.table_folder(table)
+            writes = set()
+            for place in places.collect():
+                delete_folder(self.spark, f"{base}/{WRITE}={place.folder}/{BUCKET}={place.bucket}")
+                writes.add(f"{base}/{WRITE}={place.folder}")
+            for write in writes:
+                if not [n for n in folder_names(self.spark, write) if n.startswith(BUCKET)]:
+                    delete_folder(self.spark, write)
+            for row in gone:
+                delete_folder(self.spark, row.path)
+
     # -- state --------------------------------------------------------------
 
     def state_log(self) -> DataFrame:
@@ -228,7 +335,7 @@ class VersionStore:
 
     def read_snapshot(self, label: str, table: str) -> DataFrame | None:
         row = self.snapshots().filter((F.col("label") == label) & (F.col("table_name") == table)).first()
-        return None if row is None else self.spark.read.parquet(row.path)
+        return None if row is None else self.open(row)
 
     def revert(self, day: str | None = None) -> DataFrame:
         """Go back to each table's newest version up to the end of ``day``.
@@ -239,10 +346,8 @@ class VersionStore:
         versions = self.versions()
         chosen = version_as_of(versions, day, ts="updated", tie="logged_at").select(*versions.columns)
         left_out = tables_without_version(versions, day, ts="updated")
-        now = moment(self.now())
-        self._append(
-            chosen.withColumn("event", F.lit("current")).withColumn("logged_at", now), "manifest", MANIFEST_SCHEMA
-        )
+        for row in chosen.collect():
+            self._numbered(row.table_name, row.asDict() | {"event": "current", "logged_at": self.now()}, None)
         rebuilt = states.rebuild_state(self.state(), self.current_versions()).withColumn("has_version", F.lit(True))
         self.log_state(rebuilt)
         return left_out
@@ -296,7 +401,7 @@ class VersionStore:
     # -- upkeep ---------------------------------------------------------------
 
     def tidy(self, keep_change_logs: int = KEEP_CHANGE_LOGS, after: int = COMPACT_AFTER) -> None:
-        """Rewrite logs of more than ``after`` files as one, without what no reader looks at any more.
+        """Rewrite logs of more than ``after`` files as one (one thread at a time), without what no reader looks at any more.
 
         Gone are expired versions and their profiles, states but the newest, and records of runs beyond those kept.
         """
@@ -309,6 +414,10 @@ class VersionStore:
             runs = log.filter("element = 'counts'").select("table_name", "run_ts").distinct()
             return log.join(retain_latest_n(runs, keep_change_logs, "run_ts"), ["table_name", "run_ts"], "left_semi").select(*log.columns)
 
+        with self._tidying:
+            self._compact_all(live, kept_runs, after)
+
+    def _compact_all(self, live, kept_runs, after: int) -> None:
         versions = self.versions().select("version_id")
         self._compact("profiles", PROFILE_SCHEMA, after, lambda log: log.join(versions, "version_id", "left_semi").select(*log.columns))
         self._compact("state", states.STATE_SCHEMA, after, lambda log: latest_version(log, "logged_at").select(*log.columns))
@@ -317,37 +426,57 @@ class VersionStore:
         self._compact("manifest", MANIFEST_SCHEMA, after, live)
 
     def _compact(self, folder: str, schema: str, after: int, keep) -> None:
+        """Rewrite the files of a log as one. The old ones go with the next rewrite, so that readers who listed them can still read them."""
         path = f"{self.root}/{folder}"
-        old = [n for n in folder_names(self.spark, path) if n.startswith("part-")]
-        if len(old) <= after:
+        names = folder_names(self.spark, path)
+        gone = f"{self.root}/retired/{folder}"
+        lists = folder_names(self.spark, gone)
+        retired = {r.value for r in self.spark.read.text(gone).collect()} if lists else set()
+        live = [n for n in names if n[0] not in "_." and n not in retired]
+        if len(live) <= after:
             return
-        rows = keep(self.spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in old]).distinct())
+        is_json = folder == "manifest"
+        reader = self.spark.read.schema(schema)
+        files = [f"{path}/{n}" for n in live]
+        rows = keep((reader.json(files) if is_json else reader.parquet(*files)).distinct())
         fresh = f"{self.root}/staging/compact-{uuid.uuid4().hex}"
-        rows.coalesce(1).write.parquet(fresh)
-        # The new file comes in before the old ones go, so no row is ever missing.
+        one = rows.coalesce(1).write
+        one.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(fresh) if is_json else one.parquet(fresh)
         for name in folder_names(self.spark, fresh):
             if name.startswith("part-"):
                 move_file(self.spark, f"{fresh}/{name}", f"{path}/{name}")
-        for name in old:
+        create_file(self.spark, f"{gone}/{uuid.uuid4().hex}.txt", "\n".join(live))
+        # Marks of expired versions outlive what they mark.
+        for name in sorted((n for n in retired if n in names), key=lambda n: n.startswith("expired-")):
             delete_folder(self.spark, f"{path}/{name}")
+        for name in lists:
+            delete_folder(self.spark, f"{gone}/{name}")
         delete_folder(self.spark, fresh)
 
     # -- pages to fetch again -------------------------------------------------
 
-    def save_failed(self, failed: DataFrame, table: str, run_ts: datetime) -> None:
-        """Keep the list of pages that a pull lacked, empty or not."""
-        failed.select("skip", "reason").write.mode("overwrite").parquet(f"{self.root}/failed/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}")
+    def save_failed(self, failed: DataFrame, table: str, run_ts: datetime, merged: bool = False, reported: int | None = None, landed: int | None = None) -> None:
+        """Keep the list of pages that a pull lacked, empty or not.
+
+        ``merged`` says that the other pages are in the current version, and ``reported`` and ``landed`` how many rows there were to be, and were.
+        """
+        numbers = [F.lit(merged).alias("merged"), F.lit(reported).cast("bigint").alias("reported"), F.lit(landed).cast("bigint").alias("landed")]
+        failed.select("skip", "reason", *numbers).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/failed/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}")
         for run in sorted(folder_names(self.spark, f"{self.root}/failed/{folder_name(table)}"))[:-1]:
             delete_folder(self.spark, f"{self.root}/failed/{folder_name(table)}/{run}")
 
-    def failed_pages(self, table: str) -> DataFrame:
-        """``skip`` and ``reason`` of the pages that the latest pull of a table lacked."""
+    def failed_list(self, table: str) -> DataFrame:
+        """The list of the latest pull of a table as it was saved."""
         folder = f"{self.root}/failed/{folder_name(table)}"
         runs = sorted(folder_names(self.spark, folder))
         if not runs:
-            return self.spark.createDataFrame([], "skip bigint, reason string")
+            return self.spark.createDataFrame([], "skip bigint, reason string, merged boolean, reported bigint, landed bigint")
         return self.spark.read.parquet(f"{folder}/{runs[-1]}")
 
+    def failed_pages(self, table: str) -> DataFrame:
+        """``skip`` and ``reason`` of the pages that the latest pull of a table lacked."""
+        return self.failed_list(table).select("skip", "reason")
+
 
 def labelled(versions: DataFrame, ts: str = "version_ts") -> DataFrame:
     """Versions with the text label of their time stamp."""

@@ -8,12 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.catalog import TableConfig
 from tidemark.operators import state
-from tidemark.operators.merge import upsert
-from tidemark.operators.profile import max_date_watermark
 from tidemark.operators.shape import NO_FIELD
 from tidemark.session import delete_folder, folder_names, materialize, one_row
+from tidemark.sources.buckets import merge_buckets, publish_merged
 from tidemark.sources.pages import parse_pages, rows_of
-from tidemark.sources.store import VersionStore, folder_name
+from tidemark.sources.store import Conflict, VersionStore, folder_name
 
 
 def stream_page_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -23,26 +22,28 @@ def stream_page_files(spark: SparkSession, path: str, multi_line: bool = True) -
 
 
 def merge_batch(store: VersionStore, cfg: TableConfig, rows: DataFrame, complete: bool = True) -> None:
-    """Make a new version of the table out of the current one and ``rows``.
+    """Make a new version of the table out of the current one and ``rows``; only the buckets of the rows' keys are written again.
 
     Merging the same rows again changes nothing, so a batch that is replayed
     after a failure is harmless. A batch that is not complete leaves the date where it was.
     """
-    spark, table = store.spark, cfg.table_name
-    current = store.current(table)
-    old = None if current is None else spark.read.parquet(current.path)
-    merged = upsert(old, rows, cfg.keys, old_is_distinct=current is not None and bool(current.rows_distinct))
-    version_id, path = store.save_data(merged, table)
-    written = spark.read.parquet(path)
-    latest = None if cfg.field == NO_FIELD else max_date_watermark(written, cfg.field).first()[0]
-    if not complete:
-        known = store.state().filter(F.col("table_name") == table).first()
-        latest = None if known is None else known.latest_date
-    now = store.now()
-    attrs = {"updated": now, "date_field": cfg.field, "latest_date": latest}
-    store.publish(table, version_id, path, now, attrs, rows_distinct=old is not None)
+    table = cfg.table_name
+    while True:
+        current, number = store.head(table)
+        made = merge_buckets(store, cfg, current, rows)
+        latest = None if cfg.field == NO_FIELD else made.latest
+        if not complete:
+            known = store.state().filter(F.col("table_name") == table).first()
+            latest = None if known is None else known.latest_date
+        now = store.now()
+        attrs = {"updated": now, "date_field": cfg.field, "latest_date": latest}
+        try:
+            publish_merged(store, cfg, made, number, attrs)
+            break
+        except Conflict:
+            continue
     columns = "table_name string, latest_date date, updated timestamp_ntz, date_field string"
-    entry = one_row(spark, columns, (table, latest, now, cfg.field))
+    entry = one_row(store.spark, columns, (table, latest, now, cfg.field))
     store.log_state(state.advance_state(store.state_log(), entry))
     store.expire(cfg.keep_versions, table=table)
 
