@@ -4,15 +4,17 @@ A document's set holds its distinct n-grams of words (ASCII white space parts wo
 the whole sequence is one n-gram. Two documents link when 100 * |A and B| >= percent * |A or B|. Documents with equal sets are
 one class, and the smallest doc_id stands for it.
 
-Bounds. n-grams are ordered, those frequent in a sample last (the ``frequent`` most frequent; any order gives the same result, a good one
-less work). Of a set of size s only the first s - ceil(percent s) + 1 n-grams are columns of the product: two sets that link share one of those.
+Bounds. n-grams are ordered, those frequent over all documents last (the ``most`` most frequent ones, by exact document frequencies; any order gives the
+same result, a good one less work). Of a set of size s only the first s - ceil(percent s) + 1 n-grams are columns of the product: two sets that link share one of those.
 A pair is formed in a column only if its sizes allow the overlap that a link needs, and if what is left of both sets behind that
 n-gram does; a pair goes on if what both first parts share, and the larger rest behind them, leave room for a link.
 
-Product. Columns are dealt out by a hash of their n-gram; each block multiplies its columns and adds up overlaps per pair. Large columns are not squared. In a first pass
-every member is paired with a few pivots of its column, the verified links give components, and a second pass forms only the pairs of a column
-that are not in one component yet, so that thousands of near copies cost what their columns hold. The exact overlap
-of every remaining pair is then counted over their whole sets. No link between different sets is lost for components.
+Product. Large columns are not squared at once. In rounds, every member of a column is paired with a pivot of it that is in another component, chosen
+anew each round; pairs that pass the bounds are verified by their whole sets, and links join components. Rounds go on while they link a fair share of
+their pairs, so thousands of near copies become one component for what their columns hold. Then the blocked product: the members of every
+column that still has several components are cut into chunks of ``TILE``, each pair of chunks is a block, a block multiplies its members, and overlaps are
+added up per pair over all blocks. Pairs whose sum, and the larger rest behind their first parts, leave no room for a link are
+discarded; the exact overlap of the others is counted over their whole sets. No link between different sets is lost for components.
 
 Nulls and repeats: a null or empty text has an empty set, linked with nothing; equal texts are one class; rows that share a doc_id are
 parts of its node; a document with a null doc_id has no links and its own null as component.
@@ -32,7 +34,12 @@ from tidemark.llm.common import Scratch, components, map_batches, reduce_by_ids
 from tidemark.session import materialize
 
 N, PERCENT = 5, 80
-SAMPLE, FREQUENT = 64, 200_000
+# Document frequencies from LEAST on are told apart, the most frequent FREQUENT of them.
+LEAST, FREQUENT = 8, 500_000
+# Bytes of text whose n-grams one task counts, values a task holds back before it sends them, and members of a chunk.
+PART_BYTES, HELD, TILE = 24_000_000, 2_000_000, 256
+# Rounds of pivots go on while they link one in so many of their pairs.
+FAIR = 10
 _KEY = "shinglesofwords!"
 
 
@@ -70,12 +77,49 @@ def shingles(texts: list[str | None], n: int = N) -> list[np.ndarray]:
     return out
 
 
-def frequent_shingles(documents: DataFrame, n: int = N, sample: int = SAMPLE, most: int = FREQUENT) -> np.ndarray:
-    """Up to ``most`` hashes met three times or more in one document of ``sample``, the rarest first. They only order n-grams."""
-    own = documents.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
-    rows = map_batches(own, lambda b: {"h": np.concatenate(shingles(b.column(0).to_pylist(), n) or [np.zeros(0, np.int64)])}, "h bigint")
-    top = rows.groupBy("h").agg(F.count("*").alias("c")).where("c >= 3").orderBy(F.desc("c"), "h").limit(most).orderBy("c", "h")
-    return np.array([r["h"] for r in top.select("h").toLocalIterator()], np.int64)
+def frequent_shingles(documents: DataFrame, n: int = N, least: int = LEAST, most: int = FREQUENT) -> np.ndarray:
+    """The ``most`` most frequent hashes among those in ``least`` documents or more, the rarest first. They only order n-grams.
+
+    Every n-gram of every document is counted, once a document. Tasks count what they hold and send packed hashes by their remainder; a
+    remainder belongs to one task, and their number grows with the text.
+    """
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(16, -(-size // PART_BYTES))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        part = values.view(np.uint64) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        values, counts, part = values[order], counts[order].astype("<i4"), part[order]
+        own, first = np.unique(part, return_index=True)
+        ends = [*first[1:], len(part)]
+        blobs = [[x[a:b].tobytes() for a, b in zip(first, ends, strict=True)] for x in (values, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(blobs[0], pa.binary()), pa.array(blobs[1], pa.binary())], ["part", "h", "c"])
+
+    def run(batches):
+        held, waiting = [], 0
+        for batch in batches:
+            for own in shingles(batch.column(0).to_pylist(), n):
+                held.append(own)
+                waiting += len(own)
+            if waiting >= HELD:
+                yield packed(held)
+                held, waiting = [], 0
+        if waiting:
+            yield packed(held)
+
+    def added(table: pa.Table) -> pa.Table:
+        values = np.concatenate([np.frombuffer(v, np.int64) for v in table.column("h").to_pylist()])
+        counts = np.concatenate([np.frombuffer(c, "<i4") for c in table.column("c").to_pylist()])
+        distinct, at = np.unique(values, return_inverse=True)
+        total = np.bincount(at, counts, len(distinct)).astype(np.int64)
+        keep = total >= least
+        return pa.table({"h": distinct[keep], "c": total[keep]})
+
+    counted = documents.select("text").mapInArrow(run, "part bigint, h binary, c binary").groupBy("part").applyInArrow(added, "h bigint, c bigint")
+    # The limit is applied in each task first.
+    top = counted.orderBy(F.desc("c"), "h").limit(most)
+    return top.select("h").toArrow().column("h").to_numpy()[::-1].copy()
 
 
 def prefix_size(size: int, percent: int = PERCENT) -> int:
@@ -165,28 +209,13 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     # Most columns have one document. Half a hash tells nearly all of them for a fraction of the bytes; the exact count follows.
     shared = scratch.table(entries.groupBy("half").agg(F.count("*").alias("members")).where("members > 1").select("half"), "shared-halves")
     entries = reduce_by_ids(entries, "half", shared, "half").drop("half")
-    # Columns of one document end here; counts and pivots are combined before they are shuffled.
-    salt = F.pmod(F.xxhash64("h"), F.lit(pivots))
-    few = [F.min_by(F.struct("id", "size", "pos"), F.xxhash64("id", salt)).alias("pivot")]
-    columns = entries.groupBy("h").agg(F.count("*").alias("members"), *few).where("members > 1").select("h", "pivot")
+    # Columns of one document end here; counts are combined before they are shuffled.
+    columns = entries.groupBy("h").agg(F.count("*").alias("members")).where("members > 1").select("h")
     cells = scratch.table(entries.join(columns, "h"), "columns")
-
-    def seen(pairs: DataFrame) -> DataFrame:
-        return pairs.where(_allowed(percent)).where("id <> id2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-
-    first = cells.select("id", "size", "pos", F.col("pivot.id").alias("id2"), F.col("pivot.size").alias("size2"), F.col("pivot.pos").alias("pos2"))
-    first = scratch.table(seen(first), "pairs")
-    links = materialize(_verified(own, cells, first, n, percent, texts_used), "links")
-    texts_used.clear()
-    known = components(links)
-    # What is still apart in a column: its members by component; columns of one component are done.
-    named = cells.drop("pivot").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    named = scratch.table(named.join(apart, "h", "left_semi"), "apart")
-    other = named.select("h", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
-    met = named.join(other, "h").where("component < component2").where(_allowed(percent))
-    second = scratch.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
+    links, tested = _linked_by_pivots(own, cells, n, percent, pivots, scratch, texts_used)
+    apart = _apart(cells, links, scratch)
+    second = scratch.table(_overlapping(apart, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(_verified(own, second, n, percent, texts_used), "links")
     texts_used.clear()
     scratch.clear()
     found = materialize(components(links.unionByName(more)), "components")
@@ -203,6 +232,53 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     )
 
 
+def _apart(cells: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``cells`` with the component of each member, without the columns of one component."""
+    known = components(links)
+    named = cells.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
+    return scratch.table(named.join(several, "h", "left_semi"), "apart")
+
+
+def _linked_by_pivots(documents: DataFrame, cells: DataFrame, n: int, percent: int, pivots: int, scratch: Scratch, texts_used: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Links found by pairing members of columns with pivots, and all pairs that were tested for it."""
+    apart, links, tested, at = cells.withColumn("component", F.col("id")), None, None, 0
+    while True:
+        # A column picks one of its members; a few picks for each round keep a document's pivots few.
+        salt = F.pmod(F.xxhash64("h"), F.lit(pivots)) + at * pivots
+        pick = apart.groupBy("h").agg(F.min_by(F.struct("id", "size", "pos", "component"), F.xxhash64("id", salt)).alias("pivot"))
+        # Members meet their pivot by a join on the column; hot columns are as many rows as members.
+        met = apart.join(pick, "h").where("component <> pivot.component")
+        met = met.select("id", "size", "pos", F.col("pivot.id").alias("id2"), F.col("pivot.size").alias("size2"), F.col("pivot.pos").alias("pos2")).where(_allowed(percent))
+        pairs = met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+        pairs = scratch.table(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        likely = scratch.table(likely_pairs(pairs, cells, percent, scratch), "likely-pairs")
+        new = materialize(_verified(documents, likely, n, percent, texts_used), "links")
+        texts_used.clear()
+        links = new if links is None else links.unionByName(new)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        made, tried = new.count(), likely.count()
+        if made * FAIR <= tried or tried == 0:
+            return links, tested
+        apart, at = _apart(cells, links, scratch), at + 1
+
+
+def _overlapping(apart: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of documents in different components that share columns enough for a link, by overlaps added up over blocks."""
+    chunks = apart.groupBy("h").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("chunks"))
+    dealt = apart.join(chunks, "h").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    left = dealt.select("h", F.col("chunk").alias("row"), every.alias("col"), "id", "size", "pos", "component")
+    right = dealt.select("h", every.alias("row"), F.col("chunk").alias("col"), F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
+    met = left.join(right, ["h", "row", "col"]).where(f"component < component2 AND 100 * LEAST(size, size2) >= {percent} * GREATEST(size, size2)")
+    # Overlaps are added up in each task before they are shuffled.
+    added = met.groupBy(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).agg(
+        F.count("*").alias("shared"), F.max(F.expr(_allowed(percent))).alias("fits"), F.max(F.least("size", "size2")).alias("small"), F.max(F.greatest("size", "size2")).alias("large")
+    )
+    rest = f"CAST(CEIL(large * {percent} / 100D - 1e-9D) AS bigint) - 1"
+    return added.where(f"fits AND shared + {rest} >= {_needed('small', 'large', percent)}").select("a", "b")
+
+
 def likely_pairs(pairs: DataFrame, cells: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs whose shared columns leave room for a link.
 
@@ -222,8 +298,7 @@ def _ids(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
 
 
-def _verified(documents: DataFrame, cells: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
-    pairs = scratch.table(likely_pairs(pairs, cells, percent, scratch), "likely-pairs")
+def _verified(documents: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     texts = scratch.table(whole_texts(documents, _ids(pairs, scratch)), "pair-texts")
     return similar_pairs(pairs, texts, n, percent)
 
