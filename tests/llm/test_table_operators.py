@@ -52,6 +52,20 @@ def test_links_recall(spark):
     assert found >= 0.98 * total
 
 
+def test_links_of_repeated_ids(spark):
+    a, b, near = [1.0, 0.0], [0.0, 1.0], [1.0, 0.01]
+    cases = [
+        [(1, 0, a), (1, 0, b), (2, 0, near)],
+        [(1, 0, a), (1, 0, b), (2, 0, near), (3, 0, [0.01, 1.0]), (4, 0, [-1.0, 0.0]), (4, 1, a), (5, 1, near), (5, 1, near), (6, 1, a)],
+        [(7, 0, a), (7, 0, a), (7, 1, a), (8, 1, a), (8, 2, b), (9, 2, b)],
+    ]
+    for rows in cases:
+        df = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")
+        got = near_vectors.link_vectors(df).collect()
+        assert len(got) == len(rows)
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, 0, [1.0, 0.0]), (2, 0, [2.0, 0.0]), (3, 1, [1.0, 0.0]), (4, None, [1.0, 0.0]), (5, 0, None), (6, 0, [0.0, 0.0]), (7, 0, [1.0, None]),

@@ -8,10 +8,11 @@ verified by their cosine in double precision; only verified pairs link.
 
 Work is dealt out in blocks: per label, vectors are cut into runs of the first sorted projection of about ``block`` vectors, which other runs
 meet if the windows of their first projection overlap at a width that loses less than one pair in a million. A task holds two runs at a time, sorts the
-remaining projections of one, and finds windows of the other by binary search. Equal vectors of a label are one class before that.
+remaining projections of one, and finds windows of the other by binary search. Equal vectors of a label are one class before that, told by a
+128-bit digest. A task adds up what each class links to, and names one class for each of its groups: a row a class, never a row a pair.
 
 Nulls and repeats: labels that are null, and vectors that are null, empty, zero or hold a null or non-finite component, link with nothing;
-vectors of other lengths are other groups; rows that share a vec_id are different vectors with one node, and a null vec_id has no links.
+vectors of other lengths are other groups; rows that share a vec_id are different vectors with one node, whose links are added up, and a null vec_id has no links.
 """
 
 from __future__ import annotations
@@ -69,17 +70,18 @@ def plan(dim: int, cosine: float = COSINE, projections: int = PROJECTIONS, recal
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, label, v`` (doubles) of the rows that can link."""
+    """``vec_id, label, v`` (doubles) of the rows that can link, and ``d1, d2``, a digest of ``v``."""
     v = F.col("embedding").cast("array<double>")
     own = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "label", v.alias("v")).where("vec_id IS NOT NULL AND label IS NOT NULL AND size(v) > 0")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return own.where(fine & F.exists("v", lambda x: x != 0))
+    kept = own.where(fine & F.exists("v", lambda x: x != 0))
+    return kept.select("*", *[F.xxhash64(F.lit(i), "v").alias(f"d{i}") for i in (1, 2)])
 
 
-def classes(vectors: DataFrame) -> DataFrame:
-    """``head, label, dim, v, members``: one row per distinct vector of a label."""
-    rows = usable(vectors).groupBy("label", "v").agg(F.min("vec_id").alias("head"), F.count("*").alias("members"))
-    return rows.select("head", "label", F.size("v").alias("dim"), "v", "members")
+def classes(rows: DataFrame) -> DataFrame:
+    """``head, label, dim, v, members, d1, d2``: one row per distinct vector of a label, the smallest of its ids as head."""
+    met = rows.groupBy("label", "d1", "d2").agg(F.min("vec_id").alias("head"), F.first("v").alias("v"), F.count("*").alias("members"))
+    return met.select("head", "label", F.size("v").alias("dim"), "v", "members", "d1", "d2")
 
 
 def _unit(column: pa.Array) -> np.ndarray:
@@ -126,23 +128,29 @@ def collisions(x: np.ndarray, y: np.ndarray, w: float, least: int, same: bool, s
     return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, int), np.zeros(0, int))
 
 
-def near_pairs(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors and the links between them: ``head, label, members`` and ``a, b, cosine`` with both heads."""
+def near_classes(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors, numbered as ``cls``, and what links them.
+
+    The second frame has ``a, b, others`` for each class with links in a block: ``b`` is the first class of its group
+    there (a spanning forest of the block), ``others`` the number of vectors that it links to there.
+    """
     spark = vectors.sparkSession
-    heads = materialize(first_projection(materialize(classes(vectors), "vector-classes")), "vectors")
+    # Written once, so that numbers stay the same.
+    made = materialize(classes(usable(vectors)).withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
+    heads = materialize(first_projection(made), "vectors")
     sizes = heads.groupBy("dim").agg(F.count("*").alias("n")).collect()
     if not sizes:
-        return heads.select("head", "label", "members"), spark.createDataFrame([], "a bigint, b bigint, cosine double")
+        return heads, spark.createDataFrame([], "a bigint, b bigint, others bigint")
     plans = {r["dim"]: plan(r["dim"], cosine, PROJECTIONS, recall) for r in sizes}
     # Runs: ranks of the first projection in a label, from a range shuffle and sums per task.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = heads.repartitionByRange(parts, "label", "dim", "p", "head").sortWithinPartitions("label", "dim", "p", "head")
+    ranged = heads.repartitionByRange(parts, "label", "dim", "p", "cls").sortWithinPartitions("label", "dim", "p", "cls")
     placed = materialize(ranged.withColumn("part", F.spark_partition_id()).withColumn("spot", F.monotonically_increasing_id()), "vector-order")
     firsts = placed.groupBy("label", "dim", "part").agg(F.min("spot").alias("first"))
     run_of = F.floor((F.col("spot") - F.col("first")) / block).cast("int")
     # A run never spans two tasks' ranges; it is named by range and number.
     runs = placed.join(firsts, ["label", "dim", "part"]).withColumn("run", F.concat_ws("-", F.col("part").cast("string"), run_of.cast("string")))
-    runs = materialize(runs.select("head", "label", "dim", "v", "p", "run"), "vector-runs")
+    runs = materialize(runs.select("cls", "members", "label", "dim", "v", "p", "run"), "vector-runs")
     bounds = runs.groupBy("label", "dim", "run").agg(F.min("p").alias("low"), F.max("p").alias("high"))
     reach = F.coalesce(*[F.when(F.col("dim") == d, F.lit(p[2])) for d, p in plans.items()])
     other = bounds.select("label", "dim", F.col("run").alias("run2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
@@ -151,41 +159,59 @@ def near_pairs(vectors: DataFrame, cosine: float = COSINE, recall: float = RECAL
     sides = meets.select("label", "dim", F.col("run"), "run2", "pair", F.lit(0).alias("side")).unionByName(
         meets.where("run <> run2").select("label", "dim", F.col("run2").alias("run"), F.col("run").alias("run2"), "pair", F.lit(1).alias("side"))
     )
-    dealt = runs.join(sides.drop("run2"), ["label", "dim", "run"]).select("pair", "side", "dim", "label", "head", "v")
+    dealt = runs.join(sides.drop("run2"), ["label", "dim", "run"]).select("pair", "side", "dim", "label", "cls", "members", "v")
 
     def run(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
         w, least, _ = plans[dim]
-        side, head = table.column("side").to_numpy(), table.column("head").to_numpy()
+        side, cls, members = (table.column(c).to_numpy() for c in ("side", "cls", "members"))
         unit = _unit(table.column("v"))
         seen = unit @ directions(dim, PROJECTIONS).T
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         same = not len(two)
         i, j = collisions(seen[one], seen[one if same else two], w, least, same)
         a, b = one[i], (one if same else two)[j]
-        close = np.einsum("ij,ij->i", unit[a], unit[b])
-        keep = close >= cosine
-        return pa.table({"a": pa.array(head[a[keep]]), "b": pa.array(head[b[keep]]), "cosine": pa.array(close[keep])})
-
-    links = dealt.groupBy("pair").applyInArrow(run, "a bigint, b bigint, cosine double")
-    return heads.select("head", "label", "members"), links
+        keep = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
+        a, b = a[keep], b[keep]
+        others = np.bincount(a, members[b], len(cls)) + np.bincount(b, members[a], len(cls))
+        first = forest(a, b, len(cls))
+        linked = np.flatnonzero(others)
+        return pa.table({"a": pa.array(cls[linked]), "b": pa.array(cls[first[linked]]), "others": pa.array(others[linked].astype(np.int64))})
+
+    links = dealt.groupBy("pair").applyInArrow(run, "a bigint, b bigint, others bigint")
+    return heads, links
+
+
+def forest(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
+    """The least member of each of ``count`` items' group under the links (a, b)."""
+    first = np.arange(count)
+    while True:
+        least = np.minimum(first[a], first[b])
+        after = first.copy()
+        np.minimum.at(after, first[a], least)
+        np.minimum.at(after, first[b], least)
+        after = after[after]
+        if np.array_equal(after, first):
+            return first
+        first = after
 
 
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``: links to other vectors, copies included."""
-    heads, links = near_pairs(vectors, cosine, recall)
+    heads, links = near_classes(vectors, cosine, recall)
     links = materialize(links, "vector-links")
-    known = heads.select("head", "label", "members")
-    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # A head id may stand for equal ids with other vectors; their members count once for each link.
-    near = ends.join(known.groupBy(F.col("head").alias("b")).agg(F.sum("members").alias("m")), "b").groupBy(F.col("a").alias("head")).agg(F.sum("m").alias("others"))
-    comps = materialize(components(links), "vector-components")
-    of_class = known.join(near, "head", "left").join(comps.select(F.col("node").alias("head"), "component"), "head", "left")
-    of_class = of_class.select("head", "label", (F.coalesce("others", F.lit(0)) + F.col("members") - 1).alias("n"), F.coalesce("component", "head").alias("component"))
-    member = usable(vectors).select("vec_id", "label", "v")
-    ids = classes(vectors).select("label", "v", "head").join(of_class, ["label", "head"])
-    placed = member.join(ids, ["label", "v"]).select("vec_id", F.col("n").alias("n_links"), F.col("component").alias("component_id"))
-    placed = placed.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    known = heads.select("cls", "head", "label", "d1", "d2", "members")
+    counts = links.groupBy(F.col("a").alias("cls")).agg(F.sum("others").alias("others"))
+    member = usable(vectors).select("vec_id", "label", "d1", "d2").join(known.drop("head", "members"), ["label", "d1", "d2"]).select("vec_id", "cls")
+    member = materialize(member, "vector-members")
+    # Vectors that share an id are one node, so their classes are one component.
+    shared = member.groupBy("vec_id").agg(F.min("cls").alias("b"), F.max("cls").alias("top")).where("b < top").select("vec_id", "b")
+    bridges = member.join(shared, "vec_id").select(F.col("cls").alias("a"), "b")
+    comps = materialize(components(links.select("a", "b").unionByName(bridges)), "vector-components")
+    named = known.join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = named.groupBy("component").agg(F.min("head").alias("component_id"))
+    of_class = named.join(least, "component").join(counts, "cls", "left").select("cls", (F.coalesce("others", F.lit(0)) + F.col("members") - 1).alias("n"), "component_id")
+    placed = member.join(of_class, "cls").groupBy("vec_id").agg(F.sum("n").alias("n_links"), F.min("component_id").alias("component_id"))
     every = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
     out = every.join(placed, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
