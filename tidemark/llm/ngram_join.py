@@ -35,9 +35,9 @@ from tidemark.session import materialize
 
 N, PERCENT = 5, 80
 # Document frequencies from LEAST on are told apart, the most frequent FREQUENT of them.
-LEAST, FREQUENT = 8, 500_000
+LEAST, FREQUENT = 8, 200_000
 # Bytes of text whose n-grams one task counts, values a task holds back before it sends them, and members of a chunk.
-PART_BYTES, HELD, TILE = 24_000_000, 2_000_000, 256
+PART_BYTES, HELD, TILE = 6_000_000, 500_000, 256
 # Rounds of pivots go on while they link one in so many of their pairs.
 FAIR = 10
 _KEY = "shinglesofwords!"
@@ -87,14 +87,13 @@ def frequent_shingles(documents: DataFrame, n: int = N, least: int = LEAST, most
     parts = max(16, -(-size // PART_BYTES))
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        values = np.concatenate(held)
         part = values.view(np.uint64) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
-        values, counts, part = values[order], counts[order].astype("<i4"), part[order]
+        values, part = values[order], part[order]
         own, first = np.unique(part, return_index=True)
-        ends = [*first[1:], len(part)]
-        blobs = [[x[a:b].tobytes() for a, b in zip(first, ends, strict=True)] for x in (values, counts)]
-        return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(blobs[0], pa.binary()), pa.array(blobs[1], pa.binary())], ["part", "h", "c"])
+        blobs = [values[a:b].tobytes() for a, b in zip(first, [*first[1:], len(part)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(blobs, pa.binary())], ["part", "h"])
 
     def run(batches):
         held, waiting = [], 0
@@ -109,14 +108,14 @@ def frequent_shingles(documents: DataFrame, n: int = N, least: int = LEAST, most
             yield packed(held)
 
     def added(table: pa.Table) -> pa.Table:
-        values = np.concatenate([np.frombuffer(v, np.int64) for v in table.column("h").to_pylist()])
-        counts = np.concatenate([np.frombuffer(c, "<i4") for c in table.column("c").to_pylist()])
-        distinct, at = np.unique(values, return_inverse=True)
-        total = np.bincount(at, counts, len(distinct)).astype(np.int64)
+        values = np.concatenate([np.frombuffer(v.as_buffer(), np.int64) for v in table.column("h")])
+        values.sort()
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        total = np.diff(np.append(first, len(values)))
         keep = total >= least
-        return pa.table({"h": distinct[keep], "c": total[keep]})
+        return pa.table({"h": values[first[keep]], "c": total[keep].astype(np.int64)})
 
-    counted = documents.select("text").mapInArrow(run, "part bigint, h binary, c binary").groupBy("part").applyInArrow(added, "h bigint, c bigint")
+    counted = documents.select("text").mapInArrow(run, "part bigint, h binary").groupBy("part").applyInArrow(added, "h bigint, c bigint")
     # The limit is applied in each task first.
     top = counted.orderBy(F.desc("c"), "h").limit(most)
     return top.select("h").toArrow().column("h").to_numpy()[::-1].copy()
