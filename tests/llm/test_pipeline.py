@@ -9,7 +9,7 @@ from tidemark.llm import decontaminate, toxicity
 
 def test_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in queries()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "n-gram join", "decontamination", "packing"]
 
 
