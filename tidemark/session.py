@@ -24,6 +24,10 @@ SETTINGS = {
 }
 
 
+# Folders made for sessions without a checkpoint folder.
+_OWN_FOLDERS: set[str] = set()
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -33,12 +37,18 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Where that is not set, a folder of the session's warehouse serves, which all executors write tables to.
+    Where that is not set, a folder of the session's warehouse serves, which all executors write tables to; it goes with the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark/{spark.sparkContext.applicationId}"
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark/{spark.sparkContext.applicationId}"
+    if own not in _OWN_FOLDERS:
+        make_folder(spark, own)
+        target = spark._jvm.org.apache.hadoop.fs.Path(own)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+        _OWN_FOLDERS.add(own)
+    return own
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
