@@ -275,6 +275,8 @@ def build_manifest(rows: DataFrame, key: str, group: str, leaf: str, held: list[
     """A manifest of ``rows``, whose column ``leaf`` has their digests as hexadecimal text."""
     spark = prepare(rows.sparkSession)
     own = rows.select(F.col(group).alias("grp"), F.col(key).alias("key"), F.unhex(leaf).alias("digest"), *[F.col(h).alias(f"held_{i}") for i, h in enumerate(held)])
+    # Ranges are found by a look at the rows before they are dealt out; texts are to be hashed once.
+    own = materialize(own, "merkle-digests")
     leaves = placed(own, "grp", ["key", "digest"])
     names = ["key", *[f"held_{i}" for i in range(len(held))]]
     groups = build_forest(leaves, names, height, arity)
