@@ -11,10 +11,12 @@ from array import array
 import numpy as np
 
 # White space besides space, tab and line ends; a text with any of it is cut with care.
-RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+RARE_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\r\n") + "]")
 CUT = re.compile(r"(?<=\S)(?= )")
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LONGEST_CACHED = 48
+# Different runs of marks that are kept.
+TAILS = 10_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -44,6 +46,7 @@ class Encoder:
         self.spaced = not self.lowers
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.marks = [t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_end = self._whole(["\n"])[0]
 
@@ -58,27 +61,48 @@ class Encoder:
             text = "".join(map(self.letters.__getitem__, text.encode()))
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
+    def _word(self, word: str, space: bool) -> bytes | None:
+        """Ids of a word of letters; the word after a space is likely to be known, or to come again, and is kept."""
+        if self.lowers:
+            if word.isascii():
+                word = word.lower()
+            else:
+                if "Σ" in word or not (lower := word.lower()).isalpha() or unicodedata.normalize("NFC", word) != word or unicodedata.normalize("NFC", lower) != lower:
+                    return None
+                word = lower
+        elif not space:
+            return self._part(word)
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._part(f" {word}" if self.spaced else word)
+            if len(word) <= LONGEST_CACHED:
+                self.known[word] = ids
+        return ids
+
+    def _tail(self, marks: str) -> bytes:
+        """Ids of marks behind a word; there are few of them."""
+        ids = self.tails.get(marks)
+        if ids is None:
+            ids = self._part(marks)
+            if len(self.tails) < TAILS:
+                self.tails[marks] = ids
+        return ids
+
     def _piece(self, piece: str, space: bool) -> bytes | None:
         """Ids of a piece made of words and marks, None for any other piece."""
-        if piece.isalpha() and (not self.lowers or piece.isascii()):
-            return self._part(f" {piece}" if self.spaced and space else piece.lower() if self.lowers else piece)
+        if piece.isalpha():
+            return self._word(piece, space)
         out = b""
         for at, part in enumerate(piece.split("\n")):
             word = part.rstrip(PUNCTUATION)
             if at > 1 or not word.isalpha():
                 return None
-            if self.lowers:
-                if "Σ" in word or not (lower := word.lower()).isalpha() or unicodedata.normalize("NFC", word) != word or unicodedata.normalize("NFC", lower) != lower:
-                    return None
-                word = lower
-            if at:
-                out += self.line_end
-            lead = " " if self.spaced and space and not at else ""
-            # The word alone is likely to be known, or to come again.
-            ids = self.known.get(word) if (lead or not self.spaced) and part != piece else None
-            out += ids or self._part(lead + word)
+            ids = self._word(word, space and not at)
+            if ids is None:
+                return None
+            out += self.line_end + ids if at else ids
             if len(part) > len(word):
-                out += self._part(part[len(word) :])
+                out += self._tail(part[len(word) :])
         return out
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
