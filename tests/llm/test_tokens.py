@@ -13,7 +13,7 @@ from tidemark.llm.tokens import Encoder
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 TEXTS = [
     "", " ", "\n", "a", "Hello, World.", "a  b", "a   b \n c", "a\n \nb", "x <|endoftext|> y", " a", "a ", "a\n ", "it's  DON'T  \t x",
-    "a\xa0b", "é é ́x", "İ ß ŉ ΟΔΟΣ", "\x1c y", "\n\n a", "z" * 300 + " q", "word.\nNext, one", "a\r\n b", "日本 語", "1,000 x2 -- ok!",
+    "a\xa0b", "a" + chr(0x2003) + "b", "c" + chr(0x1680) + " d", "e " + chr(0x2028) + "f" + chr(0x3000), "x" + chr(0x85) + "y", "é é ́x", "İ ß ŉ ΟΔΟΣ", "\x1c y", "\n\n a", "z" * 300 + " q", "word.\nNext, one", "a\r\n b", "日本 語", "1,000 x2 -- ok!",
 ]
 
 
@@ -34,7 +34,7 @@ ENCODERS = {n: Encoder(public_tokenizers.path(n), entries=50) for n in NAMES}
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text(st.sampled_from(list("aB .,\n\t'é1ßΣ\xa0|<")), max_size=30))
+@given(st.text(st.sampled_from(list("aB .,\n\t'é1ßΣ\xa0|<")), max_size=30) | st.text(st.sampled_from([*"aB .\n", chr(0x2003), chr(0x1680), chr(0x2028), chr(0x3000)]), max_size=12))
 def test_any_text(text):
     for name, own in ENCODERS.items():
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
@@ -109,6 +109,58 @@ def test_exchanges_empty_a_bin():
     assert len(packing.local_search(bins, 10)) == 2
 
 
+def least_bins(lengths, size):
+    """The least number of bins, by trying every item in every bin."""
+
+    def place(at, rooms):
+        if at == len(lengths):
+            return len(rooms)
+        n = lengths[at]
+        ways = [place(at + 1, rooms + [size - n])]
+        ways += [place(at + 1, rooms[:k] + [r - n] + rooms[k + 1 :]) for k, r in enumerate(rooms) if r >= n and r not in rooms[:k]]
+        return min(ways)
+
+    return place(0, [])
+
+
+def test_few_lengths_against_all_packings():
+    import random
+
+    draw, best = random.Random(5), 0
+    for _ in range(60):
+        lengths = [draw.randint(5, 60) for _ in range(draw.randint(0, 8))]
+        got, least = len(packing.pack_lengths(lengths, 100)), least_bins(lengths, 100)
+        assert least <= got <= least + 1
+        best += got == least
+    assert best >= 57
+
+
+def test_no_pair_of_bins_has_a_step_left():
+    import random
+
+    draw = random.Random(3)
+    lengths = [draw.randint(900, 2600) for _ in range(400)]
+    bins = packing.pack_lengths(lengths, 4096)
+    assert sorted(i for b in bins for _, i in b) == list(range(400))
+    fills = [sum(n for n, _ in b) for b in bins]
+    if len(bins) > -(-sum(lengths) // 4096):
+        for giver, f in zip(bins, fills, strict=True):
+            for taker, t in zip(bins, fills, strict=True):
+                if taker is not giver and f <= t < 4096:
+                    assert packing._step(sorted(giver), sorted(taker), 4096 - t) is None
+
+
+def test_many_hard_lengths_take_seconds():
+    import random
+    import time
+
+    draw = random.Random(4)
+    lengths = [draw.randint(900, 2600) for _ in range(6000)]
+    start = time.process_time()
+    bins = packing.pack_lengths(lengths, 4096)
+    assert time.process_time() - start < 30 and len(bins) <= 1.01 * sum(lengths) / 4096
+
+
 def test_search_goes_on_after_every_step():
     import random
 

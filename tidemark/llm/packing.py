@@ -124,17 +124,25 @@ def _step(giver: list, taker: list, room: int) -> tuple[list, list] | None:
 
 
 def local_search(bins: list[list[tuple[int, int]]], size: int) -> list[list[tuple[int, int]]]:
-    """Fewer bins, if moves and exchanges can empty some."""
+    """Fewer bins, if moves and exchanges can empty some.
+
+    The emptiest bin that is not stuck gives. A log of changed bins keeps a bin from meeting one again when neither has
+    changed since, so that going back to the emptiest bin after every gain costs what has changed, not all pairs of bins.
+    """
     least = -(-sum(n for b in bins for n, _ in b) // size)
     fill = [sum(n for n, _ in b) for b in bins]
     full = [b for b, f in zip(bins, fill, strict=True) if f == size]
-    open_ = sorted(([f, sorted(b)] for b, f in zip(bins, fill, strict=True) if f < size), key=lambda x: x[0])
-    stuck = 0
+    # Fill, items, where in the log it changed last, and up to where it has met the others as giver.
+    open_ = sorted(([f, sorted(b), 0, -1] for b, f in zip(bins, fill, strict=True) if f < size), key=lambda x: x[0])
+    log, stuck = [], 0
     while len(full) + len(open_) > least and stuck < len(open_):
-        giver = open_[stuck]
-        before = giver[0]
-        for taker in reversed(open_):
-            while taker is not giver and giver[1] and taker[0] < size and taker[0] >= giver[0]:
+        giver, before = open_[stuck], len(log)
+        if giver[3] < giver[2] or before - giver[3] > len(open_):
+            takers = open_[::-1]
+        else:
+            takers = log[giver[3] :]
+        for taker in takers:
+            while taker is not giver and giver[1] and taker[1] and giver[0] <= taker[0] < size:
                 step = _step(giver[1], taker[1], size - taker[0])
                 if not step:
                     break
@@ -147,15 +155,20 @@ def local_search(bins: list[list[tuple[int, int]]], size: int) -> list[list[tupl
                 gain = sum(n for n, _ in step[0]) - sum(n for n, _ in step[1])
                 giver[0] -= gain
                 taker[0] += gain
+                log += [giver, taker]
+                giver[2] = taker[2] = len(log)
             if not giver[1]:
                 break
-        full += [b for f, b in open_ if f == size]
-        emptied = not giver[1]
-        open_ = sorted((x for x in open_ if x[1] and x[0] < size), key=lambda x: x[0])
-        # A bin that no step helps stays as it is; the next one is tried.
+        if len(log) == before:
+            # A bin that no step helps stays as it is; the next one is tried.
+            giver[3] = before
+            stuck += 1
+            continue
+        full += [b[1] for b in open_ if b[0] == size]
+        open_ = sorted((b for b in open_ if b[1] and b[0] < size), key=lambda b: b[0])
         # After any step all of them are tried again: a step may have opened room for one that was stuck.
-        stuck = stuck + 1 if giver[0] == before and not emptied else 0
-    return full + [b for _, b in open_]
+        stuck = 0
+    return full + [b[1] for b in open_]
 
 
 def pack_lengths(lengths: list[int], size: int) -> list[list[tuple[int, int]]]:
