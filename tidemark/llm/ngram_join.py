@@ -14,6 +14,10 @@ every member is paired with a few pivots of its column, the verified links give
 that are not in one component yet, so that thousands of near copies cost what their columns hold. The exact overlap
 of every remaining pair is then counted over their whole sets. No link between different sets is lost for components.
 
+Columns that are still large and apart then (``HOT`` members or more) make no pairs. A document goes to a block of its largest such column, blocks of about
+``BLOCK`` documents that share any of them meet in one task, and the product of the two blocks' incidence matrices adds up the exact overlaps there. A task returns
+for each document it has linked the smallest one it reaches in the block: rows grow with documents and blocks, never with pairs.
+
 Nulls and repeats: a null or empty text has an empty set, linked with nothing; equal texts are one class; rows that share a doc_id are
 parts of its node; a document with a null doc_id has no links and its own null as component.
 """
@@ -33,6 +37,7 @@ from tidemark.session import materialize
 
 N, PERCENT = 5, 80
 SAMPLE, FREQUENT = 64, 200_000
+HOT, BLOCK, WIDTH = 64, 256, 4096
 _KEY = "shinglesofwords!"
 
 
@@ -183,10 +188,19 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     named = cells.drop("pivot").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
     named = scratch.table(named.join(apart, "h", "left_semi"), "apart")
-    other = named.select("h", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
-    met = named.join(other, "h").where("component < component2").where(_allowed(percent))
+    owners, blocked = _hot_blocks(named, scratch)
+    placed = owners.select("id", "primary")
+    # What shares a hot column has met in blocks; the other columns are joined with themselves, less the pairs of one block family.
+    hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
+    rare = named.join(hot, "h", "left_anti").join(placed, "id", "left")
+    other = rare.select("h", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "pos", "component", "primary")])
+    family = "(primary IS NULL OR primary2 IS NULL OR primary <> primary2)"
+    met = rare.join(other, "h").where(f"component < component2 AND {family}").where(_allowed(percent))
     second = scratch.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
     more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
+    texts = texts_used.table(whole_texts(own, owners.select(F.col("id").alias("doc_id"))), "block-texts")
+    within = materialize(block_links(owners, blocked, texts, n, percent), "links")
+    more = more.unionByName(within)
     texts_used.clear()
     scratch.clear()
     found = materialize(components(links.unionByName(more)), "components")
@@ -203,6 +217,84 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     )
 
 
+def _hot_blocks(named: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``id, primary, k``: the block of every document with a hot column, and ``primary, k, primary2, k2``: blocks that share one."""
+    hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
+    cells = scratch.table(named.select("h", "id").join(hot, "h"), "hot-columns")
+    chosen = scratch.table(cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m")).select("id", F.col("m.h").alias("primary")), "hot-owners")
+    counts = chosen.groupBy("primary").agg(F.count("*").alias("docs"))
+    parts = F.ceil(F.col("docs") / BLOCK).cast("bigint")
+    owners = scratch.table(chosen.join(counts, "primary").select("id", "primary", F.pmod(F.xxhash64("id"), parts).alias("k")), "hot-blocks")
+    held = scratch.table(cells.select("h", "id").join(owners, "id").select("h", "primary", "k").distinct(), "held")
+    other = held.select("h", F.col("primary").alias("primary2"), F.col("k").alias("k2"))
+    met = held.join(other, "h").where("primary < primary2 OR (primary = primary2 AND k <= k2)")
+    return owners, scratch.table(met.select("primary", "k", "primary2", "k2").distinct(), "block-pairs")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The product of two incidence matrices: how many n-grams each set of ``left`` shares with each of ``right``.
+
+    n-grams of one side only are left out; the others are multiplied ``WIDTH`` columns at a time.
+    """
+    total = np.zeros((len(left), len(right)), np.float64)
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(own) for own in x])) for x in (left, right)]
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    if not len(both):
+        return total.astype(np.int64)
+    cut = []
+    for values, rows in sides:
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        own = both[at] == values
+        order = np.argsort(at[own], kind="stable")
+        cut.append((at[own][order], rows[own][order]))
+    for low in range(0, len(both), WIDTH):
+        dense = []
+        for (at, rows), x in zip(cut, (left, right), strict=True):
+            a, b = np.searchsorted(at, [low, low + WIDTH])
+            matrix = np.zeros((len(x), min(WIDTH, len(both) - low)), np.float32)
+            matrix[rows[a:b], at[a:b] - low] = 1
+            dense.append(matrix)
+        total += dense[0] @ dense[1].T
+    return total.astype(np.int64)
+
+
+def reached(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Each id that is linked, with the smallest id it reaches through a matrix of links between ``left`` and ``right``."""
+    high = np.iinfo(np.int64).max
+    one, two = left.copy(), right.copy()
+    while True:
+        down = np.minimum(two, np.where(links, one[:, None], high).min(axis=0))
+        up = np.minimum(one, np.where(links, down[None, :], high).min(axis=1))
+        if (down == two).all() and (up == one).all():
+            break
+        one, two = up, down
+    return sorted({(int(i), int(m)) for i, m in [*zip(left, one, strict=True), *zip(right, two, strict=True)] if i != m})
+
+
+def block_links(owners: DataFrame, blocked: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``a, b``: documents of blocks that meet, each linked one with the smallest that it reaches there."""
+    own = owners.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+    keys = ["primary", "k", "primary2", "k2"]
+    one = own.join(blocked, ["primary", "k"]).select(*keys, F.lit(0).alias("side"), "id", "text")
+    far = own.select(F.col("primary").alias("primary2"), F.col("k").alias("k2"), "id", "text")
+    two = far.join(blocked, ["primary2", "k2"]).select(*keys, F.lit(1).alias("side"), "id", "text")
+
+    def run(table: pa.Table) -> pa.Table:
+        side, ids = table.column("side").to_numpy(), table.column("id").to_numpy()
+        sets = shingles(table.column("text").to_pylist(), n)
+        groups = [np.flatnonzero(side == s) for s in (0, 1)]
+        pairs: list[tuple[int, int]] = []
+        if all(map(len, groups)):
+            left, right = ([sets[i] for i in g] for g in groups)
+            shared = overlaps(left, right)
+            sizes = [np.array([len(x) for x in part]) for part in (left, right)]
+            links = (shared > 0) & (100 * shared >= percent * (sizes[0][:, None] + sizes[1][None, :] - shared))
+            pairs = reached(links, ids[groups[0]], ids[groups[1]])
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    return one.unionByName(two).groupBy(*keys).applyInArrow(run, "a bigint, b bigint")
+
+
 def likely_pairs(pairs: DataFrame, cells: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs whose shared columns leave room for a link.
 
