@@ -15,7 +15,7 @@ that are not in one component yet, so that thousands of near copies cost what th
 of every remaining pair is then counted over their whole sets. No link between different sets is lost for components.
 
 Columns that are still large and apart then (``HOT`` members or more) make no pairs. A document goes to a block of its largest such column, blocks of about
-``BLOCK`` documents that share any of them meet in one task, and the product of the two blocks' incidence matrices adds up the exact overlaps there. A task returns
+``BLOCK`` documents that share any of them meet in one task, less the documents of whose n-grams too few are held by another document, and the product of the two blocks' incidence matrices adds up the exact overlaps there. A task returns
 for each document it has linked the smallest one it reaches in the block: rows grow with documents and blocks, never with pairs.
 
 Nulls and repeats: a null or empty text has an empty set, linked with nothing; equal texts are one class; rows that share a doc_id are
@@ -188,17 +188,20 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     named = cells.drop("pivot").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
     named = scratch.table(named.join(apart, "h", "left_semi"), "apart")
-    owners, blocked = _hot_blocks(named, scratch)
-    placed = owners.select("id", "primary")
-    # What shares a hot column has met in blocks; the other columns are joined with themselves, less the pairs of one block family.
     hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
+    hot_cells = scratch.table(named.select("h", "id").join(hot, "h"), "hot-columns")
+    placed = hot_cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m")).select("id", F.col("m.h").alias("primary"))
+    placed = scratch.table(placed, "hot-owners")
+    # What shares a hot column has met in blocks; the other columns are joined with themselves, less the pairs of one block family.
     rare = named.join(hot, "h", "left_anti").join(placed, "id", "left")
     other = rare.select("h", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "pos", "component", "primary")])
     family = "(primary IS NULL OR primary2 IS NULL OR primary <> primary2)"
     met = rare.join(other, "h").where(f"component < component2 AND {family}").where(_allowed(percent))
     second = scratch.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
     more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
-    texts = texts_used.table(whole_texts(own, owners.select(F.col("id").alias("doc_id"))), "block-texts")
+    texts = texts_used.table(whole_texts(own, placed.select(F.col("id").alias("doc_id"))), "block-texts")
+    able = scratch.table(placed.join(_linkable(texts, n, percent, scratch), "id", "left_semi"), "linkable")
+    owners, blocked = _hot_blocks(hot_cells, able, scratch)
     within = materialize(block_links(owners, blocked, texts, n, percent), "links")
     more = more.unionByName(within)
     texts_used.clear()
@@ -217,14 +220,29 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     )
 
 
-def _hot_blocks(named: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``id, primary, k``: the block of every document with a hot column, and ``primary, k, primary2, k2``: blocks that share one."""
-    hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
-    cells = scratch.table(named.select("h", "id").join(hot, "h"), "hot-columns")
-    chosen = scratch.table(cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m")).select("id", F.col("m.h").alias("primary")), "hot-owners")
-    counts = chosen.groupBy("primary").agg(F.count("*").alias("docs"))
+def _linkable(texts: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``id``: documents that hold enough n-grams which others of ``texts`` hold as well; no link is possible below ``percent`` of the set.
+
+    Half hashes tell them; two n-grams with one half only let a document pass.
+    """
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = shingles(batch.column(1).to_pylist(), n)
+        halves = [(x >> 32).astype(np.int32) for x in sets]
+        return {"id": batch.column(0), "size": pa.array([len(x) for x in sets], pa.int64()), "halves": pa.array(halves, pa.list_(pa.int32()))}
+
+    held = scratch.table(map_batches(texts.select("doc_id", "text"), run, "id bigint, size bigint, halves array<int>"), "halves")
+    each = held.select("id", "size", F.explode("halves").alias("half"))
+    shared = scratch.table(each.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "shared-halves")
+    found = reduce_by_ids(each, "half", shared, "half").groupBy("id").agg(F.count("*").alias("c"), F.min("size").alias("size"))
+    return found.where(f"100 * c >= {percent} * size").select("id")
+
+
+def _hot_blocks(cells: DataFrame, able: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``id, primary, k``: the block of every document of ``able``, and ``primary, k, primary2, k2``: blocks that share a hot column."""
+    counts = able.groupBy("primary").agg(F.count("*").alias("docs"))
     parts = F.ceil(F.col("docs") / BLOCK).cast("bigint")
-    owners = scratch.table(chosen.join(counts, "primary").select("id", "primary", F.pmod(F.xxhash64("id"), parts).alias("k")), "hot-blocks")
+    owners = scratch.table(able.join(counts, "primary").select("id", "primary", F.pmod(F.xxhash64("id"), parts).alias("k")), "hot-blocks")
     held = scratch.table(cells.select("h", "id").join(owners, "id").select("h", "primary", "k").distinct(), "held")
     other = held.select("h", F.col("primary").alias("primary2"), F.col("k").alias("k2"))
     met = held.join(other, "h").where("primary < primary2 OR (primary = primary2 AND k <= k2)")
