@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tidemark.llm import decontaminate, line_dedup, ngram_join, secrets, toxicity
@@ -168,6 +169,35 @@ def test_components_against_brute_force(spark):
     assert got == plain_components(docs)
 
 
+def test_products_of_blocks(monkeypatch):
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 60, k)).astype(np.int64) for k in (0, 1, 30, 40, 50, 60, 40)]
+    monkeypatch.setattr(ngram_join, "WIDTH", 7)
+    got = ngram_join.overlaps(sets[:4], sets[2:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[2:]] for a in sets[:4]]
+    assert not ngram_join.overlaps(sets[:1], sets[:1]).any()
+    links = np.array([[True, False, False], [True, True, False], [False, False, False]])
+    assert ngram_join.reached(links, np.array([9, 5, 7]), np.array([6, 8, 1])) == [(6, 5), (8, 5), (9, 5)]
+
+
+def test_large_columns_against_brute_force(spark, monkeypatch):
+    # Columns of four members are large here, blocks hold about three documents, and one pivot leaves much apart.
+    monkeypatch.setattr(ngram_join, "HOT", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    met = []
+    own = ngram_join.block_links
+    monkeypatch.setattr(ngram_join, "block_links", lambda owners, *rest: (met.append(owners.count()), own(owners, *rest))[1])
+    docs = near_copies()
+    passage = [f"q{j}" for j in range(60)]
+    for k in range(40):
+        words = list(passage)
+        for j in range(k % 4):
+            words[(7 * k + 13 * j) % 60] = f"z{k}x{j}"
+        docs.append((200 + k, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_components(frame(spark, docs), pivots=1).collect()}
+    assert got == plain_components(docs) and met[0] > 10
+
+
 def test_one_of_each_group_stays(spark):
     docs = [(5, "one two three four five six"), (3, "One two three four five SIX"), (None, "one two three four five six"), (4, None), (4, None)]
     out = ngram_join.keep_one(frame(spark, docs))
