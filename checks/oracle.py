@@ -541,3 +541,4 @@ SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
   UNION ALL BY NAME SELECT *, 'missing' AS failed FROM orders)
 """
 ORACLE["read_planned_ranges"] = ORACLE["read_planned_pages"] = "SELECT * FROM lineitem"
+ORACLE["revert_by_log"] = ORACLE["refresh_table"]

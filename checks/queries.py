@@ -13,7 +13,7 @@ from checks.fixtures import Tables
 from tidemark.catalog import config
 from tidemark.functions import text
 from tidemark.operators import diff, drift, merge, profile, ranges, shape, state, typing, versions
-from tidemark.plans import changes, clean, extract, refresh
+from tidemark.plans import changes, clean, extract, refresh, replay
 from tidemark.session import apply_settings, new_folder
 from tidemark.sources import buckets, declared, pages, planned
 from tidemark.sources.store import VersionStore
@@ -909,3 +909,17 @@ def revert(t: Tables) -> DataFrame:
     kept = store.revert("2002-01-01")
     left_out = kept.select(F.col("table_name").alias("left_out"))
     return shape.cast_all_to_string(shape.union_by_name(store.read_version("orders"), left_out))
+
+
+@query
+def revert_by_log(t: Tables) -> DataFrame:
+    """Orders as they were two runs ago, though that version is gone: a reload and a refresh with deletes are taken back."""
+    store, cfg = _new_store(t, "store"), config("orders", KEY, "o_orderdate", keep_versions=0)
+    refresh.refresh_table(store, refresh.FrameSource(t.orders), cfg)
+    changed = refresh.FrameSource(t.derive(fx.NEW_ORDERS).drop("o_clerk"))
+    refresh.refresh_table(store, changed, cfg, check_deletes=True)
+    then = store.head("orders")[0].version_ts
+    refresh.refresh_table(store, refresh.FrameSource(t.derive(fx.SAME_ORDERS)), cfg, replace=True)
+    refresh.refresh_table(store, changed, cfg, check_deletes=True)
+    replay.revert_by_log(store, cfg, then)
+    return store.read_version("orders")

@@ -13,9 +13,9 @@ from tidemark.operators import diff, drift
 from tidemark.operators.merge import keep_known
 from tidemark.operators.profile import CATEGORY_LIMIT, describe_table
 from tidemark.operators.versions import KEEP_CHANGE_LOGS, latest_version
-from tidemark.session import delete_folder, new_folder, side_by_side
-from tidemark.sources.buckets import profile_of, schema_of, unequal_buckets
-from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, VersionStore
+from tidemark.session import delete_folder, new_folder, one_row, side_by_side
+from tidemark.sources.buckets import profile_of, schema_of, sums_of, unequal_buckets
+from tidemark.sources.store import RECORD_COLUMNS, ROW_RECORDS, STEP, STEP_SCHEMA, VersionStore
 
 
 @dataclass
@@ -85,12 +85,22 @@ def diff_stored(store: VersionStore, new: Row, old: Row, keys: str | list[str],
 
 
 def append_change_log(
-    store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime, keep: int = KEEP_CHANGE_LOGS
-) -> None:
-    """Save a change record; its rows go first, the small parts make it visible. The record is used up by it."""
+    store: VersionStore, record: ChangeRecord, table: str, run_ts: datetime, keep: int = KEEP_CHANGE_LOGS,
+    made: Row | None = None, before: Row | None = None,
+) -> None:
+    """Save a change record; its rows go first, the small parts make it visible. The record is used up by it.
+
+    With the version that was ``made`` and the one ``before``, the record also says how to tell the latter once its rows are gone.
+    """
     # Four writes that read the same small table of keys; none fills a cluster by itself.
     side_by_side(store.spark, [lambda kind=kind: store.save_rows(kind, getattr(record, kind), table, run_ts) for kind in ROW_RECORDS], len(ROW_RECORDS))
-    store.append_records({kind: getattr(record, kind) for kind in RECORD_COLUMNS}, table, run_ts)
+    parts = {kind: getattr(record, kind) for kind in RECORD_COLUMNS}
+    if made is not None and before is not None:
+        sums = sums_of(store, before)
+        schema = before.row_schema or store.open(before).schema.json()
+        link = (made.version_id, before.version_id, before.version_ts, sums.n_rows, sums.row1, sums.row2, schema)
+        parts[STEP] = one_row(store.spark, STEP_SCHEMA, link)
+    store.append_records(parts, table, run_ts)
     delete_folder(store.spark, record.folder)
     store.purge_changes(keep, table)
 

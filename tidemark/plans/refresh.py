@@ -244,7 +244,7 @@ def refresh_table(
     if fetched or (base is not None and live is not None):
         while version_id is None:
             try:
-                version_id, latest = _merge(store, cfg, base, before, delta, live, complete, now, latest, show_edits)
+                version_id, latest = merge_and_publish(store, cfg, base, before, delta, live, complete, now, latest, show_edits)
             except Conflict:
                 # Another refresh came first: merge into what it left. A reload still replaces everything.
                 before, _ = store.head(table)
@@ -296,7 +296,7 @@ def retry_failed(store: VersionStore, source: PageSource, cfg: TableConfig, show
             return RefreshResult(table, None, False, False, latest, reload_wanted=True)
         while version_id is None:
             try:
-                version_id, latest = _merge(store, cfg, before, before, delta, None, complete, now, latest, show_edits)
+                version_id, latest = merge_and_publish(store, cfg, before, before, delta, None, complete, now, latest, show_edits)
             except Conflict:
                 before, _ = store.head(table)
     elif complete and cfg.field != NO_FIELD:
@@ -307,7 +307,7 @@ def retry_failed(store: VersionStore, source: PageSource, cfg: TableConfig, show
     return RefreshResult(table, version_id, False, complete, latest)
 
 
-def _merge(
+def merge_and_publish(
     store: VersionStore, cfg: TableConfig, base: Row | None, before: Row | None, delta: DataFrame | None, live: DataFrame | None,
     complete: bool, now: datetime, latest: date | None, show_edits: bool,
 ) -> tuple[str, date | None]:
@@ -333,7 +333,7 @@ def _merge(
         if base is not None:
             new_part, old_part = _touched(new_part, delta, old_part, cfg.keys, live)
         record = diff_versions(new_part, old_part, cfg.keys, profile, store.profile(before.version_id), show_edits)
-        append_change_log(store, record, table, now, cfg.keep_change_logs)
+        append_change_log(store, record, table, now, cfg.keep_change_logs, row, before)
     attrs = {"created": now if before is None else before.created, "updated": now, "date_field": cfg.field, "latest_date": latest}
     publish_merged(store, cfg, made, number, attrs)
     return made.version_id, latest

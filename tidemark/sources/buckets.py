@@ -100,8 +100,27 @@ class Merged:
         return {"layout": str(self.layout), "row_schema": self.schema.json()}
 
 
+def schema_from(text: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(text))
+
+
 def schema_of(row: Row) -> T.StructType:
-    return T.StructType.fromJson(json.loads(row.row_schema))
+    return schema_from(row.row_schema)
+
+
+def row_sums(rows: DataFrame) -> Row:
+    """Number of rows and order-free 128-bit sum over them, as the lists of buckets add up to."""
+    prints = rows.select(row_digest(rows, sorted(rows.columns)).alias("__row"))
+    sums = [F.sum(F.col(f"__row.h{i}").cast("decimal(20,0)")).cast(SUM).cast("string").alias(f"row{i}") for i in (1, 2)]
+    return prints.agg(F.count(F.lit(1)).alias("n_rows"), *sums).first()
+
+
+def sums_of(store: VersionStore, row: Row) -> Row:
+    """The same of a stored version; one in buckets is not read for it."""
+    if row.layout is None:
+        return row_sums(store.open(row))
+    sums = [F.sum(n).cast(SUM).cast("string").alias(n) for n in ("row1", "row2")]
+    return store.bucket_list(row).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"), *sums).first()
 
 
 def read_buckets(store: VersionStore, row: Row, only: set[int] | None = None) -> DataFrame:

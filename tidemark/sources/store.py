@@ -56,10 +56,14 @@ RECORD_COLUMNS = {
     "new_categories": ["var_name", "old_set", "new_set", "same", "in_old_not_new", "in_new_not_old"],
     "lost_categories": ["var_name", "old_set"],
 }
+# How a run's version follows from the one before, and what tells that one: its rows, the sums over them, and its columns.
+STEP = "step"
+STEP_SCHEMA = "version_id string, before_id string, before_ts timestamp_ntz, n_rows bigint, row1 string, row2 string, row_schema string"
+STEP_COLUMNS = [part.split()[0] for part in STEP_SCHEMA.split(", ")]
 RECORD_SCHEMA = (
     "table_name string, run_ts timestamp_ntz, element string, n_added bigint, n_edited bigint, n_deleted bigint, "
     "var_name string, old_var_class string, new_var_class string, old_set string, new_set string, same string, "
-    "in_old_not_new string, in_new_not_old string"
+    "in_old_not_new string, in_new_not_old string, " + STEP_SCHEMA
 )
 # Logs of more files than this are rewritten as one.
 COMPACT_AFTER = 32
@@ -358,7 +362,7 @@ class VersionStore:
         """Save the small parts of a change record in one write."""
         run = [F.lit(table).alias("table_name"), moment(run_ts).alias("run_ts")]
         parts = [
-            record.select(*run, F.lit(kind).alias("element"), *cols(RECORD_COLUMNS[kind]))
+            record.select(*run, F.lit(kind).alias("element"), *cols(record.columns if kind == STEP else RECORD_COLUMNS[kind]))
             for kind, record in records.items()
         ]
         self._append(union_by_name(self.spark.createDataFrame([], RECORD_SCHEMA), *parts), "changes/records", RECORD_SCHEMA)
@@ -368,10 +372,17 @@ class VersionStore:
 
     def records(self, kind: str, n: int = KEEP_CHANGE_LOGS) -> DataFrame:
         """Change records of the newest ``n`` runs per table."""
+        return self._kept_records(kind, RECORD_COLUMNS[kind], n)
+
+    def steps(self, n: int = KEEP_CHANGE_LOGS) -> DataFrame:
+        """For the newest ``n`` runs per table, which version they made of which."""
+        return self._kept_records(STEP, STEP_COLUMNS, n)
+
+    def _kept_records(self, kind: str, names: list[str], n: int) -> DataFrame:
         runs = retain_latest_n(self._runs(), n, "run_ts").select("table_name", "run_ts")
         log = self._records().filter(F.col("element") == kind)
         kept = log.join(runs, ["table_name", "run_ts"], "left_semi")
-        return kept.select("table_name", "run_ts", *cols(RECORD_COLUMNS[kind]))
+        return kept.select("table_name", "run_ts", *cols(names))
 
     def _runs(self) -> DataFrame:
         return self._records().filter("element = 'counts'").select("table_name", "run_ts").distinct()
