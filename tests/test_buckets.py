@@ -1,7 +1,9 @@
 import datetime as dt
 import json
+import re
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tidemark import catalog
@@ -273,3 +275,34 @@ def test_a_plan_is_read_by_one_task_a_request(spark, tmp_path):
     assert [(r.skip, r.top) for r in pages] == [(0, 300), (300, 300), (600, 300)]
     read = planned.read_planned(spark, pages, planned.pages_of_parquet(path), rows.schema)
     assert read.rdd.getNumPartitions() == 3 and sorted(read.collect()) == sorted(rows.collect())
+
+
+def task_of(name):
+    return F.udf(lambda _: str(TaskContext.get().taskAttemptId()), "string")(name)
+
+
+def test_the_list_of_buckets_is_worked_out_by_many_tasks(spark, store, monkeypatch):
+    measure = buckets._measure
+
+    def spread(*given):
+        return measure(*given).repartition(4).withColumn("folder", task_of("bucket"))
+
+    monkeypatch.setattr(buckets, "_measure", spread)
+    cfg = catalog.config("t", "Id", "d", layout="hash:16")
+    made = buckets.merge_buckets(store, cfg, None, frame(spark, [(str(i), "2020-01-01", "a") for i in range(200)]))
+    # One task that wrote the list would also have measured every bucket.
+    assert made.listing.select("folder").distinct().count() == 4 and made.listing.count() == 16
+    store.clear_scratch()
+
+
+def test_fingerprints_of_a_bucket_meet_by_key(spark, store):
+    cfg = catalog.config("t", "Id", "d", layout="hash:1")
+    rows = [(str(i), "2020-01-01", "a") for i in range(100)]
+    for more, marks in (([], (True, True)), ([("7", "2020-01-01", "b")], (True, False)), ([("7", "2020-01-01", "a")], (False, False)), ([(None, None, None)] * 2, (False, False))):
+        delta = frame(spark, rows + more)
+        folder = buckets._write_part(store, delta, "t", cfg.keys, buckets.Layout.parse(cfg.layout))
+        found = buckets._measure(store, delta.schema, cfg, folder, False)
+        shuffles = re.findall(r"RepartitionByExpression \[([^\]]*)\]", found._jdf.queryExecution().optimizedPlan().toString())
+        assert shuffles and all("__id1" in s for s in shuffles)
+        assert [(r.n_rows, r.rows_distinct, r.keys_distinct) for r in found.collect()] == [(100 + len(more), *marks)]
+    store.clear_scratch()

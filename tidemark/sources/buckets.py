@@ -175,13 +175,14 @@ def _measure(store: VersionStore, schema: T.StructType, cfg: TableConfig, folder
         )
         for i, n in enumerate(names)
     ]
-    # Fingerprints of a bucket meet in one task, of which a bucket is the unit anyway.
-    met = prints.select(BUCKET, "__id", "__row").repartition(F.col(BUCKET))
+    # Fingerprints of equal keys meet, not those of a bucket, which can be any number; both numbers come from one shuffle.
+    halves = [F.col(f"__{c}.h{i}").alias(f"__{c}{i}") for c in ("id", "row") for i in (1, 2)]
+    met = prints.select(BUCKET, *halves).repartition(F.col(BUCKET), F.col("__id1"), F.col("__id2"))
     if not is_distinct:
-        met = met.groupBy(BUCKET, "__id", "__row").agg(F.count(F.lit(1)).alias("n"))
+        met = met.groupBy(BUCKET, "__id1", "__id2", "__row1", "__row2").agg(F.count(F.lit(1)).alias("n"))
     else:
         met = met.withColumn("n", F.lit(1))
-    alike = met.groupBy(BUCKET, "__id").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"))
+    alike = met.groupBy(BUCKET, "__id1", "__id2").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"))
     alike = alike.groupBy(BUCKET).agg((F.max("n") == 1).alias("rows_distinct"), (F.max(F.col("rows") * F.col("n")) == 1).alias("keys_distinct"))
     return joined.join(alike, BUCKET).select(
         F.col(BUCKET).cast("bigint").alias("bucket"), F.lit(folder).alias("folder"), "n_rows", "rows_distinct", "keys_distinct", *SUMS, "latest_date", F.array(*columns).alias("columns")
@@ -209,7 +210,8 @@ def merge_buckets(
         old = read_buckets(store, base, touched)
         rows, is_distinct = upsert(old, delta, keys, live, old_is_distinct=bool(base.rows_distinct)), True
     folder = _write_part(store, rows, table, keys, layout)
-    fresh = _measure(store, rows.schema, cfg, folder, is_distinct)
+    # Worked out by many tasks; only its few rows are written by one.
+    fresh = store.scratch(_measure(store, rows.schema, cfg, folder, is_distinct), "bucket-list")
     if listing is not None:
         fresh = listing.filter(~F.col("bucket").isin(sorted(touched))).unionByName(fresh)
     version_id = uuid.uuid4().hex
