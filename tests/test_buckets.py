@@ -306,3 +306,13 @@ def test_fingerprints_of_a_bucket_meet_by_key(spark, store):
         assert shuffles and all("__id1" in s for s in shuffles)
         assert [(r.n_rows, r.rows_distinct, r.keys_distinct) for r in found.collect()] == [(100 + len(more), *marks)]
     store.clear_scratch()
+
+
+def test_failed_pages_are_looked_for_by_many_tasks(spark, store):
+    failed = spark.range(40).repartition(4).select(F.col("id").alias("skip"), task_of("id").alias("reason"))
+    store.save_failed(failed, "t", dt.datetime(2020, 1, 1), reported=9)
+    kept = store.failed_list("t")
+    assert kept.select("reason").distinct().count() == 4 and {(r.merged, r.reported, r.landed) for r in kept.collect()} == {(False, 9, None)}
+    assert sorted(r.skip for r in kept.collect()) == list(range(40))
+    store.save_failed(failed.filter("skip < 0"), "t", dt.datetime(2020, 1, 2))
+    assert store.failed_pages("t").isEmpty()

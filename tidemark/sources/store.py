@@ -472,7 +472,8 @@ class VersionStore:
         ``merged`` says that the other pages are in the current version, and ``reported`` and ``landed`` how many rows there were to be, and were.
         """
         numbers = [F.lit(merged).alias("merged"), F.lit(reported).cast("bigint").alias("reported"), F.lit(landed).cast("bigint").alias("landed")]
-        failed.select("skip", "reason", *numbers).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/failed/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}")
+        # Where it is worked out it is written: one file for all would make one task look for them in all pages.
+        failed.select("skip", "reason", *numbers).write.mode("overwrite").parquet(f"{self.root}/failed/{folder_name(table)}/{run_ts:%Y%m%d_%H%M%S_%f}")
         for run in sorted(folder_names(self.spark, f"{self.root}/failed/{folder_name(table)}"))[:-1]:
             delete_folder(self.spark, f"{self.root}/failed/{folder_name(table)}/{run}")
 
