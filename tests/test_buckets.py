@@ -316,3 +316,34 @@ def test_failed_pages_are_looked_for_by_many_tasks(spark, store):
     assert sorted(r.skip for r in kept.collect()) == list(range(40))
     store.save_failed(failed.filter("skip < 0"), "t", dt.datetime(2020, 1, 2))
     assert store.failed_pages("t").isEmpty()
+
+
+def test_neighbours_of_a_long_plan_share_tasks_and_scans(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id"), (F.col("id") % 7).alias("v")).filter("id % 4 <> 1")
+    path = str(tmp_path / "rows")
+    rows.repartition(3).write.parquet(path)
+    cfg = catalog.config("t", "id", page_size=7)
+    most = max(planned.LEAST_TASKS, planned.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    wanted = rows.filter("id % 4 <> 3 AND id <> 2002")
+    requests = planned.plan_requests(cfg, wanted.select("id"), "id_filter", width=100)
+    assert len(requests) == 1999
+    read = planned.read_planned(spark, requests, planned.ranges_of_parquet(path, "id"), rows.schema, "id")
+    assert read.rdd.getNumPartitions() == most and sorted(read.collect()) == sorted(wanted.collect())
+    # Rows that no range holds stay out, whatever is filtered, and ranges that no id of the filter lies in are not asked for.
+    assert sorted(read.filter("id >= 2000 AND id < 2012").collect()) == sorted(wanted.filter("id >= 2000 AND id < 2012").collect())
+    assert read.filter("id = 2000").rdd.getNumPartitions() == 1
+    pages = planned.plan_requests(cfg, rows.select("id"), "skip_top")
+    read = planned.read_planned(spark, pages, planned.pages_of_parquet(path), rows.schema)
+    assert len(pages) == 429 and read.rdd.getNumPartitions() == most and sorted(read.collect()) == sorted(rows.collect())
+    # Overlapping ranges and pages give their rows each, and a function of one request is asked for one after another.
+    several = [planned.Request(start=0, end=50), planned.Request(start=10, end=20), planned.Request(start=60, end=60)] * 9
+    ask = planned.ranges_of_parquet(path, "id")
+    alone = [one for r in several for batch in ask(r) for one in batch.to_pylist()]
+    by_id = [one for batch in ask.together(several) for one in batch.to_pylist()]
+    assert sorted(map(str, alone)) == sorted(map(str, by_id))
+    some = planned.read_planned(spark, several, lambda r: ask(r), rows.schema, "id")
+    assert some.count() == len(alone) and some.rdd.getNumPartitions() <= most
+    paged = [planned.Request(skip=5, top=2990), planned.Request(skip=0, top=10), planned.Request(skip=2999, top=7), planned.Request(skip=3, top=0)]
+    ask = planned.pages_of_parquet(path)
+    alone = [one for r in paged for batch in ask(r) for one in batch.to_pylist()]
+    assert sorted(map(str, alone)) == sorted(map(str, [one for batch in ask.together(paged) for one in batch.to_pylist()])) and len(alone) == 3001

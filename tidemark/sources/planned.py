@@ -1,17 +1,23 @@
-"""Planned reads as a Spark data source: one input partition for each page or range of ids of a plan.
+"""Planned reads as a Spark data source: input partitions that each ask for a page or range of ids of a plan, or for several in a row.
 
-A request of a plan (``skip`` and ``top``, or the ids ``start`` to ``end``) is what one task asks a service for. How it asks is a
+A request of a plan (``skip`` and ``top``, or the ids ``start`` to ``end``) is what a task asks a service for. How it asks is a
 function of the request that gives Arrow batches; it runs in the task, so rows go from the service to executors and never through
 the driver, a task that is lost asks again, and Spark decides how many run at a time. Comparisons of the id column with numbers are pushed down: ranges that
 cannot hold such an id are not asked for at all.
+
+A plan can have more requests than a cluster can usefully have tasks, a million where ids have many gaps. From ``TASKS_PER_CORE`` a core on,
+neighbours share a task. A service that can answer several requests at once says how in ``together``, a method of the function.
 """
 
 from __future__ import annotations
 
+import pickle
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +32,11 @@ from tidemark.sources.pages import expected_pages
 
 Fetch = Callable[["Request"], Iterable[pa.RecordBatch]]
 
+# Plans of more requests than this a core, and than this at all, have neighbours in one task.
+TASKS_PER_CORE, LEAST_TASKS = 2, 16
+
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Request:
     """A page (``skip``, ``top``) or a range of ids (``start`` to ``end``, both included)."""
 
@@ -50,12 +59,21 @@ def plan_requests(cfg: TableConfig, ids: DataFrame, method: str | None = None, w
 
 @dataclass
 class _Part(InputPartition):
-    request: Request
+    requests: list[tuple]
+
+
+def _size(request: Request) -> float:
+    """How many rows or ids a request can give, at least one."""
+    size = request.top if request.start is None else request.end - request.start + 1
+    return max(1.0, float(size or 0))
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, requests: list[Request], fetch: Fetch, key: str | None, names: list[str]):
-        self.requests, self.fetch, self.key, self.names = requests, fetch, key, names
+    """``packed`` holds the requests: it goes to every task with the reader, where nobody opens it."""
+
+    def __init__(self, packed: bytes, fetch: Fetch, key: str | None, names: list[str], most: int):
+        self.packed, self.fetch, self.key, self.names, self.most = packed, fetch, key, names, most
+        self.bounds = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Bounds of the id choose ranges. Every filter is handed back: a range holds other ids as well."""
@@ -64,19 +82,33 @@ class _Reader(DataSourceReader):
             if getattr(one, "attribute", None) == (self.key,) and isinstance(value, int) and not isinstance(value, bool):
                 least = {EqualTo: value, GreaterThanOrEqual: value, GreaterThan: value + 1}.get(type(one))
                 most = {EqualTo: value, LessThanOrEqual: value, LessThan: value - 1}.get(type(one))
-                self.requests = [
-                    r for r in self.requests
-                    if r.start is None or ((least is None or r.end >= least) and (most is None or r.start <= most))
-                ]
+                self.bounds.append((least, most))
             yield one
 
     def partitions(self) -> list[InputPartition]:
-        return [_Part(r) for r in self.requests] or [_Part(Request(top=0))]
+        requests = [
+            r for r in (Request(*fields) for fields in pickle.loads(zlib.decompress(self.packed)))
+            if r.start is None or all((least is None or r.end >= least) and (most is None or r.start <= most) for least, most in self.bounds)
+        ]
+        if not requests:
+            return [_Part([])]
+        fields = [(r.skip, r.top, r.start, r.end) for r in requests]
+        if len(requests) <= self.most:
+            return [_Part([one]) for one in fields]
+        # Neighbours go together, about as many rows or ids to each task.
+        sizes = np.array([_size(r) for r in requests])
+        places = np.minimum(((np.cumsum(sizes) - sizes / 2) / sizes.sum() * self.most).astype(int), self.most - 1)
+        cuts = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(fields)]
+        return [_Part(fields[i:j]) for i, j in zip(cuts, cuts[1:])]
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
-        if partition.request.top == 0:
-            return
-        for batch in self.fetch(partition.request):
+        requests = [r for r in (Request(*fields) for fields in partition.requests) if r.top != 0]
+        together = getattr(self.fetch, "together", None)
+        if together is None or len(requests) < 2:
+            answers = (batch for r in requests for batch in self.fetch(r))
+        else:
+            answers = together(requests)
+        for batch in answers:
             yield batch.select(self.names)
 
 
@@ -84,6 +116,8 @@ def read_planned(spark: SparkSession, requests: list[Request], fetch: Fetch, sch
     """The rows that ``fetch`` gives for all ``requests``; ``key`` names the id column that ranges are of."""
     name = f"planned_{uuid.uuid4().hex}"
     names = schema.names
+    packed = zlib.compress(pickle.dumps([(r.skip, r.top, r.start, r.end) for r in requests]), 1)
+    most = max(LEAST_TASKS, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
     class Planned(DataSource):
         @classmethod
@@ -94,34 +128,81 @@ def read_planned(spark: SparkSession, requests: list[Request], fetch: Fetch, sch
             return schema
 
         def reader(self, schema: T.StructType) -> DataSourceReader:
-            return _Reader(requests, fetch, key, names)
+            return _Reader(packed, fetch, key, names, most)
 
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Planned)
     return spark.read.format(name).load()
 
 
-def ranges_of_parquet(path: str, key: str) -> Fetch:
-    """A stand-in for a service that is asked for ranges of ids: Parquet files that every task can open; row groups without such ids are skipped."""
+def _apart(requests: list[Request]) -> Iterator[list[Request]]:
+    """Requests in lists of ranges that do not overlap, in the order of ids; those of a plan are one such list."""
+    rest = sorted(requests, key=lambda r: r.start)
+    while rest:
+        taken, left = [], []
+        for r in rest:
+            (left if taken and r.start <= taken[-1].end else taken).append(r)
+        yield taken
+        rest = left
 
-    def fetch(request: Request) -> Iterator[pa.RecordBatch]:
-        wanted = (ds.field(key) >= request.start) & (ds.field(key) <= request.end)
-        yield from ds.dataset(path, format="parquet").scanner(filter=wanted).to_batches()
 
-    return fetch
+@dataclass
+class _RangesOfParquet:
+    path: str
+    key: str
 
+    def __call__(self, request: Request) -> Iterator[pa.RecordBatch]:
+        wanted = (ds.field(self.key) >= request.start) & (ds.field(self.key) <= request.end)
+        yield from ds.dataset(self.path, format="parquet").scanner(filter=wanted).to_batches()
 
-def pages_of_parquet(path: str) -> Fetch:
-    """The same for pages: rows ``skip`` to ``skip + top`` in the order of files; only row groups that hold some of them are read."""
+    def together(self, requests: list[Request]) -> Iterator[pa.RecordBatch]:
+        """One pass over the row groups between the first id and the last answers all requests."""
+        for ranges in _apart(requests):
+            starts, ends = np.array([r.start for r in ranges]), np.array([r.end for r in ranges])
+            for batch in self(Request(start=ranges[0].start, end=ranges[-1].end)):
+                ids = batch.column(self.key).to_numpy(zero_copy_only=False)
+                found = ids <= ends[np.searchsorted(starts, ids, side="right") - 1] if len(ids) else np.zeros(0, bool)
+                yield batch if found.all() else batch.filter(pa.array(found))
 
-    def fetch(request: Request) -> Iterator[pa.RecordBatch]:
-        at, low, high = 0, request.skip, request.skip + request.top
-        for fragment in sorted(ds.dataset(path, format="parquet").get_fragments(), key=lambda f: f.path):
+
+def ranges_of_parquet(path: str, key: str) -> Fetch:
+    """A stand-in for a service that is asked for ranges of ids: Parquet files that every task can open; row groups without such ids are skipped.
+
+    Where files are not in the order of ids, every task reads them all, but only once for its requests together.
+    """
+    return _RangesOfParquet(path, key)
+
+
+@dataclass
+class _PagesOfParquet:
+    path: str
+
+    def __call__(self, request: Request) -> Iterator[pa.RecordBatch]:
+        return self.together([request])
+
+    def together(self, requests: list[Request]) -> Iterator[pa.RecordBatch]:
+        """Each row group is read once for all pages that lie in it."""
+        pages = sorted((r.skip, r.skip + r.top) for r in requests)
+        last, first, at = max(high for _, high in pages), 0, 0
+        for fragment in sorted(ds.dataset(self.path, format="parquet").get_fragments(), key=lambda f: f.path):
+            if at >= last:
+                return
             for group in fragment.split_by_row_group():
                 rows = group.row_groups[0].num_rows
-                if at < high and at + rows > low:
+                while first < len(pages) and pages[first][1] <= at:
+                    first += 1
+                if first == len(pages):
+                    return
+                if any(low < at + rows and high > at for low, high in pages[first:]):
                     table = group.to_table()
-                    yield from table.slice(max(0, low - at), min(rows, high - at) - max(0, low - at)).to_batches()
+                    for low, high in pages[first:]:
+                        if low >= at + rows:
+                            break
+                        if high > at:
+                            yield from table.slice(max(0, low - at), min(rows, high - at) - max(0, low - at)).to_batches()
                 at += rows
 
-    return fetch
+
+def pages_of_parquet(path: str) -> Fetch:
+    """The same for pages: rows ``skip`` to ``skip + top`` in the order of files; only row groups that hold some of them are read."""
+    return _PagesOfParquet(path)
