@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import decontaminate, line_dedup, ngram_join, secrets, toxicity
+from tidemark.session import folder_names, shared_dir
 
 SCHEMA = "doc_id bigint, text string, hashes string, size string, component_id string"
 
@@ -344,3 +345,20 @@ def test_stretches_hold_every_marked_word():
 
 def test_hash_of_keys_is_of_utf8():
     assert line_dedup.key_hash(line_dedup.line_key(" ÄB c ")) == hashlib.blake2b("Äb c".encode(), digest_size=16).digest()
+
+
+def test_tables_of_columns_are_gone_before_blocks_are_made(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 300}" for k in range(40))) for i in range(60)]
+    documents = spark.createDataFrame([*rows, (60, rows[0][1]), (61, None), (None, rows[1][1])], "doc_id bigint, text string")
+    before, seen = set(folder_names(spark, shared_dir(spark))), []
+    linkable = ngram_join._linkable
+
+    def look(*given):
+        found = linkable(*given)
+        seen.extend(n.rsplit("-", 1)[0] for n in set(folder_names(spark, shared_dir(spark))) - before)
+        return found
+
+    monkeypatch.setattr(ngram_join, "_linkable", look)
+    placed = ngram_join.link_components(documents)
+    assert seen and not {"prefixes", "classes", "columns", "pairs", "apart", "pair-texts", "likely-pairs", "halves"} & set(seen)
+    assert {r.component_id for r in placed.where("doc_id IN (0, 60)").collect()} == {0} and placed.count() == 63

@@ -159,11 +159,12 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     ``class_id``: the smallest doc_id with the same set; ``component_id``: the smallest doc_id reachable by links.
     """
     own = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    scratch, texts_used = Scratch(documents.sparkSession), Scratch(documents.sparkSession)
+    scratch, texts_used, firsts, met_used = (Scratch(documents.sparkSession) for _ in range(4))
     made = scratch.table(prefixes(own, n, percent), "prefixes")
     # Equal sets are one class before anything is joined; the smallest id is found with a map-side step.
     heads = made.where("size > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("head"), F.max("size").alias("size"), F.first("prefix").alias("prefix"))
-    heads = materialize(heads, "classes")
+    heads = firsts.table(heads, "classes")
+    class_ids = materialize(heads.select("class", F.col("head").alias("class_id")), "class-ids")
     sizes = materialize(made.select("doc_id", "size", "class"), "set-sizes")
     scratch.clear()
     entries = heads.select(F.col("head").alias("id"), "size", F.posexplode("prefix").alias("pos", "h")).withColumn("half", F.shiftright("h", 32).cast("int"))
@@ -174,20 +175,23 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     salt = F.pmod(F.xxhash64("h"), F.lit(pivots))
     few = [F.min_by(F.struct("id", "size", "pos"), F.xxhash64("id", salt)).alias("pivot")]
     columns = entries.groupBy("h").agg(F.count("*").alias("members"), *few).where("members > 1").select("h", "pivot")
-    cells = scratch.table(entries.join(columns, "h"), "columns")
+    cells = met_used.table(entries.join(columns, "h"), "columns")
+    # First n-grams are in columns now, and the tables of columns go before sets of n-grams are written: disk is held by what is still read.
+    firsts.clear()
+    scratch.clear()
 
     def seen(pairs: DataFrame) -> DataFrame:
         return pairs.where(_allowed(percent)).where("id <> id2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
     first = cells.select("id", "size", "pos", F.col("pivot.id").alias("id2"), F.col("pivot.size").alias("size2"), F.col("pivot.pos").alias("pos2"))
-    first = scratch.table(seen(first), "pairs")
+    first = met_used.table(seen(first), "pairs")
     links = materialize(_verified(own, cells, first, n, percent, texts_used), "links")
     texts_used.clear()
     known = components(links)
     # What is still apart in a column: its members by component; columns of one component are done.
     named = cells.drop("pivot").join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    named = scratch.table(named.join(apart, "h", "left_semi"), "apart")
+    named = met_used.table(named.join(apart, "h", "left_semi"), "apart")
     hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
     hot_cells = scratch.table(named.select("h", "id").join(hot, "h"), "hot-columns")
     placed = hot_cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m")).select("id", F.col("m.h").alias("primary"))
@@ -197,8 +201,10 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     other = rare.select("h", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "pos", "component", "primary")])
     family = "(primary IS NULL OR primary2 IS NULL OR primary <> primary2)"
     met = rare.join(other, "h").where(f"component < component2 AND {family}").where(_allowed(percent))
-    second = scratch.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = met_used.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
     more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
+    texts_used.clear()
+    met_used.clear()
     texts = texts_used.table(whole_texts(own, placed.select(F.col("id").alias("doc_id"))), "block-texts")
     able = scratch.table(placed.join(_linkable(texts, n, percent, scratch), "id", "left_semi"), "linkable")
     owners, blocked = _hot_blocks(hot_cells, able, scratch)
@@ -207,7 +213,7 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     texts_used.clear()
     scratch.clear()
     found = materialize(components(links.unionByName(more)), "components")
-    classes = heads.drop("prefix").select("class", F.col("head").alias("class_id")).join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
+    classes = class_ids.join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
     classes = classes.select("class", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     lone = F.when(F.col("size") > 0, F.col("class"))
     rows = sizes.select("doc_id", F.col("size").alias("n_shingles"), lone.alias("class"))
@@ -231,7 +237,8 @@ def _linkable(texts: DataFrame, n: int, percent: int, scratch: Scratch) -> DataF
         halves = [(x >> 32).astype(np.int32) for x in sets]
         return {"id": batch.column(0), "size": pa.array([len(x) for x in sets], pa.int64()), "halves": pa.array(halves, pa.list_(pa.int32()))}
 
-    held = scratch.table(map_batches(texts.select("doc_id", "text"), run, "id bigint, size bigint, halves array<int>"), "halves")
+    # Worked out twice: written, half hashes take as much disk as the texts do.
+    held = map_batches(texts.select("doc_id", "text"), run, "id bigint, size bigint, halves array<int>")
     each = held.select("id", "size", F.explode("halves").alias("half"))
     shared = scratch.table(each.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "shared-halves")
     found = reduce_by_ids(each, "half", shared, "half").groupBy("id").agg(F.count("*").alias("c"), F.min("size").alias("size"))
