@@ -2,12 +2,13 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tidemark import catalog
 from tidemark.operators import versions
 from tidemark.plans import changes, refresh
-from tidemark.session import new_folder
+from tidemark.session import folder_names, new_folder, shared_dir
 from tidemark.sources.store import VersionStore, folder_name
 
 
@@ -314,3 +315,17 @@ def test_snapshots_are_not_expired(spark, store):
         store.write_version(spark.createDataFrame([(str(k),)], "Id string"), "t", at(k))
     store.expire(0)
     assert ids(store.read_snapshot(label, "t")) == ["1"] and store.versions().count() == 2
+
+
+def test_the_parts_of_a_change_record_are_worked_out_by_many_tasks(spark, store):
+    task = F.udf(lambda _: str(TaskContext.get().taskAttemptId()), "string")
+    parts = {
+        "counts": spark.createDataFrame([(1, 2, 3)], "n_added bigint, n_edited bigint, n_deleted bigint"),
+        "new_columns": spark.range(40).repartition(4).select(task("id").alias("var_name")),
+    }
+    store.append_records(parts, "t", at(1))
+    # One task that wrote the log would also have worked out all rows of it.
+    assert store.records("new_columns").select("var_name").distinct().count() == 4
+    assert [tuple(r) for r in store.records("counts").collect()] == [("t", at(1), 1, 2, 3)]
+    assert len(folder_names(spark, f"{store.root}/changes/records")) == 1
+    assert not [n for n in folder_names(spark, shared_dir(spark)) if n.startswith("records-")]

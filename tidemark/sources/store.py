@@ -359,13 +359,18 @@ class VersionStore:
     # -- change log ---------------------------------------------------------
 
     def append_records(self, records: dict[str, DataFrame], table: str, run_ts: datetime) -> None:
-        """Save the small parts of a change record in one write."""
+        """Save the small parts of a change record as one file of the log."""
         run = [F.lit(table).alias("table_name"), moment(run_ts).alias("run_ts")]
         parts = [
             record.select(*run, F.lit(kind).alias("element"), *cols(record.columns if kind == STEP else RECORD_COLUMNS[kind]))
             for kind, record in records.items()
         ]
-        self._append(union_by_name(self.spark.createDataFrame([], RECORD_SCHEMA), *parts), "changes/records", RECORD_SCHEMA)
+        whole = union_by_name(self.spark.createDataFrame([], RECORD_SCHEMA), *parts)
+        # Worked out by many tasks; only its few rows are written by one, which would else run every step of all parts.
+        aside = new_folder(self.spark, "records")
+        whole.write.parquet(aside)
+        self._append(self.spark.read.schema(whole.schema).parquet(aside), "changes/records", RECORD_SCHEMA)
+        delete_folder(self.spark, aside)
 
     def _records(self) -> DataFrame:
         return self._read("changes/records", RECORD_SCHEMA)
