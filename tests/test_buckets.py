@@ -2,6 +2,9 @@ import datetime as dt
 import json
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
@@ -347,3 +350,25 @@ def test_neighbours_of_a_long_plan_share_tasks_and_scans(spark, tmp_path):
     ask = planned.pages_of_parquet(path)
     alone = [one for r in paged for batch in ask(r) for one in batch.to_pylist()]
     assert sorted(map(str, alone)) == sorted(map(str, [one for batch in ask.together(paged) for one in batch.to_pylist()])) and len(alone) == 3001
+
+
+def test_ranges_are_read_a_few_rows_at_a_time(spark, tmp_path):
+    ids = np.random.default_rng(1).permutation(1_500_000)
+    table = pa.table({"id": ids} | {f"v{k}": ids * 3 + k for k in range(5)})
+    path = str(tmp_path / "rows.parquet")
+    pq.write_table(table, path, row_group_size=1_000_000)
+    size = table.nbytes
+    del table
+    asked = [planned.Request(start=low, end=low + 4) for low in range(0, 1_500_000, 10)]
+    before, most, found = pa.total_allocated_bytes(), 0, 0
+    for batch in planned.ranges_of_parquet(path, "id").together(asked):
+        most = max(most, pa.total_allocated_bytes() - before)
+        found += batch.num_rows
+    assert found == 750_000 and most < size / 2
+    # Files that lack a column, or have it in another type, are read as the first one is.
+    folder = tmp_path / "files"
+    folder.mkdir()
+    pq.write_table(pa.table({"id": [1, None, 3], "v": [1, 2, 3]}), folder / "a.parquet")
+    pq.write_table(pa.table({"id": pa.array([2, 9], pa.int32())}), folder / "b.parquet")
+    got = [one for batch in planned.ranges_of_parquet(str(folder), "id")(planned.Request(start=1, end=3)) for one in batch.to_pylist()]
+    assert got == [{"id": 1, "v": 1}, {"id": 3, "v": 3}, {"id": 2, "v": None}]

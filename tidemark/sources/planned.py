@@ -19,7 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,8 @@ Fetch = Callable[["Request"], Iterable[pa.RecordBatch]]
 
 # Plans of more requests than this a core, and than this at all, have neighbours in one task.
 TASKS_PER_CORE, LEAST_TASKS = 2, 16
+# Rows of a batch that a range reads, and bytes of each column that it holds in advance.
+BATCH_ROWS, READ_AHEAD = 16_384, 1 << 20
 
 
 @dataclass(frozen=True, slots=True)
@@ -152,8 +156,20 @@ class _RangesOfParquet:
     key: str
 
     def __call__(self, request: Request) -> Iterator[pa.RecordBatch]:
+        """Batch by batch as they are asked for: a scanner would hold whole row groups, and of each file all that it has read."""
         wanted = (ds.field(self.key) >= request.start) & (ds.field(self.key) <= request.end)
-        yield from ds.dataset(self.path, format="parquet").scanner(filter=wanted).to_batches()
+        files = ds.dataset(self.path, format="parquet")
+        for fragment in files.get_fragments():
+            groups = [g.id for g in fragment.subset(wanted, schema=files.schema).row_groups]
+            if not groups:
+                continue
+            if not fragment.physical_schema.equals(files.schema):  # columns that this file lacks or has in another type
+                yield from fragment.scanner(schema=files.schema, filter=wanted, batch_size=BATCH_ROWS, batch_readahead=1, use_threads=False).to_batches()
+                continue
+            with fragment.open() as source:
+                for batch in pq.ParquetFile(source, pre_buffer=False, buffer_size=READ_AHEAD).iter_batches(BATCH_ROWS, row_groups=groups, use_threads=False):
+                    ids = batch.column(self.key)
+                    yield batch.filter(pc.and_(pc.greater_equal(ids, request.start), pc.less_equal(ids, request.end)))
 
     def together(self, requests: list[Request]) -> Iterator[pa.RecordBatch]:
         """One pass over the row groups between the first id and the last answers all requests."""
