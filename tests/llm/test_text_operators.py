@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -362,3 +363,56 @@ def test_tables_of_columns_are_gone_before_blocks_are_made(spark, monkeypatch):
     placed = ngram_join.link_components(documents)
     assert seen and not {"prefixes", "classes", "columns", "pairs", "apart", "pair-texts", "likely-pairs", "halves"} & set(seen)
     assert {r.component_id for r in placed.where("doc_id IN (0, 60)").collect()} == {0} and placed.count() == 63
+
+
+def test_n_gram_join_in_small_parts_against_brute_force(spark, monkeypatch):
+    for name, most in {"SLICE": 900, "HALVES": 500, "PAIRS": 20, "TEXT_PAIRS": 10, "SENT": 500, "HOT": 4, "BLOCK": 3}.items():
+        monkeypatch.setattr(ngram_join, name, most)
+    cut, of = [], ngram_join.slices
+    monkeypatch.setattr(ngram_join, "slices", lambda df, key, *sizes: (cut.append((key, len(parts := of(df, key, *sizes)))), parts)[1])
+    docs = near_copies()
+    passage = [f"q{j}" for j in range(60)]
+    for k in range(40):
+        words = list(passage)
+        for j in range(k % 4):
+            words[(7 * k + 13 * j) % 60] = f"z{k}x{j}"
+        docs.append((200 + k, " ".join(words)))
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    numbers = lambda: {int(m[1]) for m in re.finditer(r"shuffle_(\d+)_", files.getAllFiles().mkString(" "))}
+    before = max(numbers(), default=-1)
+    placed = ngram_join.link_components(frame(spark, docs), pivots=1)
+    for _ in range(50):  # files go in the background
+        if not (left := {k for k in numbers() if k > before}):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in placed.collect()} == plain_components(docs)
+    assert {key for key, parts in cut if parts > 1} == {"half", "a", "pair"}
+
+
+def test_texts_are_left_out_before_they_move(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    documents = frame(spark, [(k, f"text {k}") for k in range(50)] + [(3, "text 3"), (3, "other"), (None, "x")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ngram_join.whole_texts(documents, spark.createDataFrame([(3,), (4,), (3,)], "doc_id bigint"))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [(3, "other"), (3, "text 3"), (4, "text 4")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # The join with the bitmap stands below that with the ids, which moves texts.
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 2 and "doc_id" in joins[0] and "_w" in joins[1]
+
+
+def test_n_grams_of_large_columns_are_known(spark):
+    passage = "nine words that stand in many of these documents"
+    rows = [(k, f"{passage} {k} " + " ".join(f"u{k}x{j}" for j in range(9)) if k % 20 == 0 else f"o{k} p{k} q{k} r{k} s{k} t{k}") for k in range(2400)]
+    late = set(ngram_join.frequent_shingles(frame(spark, rows)).tolist())
+    assert set(ngram_join.shingles([passage])[0].tolist()) <= late
+    # Those of more documents come last, and a bound leaves out the rarest.
+    rows += [(k, "one two three four five") for k in range(3000, 4000)]
+    own = ngram_join.frequent_shingles(frame(spark, rows))
+    assert own[-1] == ngram_join.shingles(["one two three four five"])[0][0] and set(own[:-1].tolist()) == late
+    assert ngram_join.frequent_shingles(frame(spark, rows), most=3).tolist() == own[-1:].tolist()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,6 +26,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Within this, the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+
+    For steps that write tables: a frame whose own run is read later would make them again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
@@ -95,6 +111,19 @@ def with_positions(df: DataFrame, group: list[str], order: list[str], partitions
     return joined.select(*df.columns, (F.col("_base") + F.col("_before")).cast("bigint").alias(name))
 
 
+def written_parts(spark: SparkSession, frames: Iterable[DataFrame], folder: str) -> DataFrame:
+    for df in frames:
+        df.write.mode("append").parquet(folder)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(folder)
+
+
+def slices(df: DataFrame, key: str, rows: int, most: int) -> list[DataFrame]:
+    """``df`` of ``rows`` rows in parts of about ``most``, by a hash of ``key``."""
+    many = max(1, -(-rows // most))
+    return [df.where(F.pmod(F.xxhash64(key), F.lit(many)) == at) for at in range(many)] if many > 1 else [df]
+
+
 class Scratch:
     """Tables in the shared folder that are of use only until the next ones are written."""
 
@@ -102,10 +131,13 @@ class Scratch:
         self.spark, self.folders = spark, []
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
+        return self.tables([df], name)
+
+    def tables(self, frames: Iterable[DataFrame], name: str) -> DataFrame:
+        """One table of frames of one schema, written one after the other; each is asked for when those before are written."""
         folder = new_folder(self.spark, name)
-        df.write.parquet(folder)
         self.folders.append(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+        return written_parts(self.spark, frames, folder)
 
     def clear(self) -> None:
         """Remove all tables made so far; no frame that reads them may be used afterwards."""

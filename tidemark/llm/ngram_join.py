@@ -14,6 +14,9 @@ every member is paired with a few pivots of its column, the verified links give
 that are not in one component yet, so that thousands of near copies cost what their columns hold. The exact overlap
 of every remaining pair is then counted over their whole sets. No link between different sets is lost for components.
 
+Disk. Columns are worked out ``SLICE`` entries at a time, pairs are verified ``PAIRS`` and ``TEXT_PAIRS`` at a time, and blocks meet ``SENT`` n-grams
+at a time; shuffle files of each part go before the next, so what grows with the input is tables of prefixes, columns, pairs and texts.
+
 Columns that are still large and apart then (``HOT`` members or more) make no pairs. A document goes to a block of its largest such column, blocks of about
 ``BLOCK`` documents that share any of them meet in one task, less the documents of whose n-grams too few are held by another document, and the product of the two blocks' incidence matrices adds up the exact overlaps there. A task returns
 for each document it has linked the smallest one it reaches in the block: rows grow with documents and blocks, never with pairs.
@@ -25,6 +28,7 @@ parts of its node; a document with a null doc_id has no links and its own null a
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,12 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, components, map_batches, reduce_by_ids
-from tidemark.session import materialize
+from tidemark.llm.common import Scratch, components, map_batches, reduce_by_ids, shuffles_go, slices, written_parts
+from tidemark.session import materialize, new_folder
 
 N, PERCENT = 5, 80
-SAMPLE, FREQUENT = 64, 200_000
+# A sample of one in 16 finds nearly all n-grams of ``HOT`` documents, however many documents there are.
+SAMPLE, FREQUENT = 16, 2_000_000
 HOT, BLOCK, WIDTH = 64, 256, 4096
+# What one part works on: entries of columns, half hashes, pairs before and after the bound by columns, n-grams of texts sent to blocks.
+SLICE, HALVES, PAIRS, TEXT_PAIRS, SENT = 1 << 25, 1 << 25, 1 << 21, 1 << 19, 1 << 28
 _KEY = "shinglesofwords!"
 
 
@@ -79,8 +86,16 @@ def frequent_shingles(documents: DataFrame, n: int = N, sample: int = SAMPLE, mo
     """Up to ``most`` hashes met three times or more in one document of ``sample``, the rarest first. They only order n-grams."""
     own = documents.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
     rows = map_batches(own, lambda b: {"h": np.concatenate(shingles(b.column(0).to_pylist(), n) or [np.zeros(0, np.int64)])}, "h bigint")
-    top = rows.groupBy("h").agg(F.count("*").alias("c")).where("c >= 3").orderBy(F.desc("c"), "h").limit(most).orderBy("c", "h")
-    return np.array([r["h"] for r in top.select("h").toLocalIterator()], np.int64)
+    scratch = Scratch(documents.sparkSession)
+    top = scratch.table(rows.groupBy("h").agg(F.count("*").alias("c")).where("c >= 3"), "frequent")
+    # The least count that no more than ``most`` reach, so that no task sorts them all.
+    counts = sorted(((r["c"], r["n"]) for r in top.groupBy("c").agg(F.count("*").alias("n")).collect()), reverse=True)
+    reach = np.cumsum([k for _, k in counts])
+    least = next((c for (c, _), total in zip(reversed(counts), reach[::-1], strict=True) if total <= most), None)
+    found = top.where(F.col("c") >= F.lit(least)).toArrow()
+    scratch.clear()
+    h, c = (found.column(k).to_numpy() for k in ("h", "c"))
+    return h[np.lexsort((h, c))]
 
 
 def prefix_size(size: int, percent: int = PERCENT) -> int:
@@ -92,7 +107,7 @@ def prefixes(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFr
     spark, kind = documents.sparkSession, dict(documents.dtypes)["doc_id"]
     late = frequent_shingles(documents, n)
     order = np.argsort(late, kind="stable")
-    shared = spark.sparkContext.broadcast((late[order], order))
+    shared = spark.sparkContext.broadcast((late[order], order.astype(np.int32)))
 
     def run(batch: pa.RecordBatch) -> dict:
         values, ranks = shared.value
@@ -149,7 +164,8 @@ def whole_texts(documents: DataFrame, ids: DataFrame) -> DataFrame:
     Texts go where pairs are, not sets: they are half the size once compressed.
     """
     near = reduce_by_ids(documents.select("doc_id", "text"), "doc_id", ids, "doc_id")
-    rows = near.join(ids, "doc_id", "left_semi").withColumn("h", F.xxhash64("text"))
+    # Not a semi join: Spark would put that before the bitmap and move every text. Ids named twice are dropped with equal rows.
+    rows = near.join(ids.select("doc_id"), "doc_id").withColumn("h", F.xxhash64("text"))
     return rows.dropDuplicates(["doc_id", "h"]).drop("h")
 
 
@@ -158,6 +174,11 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
 
     ``class_id``: the smallest doc_id with the same set; ``component_id``: the smallest doc_id reachable by links.
     """
+    with shuffles_go(documents.sparkSession):
+        return _link_components(documents, n, percent, pivots)
+
+
+def _link_components(documents: DataFrame, n: int, percent: int, pivots: int) -> DataFrame:
     own = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scratch, texts_used, firsts, met_used = (Scratch(documents.sparkSession) for _ in range(4))
     made = scratch.table(prefixes(own, n, percent), "prefixes")
@@ -167,15 +188,7 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     class_ids = materialize(heads.select("class", F.col("head").alias("class_id")), "class-ids")
     sizes = materialize(made.select("doc_id", "size", "class"), "set-sizes")
     scratch.clear()
-    entries = heads.select(F.col("head").alias("id"), "size", F.posexplode("prefix").alias("pos", "h")).withColumn("half", F.shiftright("h", 32).cast("int"))
-    # Most columns have one document. Half a hash tells nearly all of them for a fraction of the bytes; the exact count follows.
-    shared = scratch.table(entries.groupBy("half").agg(F.count("*").alias("members")).where("members > 1").select("half"), "shared-halves")
-    entries = reduce_by_ids(entries, "half", shared, "half").drop("half")
-    # Columns of one document end here; counts and pivots are combined before they are shuffled.
-    salt = F.pmod(F.xxhash64("h"), F.lit(pivots))
-    few = [F.min_by(F.struct("id", "size", "pos"), F.xxhash64("id", salt)).alias("pivot")]
-    columns = entries.groupBy("h").agg(F.count("*").alias("members"), *few).where("members > 1").select("h", "pivot")
-    cells = met_used.table(entries.join(columns, "h"), "columns")
+    cells = met_used.tables(_columns(heads, pivots, scratch), "columns")
     # First n-grams are in columns now, and the tables of columns go before sets of n-grams are written: disk is held by what is still read.
     firsts.clear()
     scratch.clear()
@@ -185,7 +198,7 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
 
     first = cells.select("id", "size", "pos", F.col("pivot.id").alias("id2"), F.col("pivot.size").alias("size2"), F.col("pivot.pos").alias("pos2"))
     first = met_used.table(seen(first), "pairs")
-    links = materialize(_verified(own, cells, first, n, percent, texts_used), "links")
+    links = _verified(own, cells, first, n, percent, texts_used)
     texts_used.clear()
     known = components(links)
     # What is still apart in a column: its members by component; columns of one component are done.
@@ -193,22 +206,25 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     apart = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
     named = met_used.table(named.join(apart, "h", "left_semi"), "apart")
     hot = named.groupBy("h").agg(F.count("*").alias("members")).where(F.col("members") >= HOT)
-    hot_cells = scratch.table(named.select("h", "id").join(hot, "h"), "hot-columns")
-    placed = hot_cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m")).select("id", F.col("m.h").alias("primary"))
+    hot_cells = scratch.table(named.select("h", "id", "size").join(hot, "h"), "hot-columns")
+    placed = hot_cells.groupBy("id").agg(F.max(F.struct("members", "h")).alias("m"), F.max("size").alias("size")).select("id", F.col("m.h").alias("primary"), "size")
     placed = scratch.table(placed, "hot-owners")
     # What shares a hot column has met in blocks; the other columns are joined with themselves, less the pairs of one block family.
-    rare = named.join(hot, "h", "left_anti").join(placed, "id", "left")
+    rare = named.join(hot, "h", "left_anti").join(placed.drop("size"), "id", "left")
     other = rare.select("h", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "pos", "component", "primary")])
     family = "(primary IS NULL OR primary2 IS NULL OR primary <> primary2)"
     met = rare.join(other, "h").where(f"component < component2 AND {family}").where(_allowed(percent))
     second = met_used.table(seen(met).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(_verified(own, cells, second, n, percent, texts_used), "links")
+    more = _verified(own, cells, second, n, percent, texts_used)
     texts_used.clear()
     met_used.clear()
     texts = texts_used.table(whole_texts(own, placed.select(F.col("id").alias("doc_id"))), "block-texts")
-    able = scratch.table(placed.join(_linkable(texts, n, percent, scratch), "id", "left_semi"), "linkable")
+    held = placed.agg(F.sum("size")).first()[0] or 0
+    able = scratch.table(placed.join(_linkable(texts, n, percent, scratch, held), "id", "left_semi"), "linkable")
     owners, blocked = _hot_blocks(hot_cells, able, scratch)
-    within = materialize(block_links(owners, blocked, texts, n, percent), "links")
+    sent = blocked.agg(F.sum("sent")).first()[0] or 0
+    meetings = slices(blocked.drop("sent"), "pair", sent, SENT)
+    within = _parts((block_links(owners, part.drop("pair"), texts, n, percent) for part in meetings), own)
     more = more.unionByName(within)
     texts_used.clear()
     scratch.clear()
@@ -226,34 +242,73 @@ def link_components(documents: DataFrame, n: int = N, percent: int = PERCENT, pi
     )
 
 
-def _linkable(texts: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+def _parts(frames, documents: DataFrame) -> DataFrame:
+    """Links of all parts, written one after the other."""
+    spark = documents.sparkSession
+    return written_parts(spark, frames, new_folder(spark, "links"))
+
+
+def _columns(heads: DataFrame, pivots: int, scratch: Scratch):
+    """``h, id, size, pos, members, pivot``: entries of columns of two documents or more, a slice of the half hashes after the other."""
+    entries = heads.select(F.col("head").alias("id"), "size", F.posexplode("prefix").alias("pos", "h")).withColumn("half", F.shiftright("h", 32).cast("int"))
+    total = heads.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    for own in slices(entries, "half", total, SLICE):
+        # Most columns have one document. Half a hash tells nearly all of them for a fraction of the bytes; the exact count follows.
+        shared = scratch.table(own.groupBy("half").agg(F.count("*").alias("members")).where("members > 1").select("half"), "shared-halves")
+        own = reduce_by_ids(own, "half", shared, "half").drop("half")
+        # Columns of one document end here; counts and pivots are combined before they are shuffled.
+        salt = F.pmod(F.xxhash64("h"), F.lit(pivots))
+        few = [F.min_by(F.struct("id", "size", "pos"), F.xxhash64("id", salt)).alias("pivot")]
+        columns = own.groupBy("h").agg(F.count("*").alias("members"), *few).where("members > 1").select("h", "pivot")
+        yield own.join(columns, "h")
+        scratch.clear()
+
+
+def _linkable(texts: DataFrame, n: int, percent: int, scratch: Scratch, held: int) -> DataFrame:
     """``id``: documents that hold enough n-grams which others of ``texts`` hold as well; no link is possible below ``percent`` of the set.
 
-    Half hashes tell them; two n-grams with one half only let a document pass.
+    Half hashes tell them; two n-grams with one half only let a document pass. ``held``: about how many n-grams there are.
     """
+    many = max(1, -(-held // HALVES))
+    names = [f"halves{at}" for at in range(many)]
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = shingles(batch.column(1).to_pylist(), n)
         halves = [(x >> 32).astype(np.int32) for x in sets]
-        return {"id": batch.column(0), "size": pa.array([len(x) for x in sets], pa.int64()), "halves": pa.array(halves, pa.list_(pa.int32()))}
-
-    # Worked out twice: written, half hashes take as much disk as the texts do.
-    held = map_batches(texts.select("doc_id", "text"), run, "id bigint, size bigint, halves array<int>")
-    each = held.select("id", "size", F.explode("halves").alias("half"))
-    shared = scratch.table(each.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "shared-halves")
-    found = reduce_by_ids(each, "half", shared, "half").groupBy("id").agg(F.count("*").alias("c"), F.min("size").alias("size"))
+        parts = {name: pa.array([x[x % many == at] for x in halves] if many > 1 else halves, pa.list_(pa.int32())) for at, name in enumerate(names)}
+        return {"id": batch.column(0), "size": pa.array([len(x) for x in sets], pa.int64())} | parts
+
+    # Worked out twice if they are one part: written, half hashes take as much disk as the texts do.
+    sets = map_batches(texts.select("doc_id", "text"), run, ", ".join(["id bigint", "size bigint", *(f"{x} array<int>" for x in names)]))
+    if many > 1:
+        sets = scratch.table(sets, "half-hashes")
+    counts = []
+    for name in names:
+        each = sets.select("id", "size", F.explode(name).alias("half"))
+        shared = scratch.table(each.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half"), "shared-halves")
+        found = reduce_by_ids(each, "half", shared, "half").groupBy("id").agg(F.count("*").alias("c"), F.min("size").alias("size"))
+        counts.append(scratch.table(found, "held-halves") if many > 1 else found)
+    found = reduce(DataFrame.unionByName, counts).groupBy("id").agg(F.sum("c").alias("c"), F.min("size").alias("size")) if many > 1 else counts[0]
     return found.where(f"100 * c >= {percent} * size").select("id")
 
 
 def _hot_blocks(cells: DataFrame, able: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``id, primary, k``: the block of every document of ``able``, and ``primary, k, primary2, k2``: blocks that share a hot column."""
+    """``id, primary, k``: the block of every document of ``able``, and ``primary, k, primary2, k2``: blocks that share a hot column.
+
+    The latter also have ``pair``, a number for their slice, and ``sent``, the n-grams of the texts of both.
+    """
     counts = able.groupBy("primary").agg(F.count("*").alias("docs"))
     parts = F.ceil(F.col("docs") / BLOCK).cast("bigint")
-    owners = scratch.table(able.join(counts, "primary").select("id", "primary", F.pmod(F.xxhash64("id"), parts).alias("k")), "hot-blocks")
+    owners = scratch.table(able.join(counts, "primary").select("id", "primary", F.pmod(F.xxhash64("id"), parts).alias("k"), "size"), "hot-blocks")
     held = scratch.table(cells.select("h", "id").join(owners, "id").select("h", "primary", "k").distinct(), "held")
     other = held.select("h", F.col("primary").alias("primary2"), F.col("k").alias("k2"))
     met = held.join(other, "h").where("primary < primary2 OR (primary = primary2 AND k <= k2)")
-    return owners, scratch.table(met.select("primary", "k", "primary2", "k2").distinct(), "block-pairs")
+    met = met.select("primary", "k", "primary2", "k2").distinct()
+    one = owners.groupBy("primary", "k").agg(F.sum("size").alias("sent1"))
+    two = one.select(F.col("primary").alias("primary2"), F.col("k").alias("k2"), F.col("sent1").alias("sent2"))
+    met = met.join(one, ["primary", "k"]).join(two, ["primary2", "k2"])
+    met = met.select("primary", "k", "primary2", "k2", F.xxhash64("primary", "k", "primary2", "k2").alias("pair"), (F.col("sent1") + F.col("sent2")).alias("sent"))
+    return owners.drop("size"), scratch.table(met, "block-pairs")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -340,9 +395,11 @@ def _ids(pairs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _verified(documents: DataFrame, cells: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
-    pairs = scratch.table(likely_pairs(pairs, cells, percent, scratch), "likely-pairs")
+    near = (likely_pairs(part, cells, percent, scratch) for part in slices(pairs, "a", pairs.count(), PAIRS))
+    pairs = scratch.tables(near, "likely-pairs")
     texts = scratch.table(whole_texts(documents, _ids(pairs, scratch)), "pair-texts")
-    return similar_pairs(pairs, texts, n, percent)
+    parts = slices(pairs, "a", pairs.count(), TEXT_PAIRS)
+    return _parts((similar_pairs(part, texts, n, percent) for part in parts), documents)
 
 
 def keep_one(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
